@@ -2,9 +2,11 @@
 
 The test items are the indexed documents, every passage of every training text is
 a query. Impacts are scaled by an item's score against itself, so one threshold
-holds for all items. A passage whose terms' greatest impacts cannot reach the
-threshold is skipped; the others run block-max WAND over the item postings and
-retrieve every item at or above it. A retrieved item counts when enough of the
+holds for all items. The commonest terms of the items are set aside as long as
+they make up at most COMMON of any item, so an item that reaches the threshold has
+to get the rest from its other terms; passages where no item can are skipped. The
+others run block-max WAND over the item postings and retrieve every item at or
+above the threshold. A retrieved item counts when enough of the
 word n-grams of its question and of its answer both occur in the passage; the
 answer is an item's last sentence, or the last third of its words.
 
@@ -24,15 +26,18 @@ taken whole; other columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from relievo.llm.tokens import slices
 from relievo.plans.text import text_or_empty
 
 K1, B = 1.2, 0.75
@@ -41,6 +46,8 @@ THRESHOLD = 0.5
 #: Share of the n-grams of the question, and of the answer, that has to occur.
 OVERLAP = 0.6
 GRAM = 4
+#: Most of an item's score that comes from terms set aside.
+COMMON = 0.25
 BLOCK = 32
 #: Most items, and most words, of one shard.
 SHARD_ITEMS, SHARD_WORDS = 20_000, 1_000_000
@@ -87,8 +94,13 @@ class Index:
     answers: list[list[str]]
     terms: dict[str, int] = field(default_factory=dict)
     postings: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
-    best: np.ndarray | None = None
+    lists: list[tuple[list, list, list, list]] = field(default_factory=list)  # the postings as lists
     width: int = 2
+    essential: np.ndarray | None = None  # by term, and False for no term
+    mass: np.ndarray | None = None  # by item, of the terms set aside
+    starts: np.ndarray | None = None  # of each term's postings in the two flat arrays
+    flat_items: np.ndarray | None = None
+    flat_impacts: np.ndarray | None = None
 
 
 def build_index(rows: list[tuple[int | None, str]], n_items: int, mean_words: float, frequency: dict[str, int]) -> Index:
@@ -117,59 +129,68 @@ def build_index(rows: list[tuple[int | None, str]], n_items: int, mean_words: fl
         starts = np.arange(0, len(ids), BLOCK)
         index.terms[t] = len(index.postings)
         index.postings.append((ids, impacts, np.maximum.reduceat(impacts, starts), ids[np.minimum(starts + BLOCK, len(ids)) - 1]))
-    index.best = np.array([p[1].max() for p in index.postings])
+    index.lists = [tuple(x.tolist() for x in p) for p in index.postings]
+    index.starts = np.concatenate([[0], np.cumsum([len(p[0]) for p in index.postings])]).astype(np.int64)
+    index.flat_items = np.concatenate([p[0] for p in index.postings] or [np.empty(0, np.int64)])
+    index.flat_impacts = np.concatenate([p[1] for p in index.postings] or [np.empty(0)])
+    index.essential = np.ones(len(index.postings) + 1, bool)
+    index.essential[-1] = False
+    index.mass = np.zeros(len(index.items))
+    for t in sorted(range(len(index.postings)), key=lambda t: (-len(index.postings[t][0]), t)):
+        ids, impacts = index.postings[t][:2]
+        if (index.mass[ids] + impacts).max() <= COMMON:
+            index.mass[ids] += impacts
+            index.essential[t] = False
     return index
 
 
 def retrieve(index: Index, terms: list[int], threshold: float) -> list[tuple[int, float]]:
     """Every item whose score for the distinct ``terms`` reaches the threshold, by block-max WAND."""
-    cursors = [[0, t] for t in terms]
-    found = []
+    slack = threshold - 1e-9
     end = len(index.items)
+    # a cursor: the item it is at, its place, the term, and the term's ids, impacts, block maxima, blocks' last ids and greatest impact
+    cursors = [[p[0][0], 0, t, *p, max(p[2])] for t in terms for p in (index.lists[t],)]
+    found = []
 
-    def current(c: list[int]) -> int:
-        ids = index.postings[c[1]][0]
-        return int(ids[c[0]]) if c[0] < len(ids) else end
-
-    def advance(c: list[int], item: int) -> None:
-        c[0] += int(np.searchsorted(index.postings[c[1]][0][c[0] :], item))
+    def advance(c: list, item: int) -> None:
+        c[1] = bisect_left(c[3], item, c[1])
+        c[0] = c[3][c[1]] if c[1] < len(c[3]) else end
 
-    slack = threshold - 1e-9
     while True:
-        cursors = sorted((c for c in cursors if current(c) < end), key=current)
+        cursors = sorted(c for c in cursors if c[0] < end)
         bound, pivot = 0.0, None
         for i, c in enumerate(cursors):
-            bound += index.best[c[1]]
+            bound += c[7]
             if bound >= slack:
                 pivot = i
                 break
         if pivot is None:
             return found
-        item = current(cursors[pivot])
-        while pivot + 1 < len(cursors) and current(cursors[pivot + 1]) == item:
+        item = cursors[pivot][0]
+        while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == item:
             pivot += 1
+        first = cursors[: pivot + 1]
         shallow, until = 0.0, end
-        for c in cursors[: pivot + 1]:
-            _, _, tops, lasts = index.postings[c[1]]
-            block = int(np.searchsorted(lasts, item))
-            if block < len(tops):
-                shallow += tops[block]
-                until = min(until, int(lasts[block]) + 1)
+        for c in first:
+            block = bisect_left(c[6], item)
+            if block < len(c[5]):
+                shallow += c[5][block]
+                until = min(until, c[6][block] + 1)
         if shallow < slack:  # no item up to the first block's end can reach it
             if pivot + 1 < len(cursors):
-                until = min(until, current(cursors[pivot + 1]))
-            for c in cursors[: pivot + 1]:
+                until = min(until, cursors[pivot + 1][0])
+            for c in first:
                 advance(c, max(until, item + 1))
-        elif current(cursors[0]) == item:
+        elif cursors[0][0] == item:
             score = 0.0
-            for c in cursors[: pivot + 1]:
-                score += float(index.postings[c[1]][1][c[0]])
-                c[0] += 1
+            for c in first:
+                score += c[4][c[1]]
+                advance(c, item + 1)
             if score >= slack:
                 found.append((item, score))
         else:
-            for c in cursors[:pivot]:
-                if current(c) < item:
+            for c in first:
+                if c[0] < item:
                     advance(c, item)
 
 
@@ -179,67 +200,89 @@ _HITS_ARROW = pa.schema(
 )
 
 
-def match(index: Index, text: str, threshold: float, overlap: float) -> list[tuple]:
-    """``(item_id, score, question_overlap, answer_overlap)`` of the items that a text holds."""
-    tokens = words(text)
-    get = index.terms.get
-    at = [i for i, w in enumerate(tokens) if w in index.terms]
-    if not at:
-        return []
-    places = np.array(at)
-    ids = np.array([get(tokens[i]) for i in at])
-    total = np.concatenate([[0.0], np.cumsum(index.best[ids])])
+def promising(index: Index, ids: np.ndarray, half: np.ndarray, base: np.ndarray, top: np.ndarray, threshold: float) -> np.ndarray:
+    """The windows in which some item can reach the threshold.
+
+    For each word of a run of texts, ``ids`` has its term (-1 for none), ``half``
+    the half window of its text that it lies in, ``base`` the number of the text's
+    first window and ``top`` how many windows the text has.
+    """
+    at = np.flatnonzero(index.essential[ids])
+    term, half, base, top = ids[at], half[at], base[at], top[at]
+    here, before = half < top, half > 0  # a half window belongs to the window that begins with it and to the one before
+    n_terms, n_items = len(index.postings), len(index.items)
+    keys = np.concatenate([((base + half) * n_terms + term)[here], ((base + half - 1) * n_terms + term)[before]])
+    window, term = np.divmod(np.unique(keys), n_terms)
+    size = index.starts[term + 1] - index.starts[term]
+    row = np.repeat(np.arange(len(term)), size)
+    place = index.starts[term][row] + np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+    pair, inverse = np.unique(window[row] * n_items + index.flat_items[place], return_inverse=True)
+    score = np.bincount(inverse, index.flat_impacts[place], len(pair))
+    window, item = np.divmod(pair, n_items)
+    return np.unique(window[score + index.mass[item] >= threshold - 1e-9])
+
+
+def match(index: Index, texts: list[str], threshold: float, overlap: float) -> list[tuple]:
+    """``(text's place, item_id, score, question_overlap, answer_overlap)`` of the items that a run of texts holds."""
+    tokens = [words(t) for t in texts]
+    sizes = np.array([len(x) for x in tokens])
     step = index.width // 2
-    starts = np.arange(0, max(1, len(tokens) - step), step)
-    lo, hi = np.searchsorted(places, starts), np.searchsorted(places, starts + index.width)
-    best: dict[int, tuple] = {}
-    # repeated terms only raise this bound
-    for k in np.flatnonzero(total[hi] - total[lo] >= threshold - 1e-9):
-        distinct = np.unique(ids[lo[k] : hi[k]])
-        if index.best[distinct].sum() < threshold - 1e-9:
-            continue
-        passage = tokens[starts[k] : starts[k] + index.width]
-        for item, score in retrieve(index, distinct.tolist(), threshold):
+    windows = np.maximum(1, -(-(sizes - step) // step))
+    first = np.concatenate([[0], np.cumsum(windows)])
+    begin = np.concatenate([[0], np.cumsum(sizes)])
+    ids = np.fromiter(map(index.terms.get, chain.from_iterable(tokens), repeat(-1)), np.int64, int(begin[-1]))
+    half = (np.arange(len(ids)) - np.repeat(begin[:-1], sizes)) // step
+    found = promising(index, ids, half, np.repeat(first[:-1], sizes), np.repeat(windows, sizes), threshold)
+    best: dict[tuple[int, int], tuple] = {}
+    for number, window in zip((np.searchsorted(first, found, "right") - 1).tolist(), found.tolist(), strict=True):
+        start = (window - int(first[number])) * step
+        passage = tokens[number][start : start + index.width]
+        distinct = np.unique(ids[begin[number] + start : begin[number] + start + len(passage)])
+        for item, score in retrieve(index, distinct[distinct >= 0].tolist(), threshold):
             q, a = share(index.questions[item], passage), share(index.answers[item], passage)
-            if q >= overlap and a >= overlap and (item not in best or best[item] < (q + a, score)):
-                best[item] = (q + a, score, q, a)
-    return [(index.items[i], round(b[1], 6), round(b[2], 6), round(b[3], 6)) for i, b in sorted(best.items())]
+            if q >= overlap and a >= overlap and (q + a, score) > best.get((number, item), (0.0, 0.0)):
+                best[number, item] = (q + a, score, q, a)
+    return [(number, index.items[item], round(b[1], 6), round(b[2], 6), round(b[3], 6)) for (number, item), b in sorted(best.items())]
 
 
 def _query(index: Index, threshold: float, overlap: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [
-                (doc, *hit)
-                for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True)
-                for hit in match(index, text, threshold, overlap)
-            ]
+            ids, rows, done = batch.column("doc_id").to_pylist(), [], 0
+            for part in slices(batch.column("text").to_pylist()):
+                rows += [(ids[done + n], *hit) for n, *hit in match(index, part, threshold, overlap)]
+                done += len(part)
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _HITS_ARROW, strict=True)], schema=_HITS_ARROW)
 
     return run
 
 
+def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [[w for part in question_and_answer(t) for w in part] for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.string()))], names=["item_id", "text", "words"])
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
     """``(doc_id, item_id, score, question_overlap, answer_overlap)`` of each item that a text holds."""
     spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text"))
-    size = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
-    shards = max(1, -(-size["n"] // SHARD_ITEMS), -(-size["chars"] // (8 * SHARD_WORDS)))
-    terms = F.array_distinct(F.filter(F.split(F.lower("text"), r"(?U)\W+"), lambda w: w != ""))
-    all_words = F.size(F.filter(F.split(F.lower("text"), r"(?U)\W+"), lambda w: w != ""))
-    kept = items.where(all_words > 0)
-    stats = kept.agg(F.count("*").alias("n"), F.avg(all_words).alias("mean")).first()
-    dealt = items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)))
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text")).mapInArrow(_item_words, "item_id bigint, text string, words array<string>")
+    kept = items.where(F.size("words") > 0)
+    size = kept.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("words")).first()
+    shards = max(1, -(-size["n"] // SHARD_ITEMS), -(-size["words"] // SHARD_WORDS))
+    mean = size["words"] / max(1, size["n"])
+    dealt = kept.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)))
+    terms = F.explode(F.array_distinct("words")).alias("t")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    frequency = kept.select(F.explode(terms).alias("t")).groupBy("t").agg(F.count("*").alias("df"))
+    frequency = kept.select(terms).groupBy("t").agg(F.count("*").alias("df"))
     out = spark.createDataFrame([], _HITS)
     for shard in range(shards):
         mine = dealt.where(F.col("shard") == shard)
         rows = [(r["item_id"], r["text"]) for r in mine.orderBy("item_id", "text").collect()]  # a shard: bounded
-        named = mine.select(F.explode(terms).alias("t")).distinct()
+        named = mine.select(terms).distinct()
         df = {r["t"]: r["df"] for r in frequency.join(named, "t", "left_semi").collect()}
-        index = build_index(rows, stats["n"], stats["mean"] or 1.0, df)
+        index = build_index(rows, size["n"], mean, df)
         if index.items:
             out = out.unionByName(texts.mapInArrow(_query(index, threshold, overlap), _HITS))
     return out
