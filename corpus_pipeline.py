@@ -4,23 +4,28 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from relievo.llm import decontaminate, neardup, packing, quality, secrets
 from relievo.plans.storage import materialize
 
 
+def _with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents that the ids name, and those without an id, which no result can name."""
+    named = docs.join(ids.where("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi")
+    return named.unionByName(docs.where("doc_id is null"))
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the classifier accepts."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    kept = quality.classify(docs, quality.trusted_documents(labels)).where("keep").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
+    return _with_ids(docs, quality.classify(docs, quality.trusted_documents(labels)).where("keep"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the least id of each group of near duplicates."""
-    groups = neardup.link_components(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(groups, docs["doc_id"].eqNullSafe(groups["__kept"]), "left_semi").dropDuplicates(["doc_id"])
+    """Keep the document with the least id of each group of near duplicates, once."""
+    first = neardup.link_components(docs).where("doc_id = component_id").select("doc_id").distinct()
+    once = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])  # rows already meet by id
+    return once.unionByName(docs.where("doc_id is null"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
