@@ -54,9 +54,6 @@ def _(t: Tables) -> DataFrame:
     return rows.select("tile_id", "line", names.parse_datalist(F.col("line")).alias("p")).select("tile_id", "line", "p.path", "p.format", "p.weight")
 
 
-_KEY = "regexp_extract(name, '^ATL0[38]_([0-9]{14}_[0-9]{8}_[0-9]{3}_[0-9]{2})', 1)"
-
-
 def _products(t: Tables) -> tuple[DataFrame, DataFrame]:
     rows = t.granule_names.withColumn("granule", F.regexp_extract("name", r"^ATL0[38]_(\d{14}_\d{4})", 1))
     return rows.where("name like 'ATL03%'"), rows.where("name like 'ATL08%'")
@@ -143,7 +140,7 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "s8_release_names",
-    "WITH s AS (SELECT key, tag, " + _TAG + " FROM fx_files), n AS (SELECT key, y + 15 AS y, x FROM s) SELECT key, CASE WHEN key % 7 <> 0 THEN 'tile_' || CASE WHEN y < 0 THEN 'S' ELSE 'N' END || lpad(CAST(abs(y) AS STRING), 2, '0') || CASE WHEN x < 0 THEN 'W' ELSE 'E' END || lpad(CAST(abs(x) AS STRING), 3, '0') || '_surface.tif' END AS name FROM n",
+    "WITH s AS (SELECT key, tag, " + _TAG + " FROM fx_files), n AS (SELECT key, y + 15 AS y, x FROM s) SELECT key, CASE WHEN key % 7 <> 0 THEN 'tile_' || CASE WHEN y < 0 THEN 'S' ELSE 'N' END || printf('%02d', abs(y)) || CASE WHEN x < 0 THEN 'W' ELSE 'E' END || lpad(CAST(abs(x) AS STRING), 3, '0') || '_surface.tif' END AS name FROM n",
 )
 def _(t: Tables) -> DataFrame:
     tail = F.when(F.col("key") % 7 == 0, "_w.tif").otherwise("_surface_2022.09.29.tif")
@@ -240,9 +237,9 @@ def _(t: Tables) -> DataFrame:
     return joins.translate_boxes(t.sources, t.tiles, 15, 0.25).select("l.source_key", "r.tile_id", "i0", "i1", "j0", "j1")
 
 
-@query("j16_unprocessed", "SELECT p_partkey AS key FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem)")
+@query("j16_unprocessed", "SELECT p_partkey AS key FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 49)")
 def _(t: Tables) -> DataFrame:
-    return joins.unprocessed(t.part.select(F.col("p_partkey").alias("key")), t.lineitem.select(F.col("l_partkey").alias("key")), ["key"])
+    return joins.unprocessed(t.part.select(F.col("p_partkey").alias("key")), t.lineitem.where("l_quantity >= 49").select(F.col("l_partkey").alias("key")), ["key"])
 
 
 @query("j17_companions", "SELECT a.key AS key_a, b.key AS key_b, a.tag FROM fx_files a JOIN fx_files b ON a.tag = b.tag")
@@ -260,19 +257,19 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "w3_name_weights",
-    f"""SELECT key, {q6("CASE substr(blue_name, 4, 1) WHEN 'C' THEN 3e-2 WHEN 'F' THEN 4e-2 WHEN 'H' THEN 5e-2 WHEN 'J' THEN 6e-2 ELSE 0e0 END")} AS size_weight,
+    f"""SELECT key, {q6("CASE substr(coast_name, 4, 1) WHEN 'C' THEN 3e-2 WHEN 'F' THEN 4e-2 WHEN 'H' THEN 5e-2 WHEN 'J' THEN 6e-2 ELSE 0e0 END")} AS size_weight,
 {q6("CASE WHEN filename LIKE 'ncei13%' THEN 13e-2 ELSE 1e-1 END")} AS resolution_weight, {q6("CAST(regexp_extract(filename, '_([0-9]{4})v[0-9]', 1) AS DOUBLE) / 1e4")} AS year_weight FROM fx_files""",
 )
 def _(t: Tables) -> DataFrame:
     f = F.col("filename")
     return t.files.select(
-        "key", r6(ranking.size_weight(F.col("blue_name"))).alias("size_weight"), r6(ranking.resolution_weight(f)).alias("resolution_weight"), r6(ranking.year_weight(f)).alias("year_weight")
+        "key", r6(ranking.size_weight(F.col("coast_name"))).alias("size_weight"), r6(ranking.resolution_weight(f)).alias("resolution_weight"), r6(ranking.year_weight(f)).alias("year_weight")
     )
 
 
-@query("w5_latest_versions", "SELECT tile, key FROM (SELECT substr(blue_name, 1, 8) AS tile, key, row_number() OVER (PARTITION BY substr(blue_name, 1, 8) ORDER BY regexp_extract(blue_name, '_([0-9]{8})', 1) DESC, key) AS o FROM fx_files) s WHERE o = 1")
+@query("w5_latest_versions", "SELECT tile, key FROM (SELECT substr(coast_name, 1, 8) AS tile, key, row_number() OVER (PARTITION BY substr(coast_name, 1, 8) ORDER BY regexp_extract(coast_name, '_([0-9]{8})', 1) DESC, key) AS o FROM fx_files) s WHERE o = 1")
 def _(t: Tables) -> DataFrame:
-    rows = t.files.select(F.substring("blue_name", 1, 8).alias("tile"), "key", F.regexp_extract("blue_name", r"_(\d{8})", 1).alias("day"))
+    rows = t.files.select(F.substring("coast_name", 1, 8).alias("tile"), "key", F.regexp_extract("coast_name", r"_(\d{8})", 1).alias("day"))
     return ranking.latest(rows, ["tile"], [F.col("day").desc(), F.col("key")]).select("tile", "key")
 
 
@@ -417,14 +414,11 @@ def _(t: Tables) -> DataFrame:
     return writers.tracks(t.photons, F.struct("photon_id", "l_partkey", "l_suppkey"), ("granule_id1", "granule_id2", "beam")).drop("wkt")
 
 
-_EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
-
-
 def _stream(t: Tables, kind: str) -> DataFrame:
-    """The events table as a file stream of the folder that holds it."""
-    schema = t.events.schema
+    """The events table as a file stream, with its times in UTC."""
     # a pattern that matches the one table
-    return t.spark.readStream.schema(schema).parquet(f"{t.sf_dir}/events.parque[t]").where(F.col("event_type") == kind)
+    rows = t.spark.readStream.schema(t.events.schema).parquet(f"{t.sf_dir}/events.parque[t]")
+    return rows.withColumn("ts", F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp")).where(F.lit(True) if kind == "all" else F.col("event_type") == kind)
 
 
 @query(
@@ -456,25 +450,24 @@ def _(t: Tables) -> DataFrame:
     return jobs.upsert(jobs.upsert(old, new, ["granule"], "csv_filename"), new, ["granule"], "csv_filename")
 
 
-@query("st4_affected_tiles", "SELECT DISTINCT CAST(floor(longitude / 1e1) AS BIGINT) AS tile_id FROM fx_photons WHERE granule_id1 = 3 AND granule_id2 = 1 AND class_code = 4")
+@query("st4_affected_tiles", "SELECT DISTINCT CAST(floor(longitude / 1e1) AS BIGINT) AS tile_id FROM fx_photons WHERE granule_id1 = 3 AND granule_id2 = 0 AND class_code = 4")
 def _(t: Tables) -> DataFrame:
-    rejected = t.photons.where("granule_id1 = 3 and granule_id2 = 1").select("granule_id1", "granule_id2").distinct()
+    rejected = t.photons.where("granule_id1 = 3 and granule_id2 = 0").select("granule_id1", "granule_id2").distinct()
     return jobs.affected_tiles(binned(t.photons).where("class_code = 4"), rejected)
 
 
 @query(
     "st5_backfill",
-    "WITH p AS (SELECT CAST(floor(longitude / 1e1) AS BIGINT) AS tile_id, class_code FROM fx_photons) SELECT tile_id, count(*) AS numphotons, count(*) FILTER (WHERE class_code BETWEEN 2 AND 3) AS numphotons_canopy, count(*) FILTER (WHERE class_code = 1) AS numphotons_ground FROM p WHERE tile_id % 2 = 1 GROUP BY 1",
+    "WITH p AS (SELECT CAST(floor(longitude / 1e1) AS BIGINT) AS tile_id, class_code FROM fx_photons) SELECT tile_id, count(*) AS numphotons, count(*) FILTER (WHERE class_code BETWEEN 2 AND 3) AS numphotons_canopy, count(*) FILTER (WHERE class_code = 1) AS numphotons_ground FROM p WHERE tile_id % 2 = 0 GROUP BY 1",
 )
 def _(t: Tables) -> DataFrame:
     counted = validation.tile_counts(binned(t.photons))
-    return jobs.backfill(counted.select("tile_id", (F.col("tile_id") % 2 == 0).alias("is_populated")), counted)
+    return jobs.backfill(counted.select("tile_id", (F.col("tile_id") % 2 == 1).alias("is_populated")), counted)
 
 
 @query("st6_running_statistics", f"SELECT event_type, epoch(date_trunc('day', ts))::BIGINT AS day, count(*) AS n, {q6('avg(value)')} AS mean FROM events GROUP BY 1, 2")
 def _(t: Tables) -> DataFrame:
-    stream = t.spark.readStream.schema(t.events.schema).parquet(f"{t.sf_dir}/events.parque[t]")
-    rows = jobs.running_statistics(stream, ["event_type"], "value")
+    rows = jobs.running_statistics(_stream(t, "all"), ["event_type"], "value")
     name = f"st6_{new_folder(t.spark, 's').rsplit('-', 1)[-1]}"
     rows.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start().awaitTermination()
     return t.spark.table(name).select("event_type", F.unix_seconds("window.start").alias("day"), "n", r6("mean").alias("mean"))

@@ -114,11 +114,11 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "j5_reject_granules",
-    f"SELECT {_ID} FROM fx_photons p WHERE NOT EXISTS (SELECT 1 FROM fx_rejects r WHERE r.granule % 7 = p.granule_id1 AND r.csv_filename % 3 = p.granule_id2 AND r.photon_count > 400)",
+    f"WITH r AS (SELECT granule % 7 AS g1, csv_filename % 3 AS g2 FROM fx_rejects GROUP BY 1, 2 HAVING sum(photon_count) % 2 = 0) SELECT {_ID} FROM fx_photons p WHERE NOT EXISTS (SELECT 1 FROM r WHERE g1 = p.granule_id1 AND g2 = p.granule_id2)",
 )
 def _(t: Tables) -> DataFrame:
-    bad = t.rejects.where("photon_count > 400").select((F.col("granule") % 7).alias("granule_id1"), (F.col("csv_filename") % 3).alias("granule_id2"))
-    return joins.without_rejected(t.photons, bad.distinct()).select(*_IDS)
+    pairs = t.rejects.groupBy((F.col("granule") % 7).alias("granule_id1"), (F.col("csv_filename") % 3).alias("granule_id2"))
+    return joins.without_rejected(t.photons, pairs.agg(F.sum("photon_count").alias("n")).where("n % 2 = 0")).select(*_IDS)
 
 
 _A1 = f"""{_BINNED},
@@ -351,8 +351,8 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "a22_box_status",
-    f"""WITH {_A1}, x AS (SELECT tile_id, count(*) AS n_cells, sqrt(avg(diff_mean * diff_mean)) AS rmse FROM r GROUP BY 1), b AS (SELECT DISTINCT tile_id FROM fx_cells UNION SELECT n_nationkey + 900000 FROM nation)
-SELECT tile_id, {q6('rmse')} AS rmse, CASE WHEN tile_id >= 900010 THEN 'EMPTY' WHEN n_cells IS NOT NULL THEN 'DONE' ELSE 'PENDING' END AS status FROM b LEFT JOIN x USING (tile_id)""",
+    f"""WITH {_A1}, x AS (SELECT tile_id, count(*) AS n_cells, sqrt(avg(diff_mean * diff_mean)) AS rmse FROM r GROUP BY 1), bx AS (SELECT DISTINCT tile_id FROM fx_cells UNION SELECT n_nationkey + 900000 FROM nation)
+SELECT tile_id, {q6('rmse')} AS rmse, CASE WHEN tile_id >= 900010 THEN 'EMPTY' WHEN n_cells IS NOT NULL THEN 'DONE' ELSE 'PENDING' END AS status FROM bx LEFT JOIN x USING (tile_id)""",
 )
 def _(t: Tables) -> DataFrame:
     boxes = t.cells.select("tile_id").union(t.nation.select((F.col("n_nationkey") + 900000).cast("bigint").alias("tile_id"))).distinct()

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 FIXTURES = {
     # photons: 10 degree tiles side by side, one for each 400 parts
     "fx_photons": """
-SELECT l_orderkey * 8 + l_linenumber AS photon_id, l_orderkey, CAST(l_linenumber AS BIGINT) AS line, l_partkey, l_suppkey,
+SELECT l_orderkey * 8 + l_linenumber AS photon_id, l_orderkey, CAST(l_linenumber AS BIGINT) AS line_no, l_partkey, l_suppkey,
   l_suppkey % 7 AS granule_id1, l_suppkey % 3 AS granule_id2, l_partkey % 6 AS beam,
   CAST(floor(l_partkey / 4e2) AS DOUBLE) * 1e1 + CAST((l_orderkey * 7919 + l_linenumber * 104729) % 4000 AS DOUBLE) / 4e2 AS longitude,
   CAST(40 AS DOUBLE) + CAST((l_partkey * 6271 + l_orderkey * 31 + l_linenumber * 17) % 4000 AS DOUBLE) / 4e2 AS latitude,
@@ -22,7 +22,7 @@ SELECT l_orderkey * 8 + l_linenumber AS photon_id, l_orderkey, CAST(l_linenumber
   floor(l_extendedprice) / 8e0 + CAST(l_linenumber AS DOUBLE) + CAST(l_suppkey % 5 AS DOUBLE) AS h_ellipsoid,
   floor(l_extendedprice) / 8e0 + CAST(l_linenumber AS DOUBLE) - 1.25e-1 AS h_meantide,
   (l_orderkey + l_linenumber * 3) % 6 - 1 AS class_code, (l_partkey + l_linenumber) % 5 AS conf_land,
-  (l_suppkey + l_linenumber) % 5 AS conf_land_ice, CASE WHEN l_orderkey % 11 = 0 THEN 1 ELSE 0 END AS quality_ph,
+  (l_suppkey + l_linenumber) % 5 AS conf_land_ice, CAST(CASE WHEN l_orderkey % 11 = 0 THEN 1 ELSE 0 END AS BIGINT) AS quality_ph,
   CAST((l_orderkey * 13 + l_linenumber) % 300000 AS DOUBLE) / 1e1 AS dist_x, l_shipdate AS ts
 FROM {lineitem}""",
     "fx_cells": """
@@ -53,7 +53,7 @@ SELECT o_orderkey AS segment_id, o_custkey % 6 AS beam, CAST(o_custkey % 4 AS DO
   CAST(o_orderkey AS DOUBLE) * 2e1 AS seg_dist, count(l_orderkey) AS cnt
 FROM {orders} LEFT JOIN {lineitem} ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_custkey""",
     "fx_heights": """
-SELECT o_custkey % 6 AS beam, row_number() OVER (PARTITION BY o_custkey % 6 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS pos,
+SELECT o_custkey % 6 AS beam, row_number() OVER (PARTITION BY o_custkey % 6 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) - 1 AS pos,
   floor(l_extendedprice) / 8e0 AS h, CAST(l_linenumber AS DOUBLE) / 2e0 AS along
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",
     "fx_signal": """
@@ -74,7 +74,7 @@ SELECT p_partkey AS key, concat('ncei', CASE WHEN p_partkey % 3 = 0 THEN '1' ELS
   CAST(p_partkey % 4 * 25 AS STRING), '_w', lpad(CAST(60 + p_partkey % 60 AS STRING), 3, '0'), 'x', CAST(p_size % 4 * 25 AS STRING), '_',
   CAST(2010 + p_size % 14 AS STRING), 'v', CAST(1 + p_size % 2 AS STRING), '_', CASE WHEN p_size % 3 = 0 THEN 'navd88' WHEN p_size % 3 = 1 THEN 'MHW' ELSE 'unk' END, '.tif') AS filename,
   concat('US', CAST(1 + p_size % 5 AS STRING), CASE WHEN p_size % 4 = 0 THEN 'C' WHEN p_size % 4 = 1 THEN 'F' WHEN p_size % 4 = 2 THEN 'H' ELSE 'J' END,
-    lpad(CAST(p_partkey % 97 AS STRING), 4, '0'), '_', CAST(20200101 + p_size AS STRING), '.tiff') AS blue_name,
+    lpad(CAST(p_partkey % 97 AS STRING), 4, '0'), '_', CAST(20200101 + p_size AS STRING), '.tiff') AS coast_name,
   concat(CASE WHEN p_partkey % 2 = 0 THEN 'N' ELSE 'S' END, lpad(CAST(p_partkey % 90 AS STRING), 2, '0'), CASE WHEN p_partkey % 3 = 0 THEN 'E' ELSE 'W' END,
     lpad(CAST(p_partkey % 180 AS STRING), 3, '0')) AS tag, CAST(p_size AS BIGINT) AS size
 FROM {part}""",

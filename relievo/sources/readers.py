@@ -103,13 +103,13 @@ def attribute_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ascii_grids(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """SRC11: ESRI ASCII grids as a grid table and a cell table; missing values have no row."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("tile_id"), F.col("_metadata.file_block_start").alias("at"), F.trim("value").alias("line"))
+    """SRC11: ESRI ASCII grids as a grid table and a cell table, by file path; missing values have no row."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("tile_id"), F.trim("value").alias("line"))
     head = lines.where(F.col("line").rlike(r"^(?i)(ncols|nrows|xll|yll|cellsize|nodata)"))
     pairs = head.select("tile_id", F.lower(F.split("line", r"\s+")[0]).alias("k"), F.split("line", r"\s+")[1].cast("double").alias("v"))
     grid = pairs.groupBy("tile_id").pivot("k", ["ncols", "nrows", "xllcorner", "yllcorner", "cellsize", "nodata_value"]).agg(F.first("v"))
     # whole files keep their row order; one row is a raster row
-    whole = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_name").alias("tile_id"), F.posexplode(F.split("value", r"\r?\n")).alias("n", "line"))
+    whole = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("tile_id"), F.posexplode(F.split("value", r"\r?\n")).alias("n", "line"))
     body = whole.where(F.trim("line").rlike(r"^[-+0-9.]"))
     first = body.groupBy("tile_id").agg(F.min("n").alias("n0"))
     cells = body.join(first, "tile_id").select("tile_id", (F.col("n") - F.col("n0")).alias("i"), F.posexplode(F.split(F.trim("line"), r"\s+")).alias("j", "v"))

@@ -37,6 +37,16 @@ def grid_lines(full: DataFrame, value: str = "value") -> DataFrame:
     return full.groupBy("tile_id", "i").agg(F.array_join(row, " ").alias("line"))
 
 
+def write_ascii(full: DataFrame, grids: DataFrame, path: str, empty: float = -99999.0) -> None:
+    """SNK3: one ASCII grid for each tile, in a folder ``tile=`` of its own; a tile's text has to fit a row."""
+    lines = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "line"))), lambda s: s["line"]), "\n")
+    body = grid_lines(full).groupBy("tile_id").agg(lines.alias("body"))
+    heads = [("ncols", "xsize"), ("nrows", "ysize"), ("xllcorner", "xleft"), ("yllcorner", "ybottom"), ("cellsize", "cell")]
+    head = F.concat_ws("\n", *(F.concat_ws(" ", F.lit(k), F.col(c).cast("string")) for k, c in heads), F.lit(f"NODATA_value {empty}"))
+    rows = body.join(grids, "tile_id").select(F.col("tile_id").alias("tile"), F.concat(head, F.lit("\n"), F.col("body")).alias("value"))
+    rows.repartition("tile").write.partitionBy("tile").text(path)
+
+
 def tracks(photons: DataFrame, order: Column, by: tuple[str, ...] = ("granule_id1", "beam"), x: str = "longitude", y: str = "latitude") -> DataFrame:
     """SNK4: each granule's beams as LINESTRING text; two points at least."""
     points = F.array_sort(F.collect_list(F.struct(order.alias("o"), F.concat_ws(" ", F.col(x).cast("string"), F.col(y).cast("string")).alias("p"))))

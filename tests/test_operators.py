@@ -150,8 +150,8 @@ def test_files_round_trip(spark, tmp_path):
     (tmp_path / "g.asc").write_text("ncols 3\nnrows 2\nxllcorner 0\nyllcorner 0\ncellsize 1\nNODATA_value -9999\n1 2 -9999\n4 5 6\n")
     _, cells = readers.ascii_grids(spark, str(tmp_path / "g.asc"))
     assert [tuple(r)[1:] for r in sorted(cells.collect())] == [(0, 0, 1.0), (0, 1, 2.0), (1, 0, 4.0), (1, 1, 5.0), (1, 2, 6.0)]
-    (tmp_path / "x.xml").write_text("<T><Row><F>1</F><F>20</F><F>NOAA</F><F>4.5</F></Row><Row><F>2</F><F>x</F><F>USGS</F><F>8</F></Row></T>")
-    assert got(readers.attribute_table(spark, str(tmp_path / "x.xml"))) == [(1, 20, "NOAA", 4.5), (2, None, "USGS", 8.0)]
+    (tmp_path / "x.xml").write_text("<T><Row><F>1</F><F>20</F><F>Coast Office</F><F>4.5</F></Row><Row><F>2</F><F>x</F><F>USGS</F><F>8</F></Row></T>")
+    assert got(readers.attribute_table(spark, str(tmp_path / "x.xml"))) == [(1, 20, "Coast Office", 4.5), (2, None, "USGS", 8.0)]
     listed = readers.list_files(spark, str(tmp_path), r"\.asc$", 0)
     assert [r["path"].rsplit("/", 1)[1] for r in listed.collect()] == ["g.asc"]
 

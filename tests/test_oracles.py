@@ -6,7 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from relievo.queries import catalogue, grids, photons  # noqa: F401
+from relievo.queries import catalogue, files, grids, photons  # noqa: F401
 from relievo.queries.registry import ORACLES, QUERIES, TABLES
 
 SF = "/root/testdata/sf0.001"
