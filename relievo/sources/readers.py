@@ -109,7 +109,7 @@ def ascii_grids(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     pairs = head.select("tile_id", F.lower(F.split("line", r"\s+")[0]).alias("k"), F.split("line", r"\s+")[1].cast("double").alias("v"))
     grid = pairs.groupBy("tile_id").pivot("k", ["ncols", "nrows", "xllcorner", "yllcorner", "cellsize", "nodata_value"]).agg(F.first("v"))
     # whole files keep their row order; one row is a raster row
-    whole = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("tile_id"), F.posexplode(F.split("value", r"\r?\n")).alias("n", "line"))
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("tile_id"), F.posexplode(F.split("value", r"\r?\n")).alias("n", "line"))
     body = whole.where(F.trim("line").rlike(r"^[-+0-9.]"))
     first = body.groupBy("tile_id").agg(F.min("n").alias("n0"))
     cells = body.join(first, "tile_id").select("tile_id", (F.col("n") - F.col("n0")).alias("i"), F.posexplode(F.split(F.trim("line"), r"\s+")).alias("j", "v"))
@@ -126,7 +126,7 @@ REGISTRY_KEYS = {
 
 def registry(spark: SparkSession, path: str) -> DataFrame:
     """SRC12: the source registry from its configuration files; values are literals and never evaluated."""
-    rows = spark.read.option("wholetext", True).text(path)
+    rows = spark.read.text(path, wholetext=True)
     value = lambda k: F.nullif(F.trim(F.regexp_extract("value", rf"(?m)^[ \t]*{k}[ \t]*=[ \t]*[\"']?([^\"'#\r\n]*)", 1)), F.lit(""))
     out = rows.select(*(value(k).alias(n) for n, k in REGISTRY_KEYS.items()), F.col("_metadata.file_name").alias("configfile"))
     return out.withColumns({"ranking_score": F.expr("try_cast(ranking_score as double)"), "id_number": F.expr("try_cast(id_number as int)"), "vdatum_epsg": F.expr("try_cast(vdatum_epsg as int)"), "is_active": F.lower("is_active") == "true"})
