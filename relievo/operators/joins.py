@@ -68,8 +68,8 @@ def matched(a: DataFrame, b: DataFrame, key: str, least_share: float = 0.5) -> D
     both = a.select(key).distinct().join(b.select(key).distinct().withColumn("found", F.lit(True)), key, "left")
     share = both.agg(F.avg(F.col("found").isNotNull().cast("double")).alias("share"))
     checked = both.crossJoin(F.broadcast(share))  # one row
-    ok = F.when(F.col("share") >= least_share, True).otherwise(F.raise_error(F.lit("too few granules match")).cast("boolean"))
-    return checked.where(F.col("found") & ok).select(key)
+    kept = F.when(F.col("share") >= least_share, F.coalesce("found", F.lit(False))).otherwise(F.raise_error(F.lit("too few granules match")).cast("boolean"))
+    return checked.where(kept).select(key)
 
 
 def missing_companions(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
