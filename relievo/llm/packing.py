@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from relievo.llm.tokens import _BYTE_CHARS, LETTER, NUMBER, UNSETTLED, slices, specials, tokenizer
+from relievo.llm.tokens import _BYTE_CHARS, _SETTLED, LETTER, NUMBER, UNSETTLED, slices, specials, tokenizer
 from relievo.plans.storage import materialize
 from relievo.plans.text import text_or_empty
 
@@ -38,8 +38,8 @@ END_ID = 2
 #: Distinct pre-tokens that a worker remembers before it forgets them all.
 MEMORY = 1 << 19
 _SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{NUMBER}]|[^\\s{LETTER}{NUMBER}]+")
-#: Lower-casing these is not one letter for one.
-_ODD_CASE = re.compile("İ")
+#: Lower-casing these gives several characters or one that is not settled.
+_ODD_CASE = re.compile("[" + "".join(chr(i) for i in range(0x100, _SETTLED) if len(chr(i).lower()) > 1 or ord(chr(i).lower()) >= _SETTLED) + "]")
 
 
 def cuts(n: int) -> list[int]:
