@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from relievo.plans.storage import materialize
 from relievo.plans.text import text_or_empty
 
 #: Kinds in order, with their patterns. Fixed values for the first three.
@@ -42,6 +43,23 @@ COMPLETES = {
 }
 
 
+#: What a text with a match has to hold: strings in lower case, or a long run.
+_NEEDS = {
+    "assign": ("password", "passwd", "secret", "token", "api"), "access": ("akia",), "weak_id": ("access", "client", "account", "tenant", "key"), "endpoint": ("http",),
+}
+_LONG_RUN = r"(?<![A-Za-z0-9/+])[A-Za-z0-9/+]{32}"
+
+
+def _possible(kind: str) -> Column:
+    """A cheap test that no text with a match fails, before its pattern is tried."""
+    if kind in ("hex", "weak_secret"):
+        return F.col("long_run")
+    found = F.lit(False)
+    for part in _NEEDS[kind]:
+        found = found | F.contains(F.col("low"), F.lit(part))
+    return found
+
+
 def _matches(text: Column, kind: str) -> Column:
     """An array of (kind, place, gap before, length, whether it counts)."""
     pattern = F.lit(PATTERNS[kind])
@@ -57,7 +75,7 @@ def _matches(text: Column, kind: str) -> Column:
             F.length(x["m"]).cast("long").alias("len"), counts.get(kind, lambda _: F.lit(True))(x).alias("ok"),
         ),
     )
-    return F.when(F.rlike(text, pattern), rows)
+    return F.when(_possible(kind) & F.rlike(text, pattern), rows)
 
 
 def _key() -> Column:
@@ -73,7 +91,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def parts(docs: DataFrame) -> DataFrame:
     """``(key, kind, start, stop)`` of every match of every kind, once for each key."""
     text = F.col("text")
-    rows = _keyed(docs).select("key", F.flatten(F.array_compact(F.array(*(_matches(text, k) for k in KINDS)))).alias("all"))
+    seen = _keyed(docs).withColumns({"low": F.lower("text"), "long_run": F.rlike("text", F.lit(_LONG_RUN))})
+    rows = seen.select("key", F.flatten(F.array_compact(F.array(*(_matches(text, k) for k in KINDS)))).alias("all"))
     rows = rows.select("key", F.inline("all")).groupBy("key", "kind", "i").agg(*(F.first(c).alias(c) for c in ("gap", "len", "ok")))
     so_far = Window.partitionBy("key", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     stop = F.sum(F.col("gap") + F.col("len")).over(so_far)
@@ -103,7 +122,7 @@ def _apart(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def spans(docs: DataFrame) -> DataFrame:
     """``(key, kind, start, stop)`` of base spans and of weak parts that others complete."""
-    found = parts(docs)
+    found = materialize(parts(docs), "parts")  # the texts are read once
     base = found.where(F.col("kind") < len(BASE))
     weak = _apart(found.where(F.col("kind") >= len(BASE)), base)
     usable = base.unionByName(weak)
