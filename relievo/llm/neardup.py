@@ -8,11 +8,11 @@ their prefixes under every such order, so a pair has to pass the prefix test und
 all of them before its sets are compared.
 
 The first order's prefixes form the index. Tokens that one document alone has
-there drop out by a count; the rest go through rounds. In a round each posting
-list links its members to one centre only, verified links become components, and
-lists whose members are all in one component are done. When few pairs are left,
-all pairs across components are compared, each once, at the first token that the
-two share. So a group of thousands of near copies costs about one comparison a
+there drop out by a count; the rest go through two rounds. In a round each member
+is compared with one centre of its posting lists only, verified links become
+components, and lists whose members are all in one component are done. Then all
+pairs across components that are left are counted, and those that share as many
+prefix tokens as linked sets of their sizes must are compared. So a group of thousands of near copies costs about one comparison a
 member, and no link between different components is lost.
 
 Defined cases: null and empty texts, and texts of white space, have an empty set,
@@ -25,10 +25,12 @@ texts are taken whole; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,9 +45,8 @@ CELLS = 1 << 20
 _SLICES = 64
 #: Seeds of the orders after the first.
 ORDER_SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-#: Star rounds go on while more pairs than this, for each index row, are left.
-PAIRS_PER_ROW = 4
-MAX_STAR_ROUNDS = 6
+#: Rounds in which a member meets one centre, before all pairs that are left.
+STAR_ROUNDS = 2
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -80,6 +81,17 @@ def prefix_length(n: int) -> int:
     return n - -(-n * NUMERATOR // DENOMINATOR) + 1
 
 
+def least_shared(a: int, b: int) -> int:
+    """Tokens that the prefixes of two linked sets of these sizes share at least.
+
+    Linked sets share at least o = 0.8 (a + b) / 1.8 tokens. The k-th of these has
+    at most a - o tokens of the first set's own before it, so it lies in that set's
+    prefix while k + a - o is at most the prefix's length, and likewise in the other.
+    """
+    o = -(-NUMERATOR * (a + b) // (NUMERATOR + DENOMINATOR))
+    return max(1, o - -(-NUMERATOR * max(a, b) // DENOMINATOR) + 1)
+
+
 def _cells(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(44)).astype(np.int64)
 
@@ -124,8 +136,8 @@ def _prefix(tokens: np.ndarray, classes: np.ndarray, seed: int) -> np.ndarray:
     return tokens[np.argpartition(rank, p - 1)[:p]] if p < len(tokens) else tokens
 
 
-_PROFILE = "doc_id bigint, n bigint, sig string, central double, prefix array<bigint>"
-_PROFILE_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.string()), ("central", pa.float64()), ("prefix", pa.list_(pa.int64()))])
+_PROFILE = "doc_id bigint, n int, sig binary, central int, prefix array<bigint>"
+_PROFILE_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("sig", pa.binary()), ("central", pa.int32()), ("prefix", pa.list_(pa.int64()))])
 
 
 def _profiles(classes: bytes):
@@ -138,42 +150,29 @@ def _profiles(classes: bytes):
             for text in batch.column(1).to_pylist():
                 s = shingles(text)
                 n.append(len(s))
-                sigs.append(xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None)
-                central.append(float(table[_cells(s)].mean()) if len(s) else 0.0)
+                sigs.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
+                central.append(int(1000 * table[_cells(s)].mean()) if len(s) else 0)
                 prefixes.append(_prefix(s, table, 0).view(np.int64) if len(s) else [])
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(n, pa.int64()), pa.array(sigs, pa.string()), pa.array(central), pa.array(prefixes, pa.list_(pa.int64()))],
+                [ids, pa.array(n, pa.int32()), pa.array(sigs, pa.binary()), pa.array(central, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))],
                 schema=_PROFILE_ARROW,
             )
 
     return run
 
 
-_SETS = "sig string, tokens array<bigint>, second array<bigint>, third array<bigint>"
-
-
-def _sets(classes: bytes):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(classes, np.uint8)
-        kind = pa.list_(pa.int64())
-        for batch in batches:
-            sigs, tokens, others = [], [], ([], [])
-            for text in batch.column(0).to_pylist():
-                s = shingles(text)
-                sigs.append(xxhash.xxh3_128_hexdigest(s.tobytes()))
-                tokens.append(s.view(np.int64))
-                for held, seed in zip(others, ORDER_SEEDS, strict=True):
-                    held.append(np.sort(_prefix(s, table, seed)).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(sigs, pa.string()), pa.array(tokens, kind), *(pa.array(o, kind) for o in others)], names=["sig", "tokens", "second", "third"]
-            )
-
-    return run
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        texts = [press.compress(t.encode()) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], names=["doc_id", "packed"])
 
 
-def _values(column: pa.Array) -> list[np.ndarray]:
-    flat, at = column.values.to_numpy(zero_copy_only=False).view(np.uint64), column.offsets.to_numpy()
-    return [flat[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpress = zstandard.ZstdDecompressor()
+    for batch in batches:
+        sigs = [xxhash.xxh3_128_digest(shingles(unpress.decompress(b).decode()).tobytes()) for b in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.binary()), batch.column(0)], names=["sig", "packed"])
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -192,25 +191,39 @@ def similar(a: np.ndarray, b: np.ndarray) -> tuple[bool, float]:
     return DENOMINATOR * i >= NUMERATOR * union, i / union
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links among pairs that pass the prefix tests of the other orders too."""
-    for batch in batches:
-        cols = {n: _values(batch.column(n)) for n in ("tokens_a", "tokens_b", "second_a", "second_b", "third_a", "third_b")}
-        kept, score = [], []
-        for k in range(batch.num_rows):
-            if not (_common(cols["second_a"][k], cols["second_b"][k]) and _common(cols["third_a"][k], cols["third_b"][k])):
-                continue
-            linked, jaccard = similar(cols["tokens_a"][k], cols["tokens_b"][k])
-            if linked:
-                kept.append(k)
-                score.append(jaccard)
-        picked = batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
-        yield pa.RecordBatch.from_arrays([picked.column(0), picked.column(1), pa.array(score, pa.float64())], names=["a", "b", "jaccard"])
+def _verify(classes: bytes):
+    """Links among pairs that pass the prefix tests of the other orders too.
+
+    Texts travel compressed, which is less than their sets would take; the last
+    few sets that a worker has made serve the pairs of one centre.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, unpress = np.frombuffer(classes, np.uint8), zstandard.ZstdDecompressor()
+
+        @lru_cache(maxsize=64)
+        def sets(packed: bytes) -> tuple[np.ndarray, list[np.ndarray]]:
+            s = shingles(unpress.decompress(packed).decode())
+            return s, [np.sort(_prefix(s, table, seed)) for seed in ORDER_SEEDS]
+
+        for batch in batches:
+            kept, score = [], []
+            for k, (x, y) in enumerate(zip(batch.column("packed_a").to_pylist(), batch.column("packed_b").to_pylist(), strict=True)):
+                (a, prefixes_a), (b, prefixes_b) = sets(x), sets(y)
+                if all(_common(p, q) for p, q in zip(prefixes_a, prefixes_b, strict=True)):
+                    linked, jaccard = similar(a, b)
+                    if linked:
+                        kept.append(k)
+                        score.append(jaccard)
+            picked = batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
+            yield pa.RecordBatch.from_arrays([picked.column(0), picked.column(1), pa.array(score, pa.float64())], names=["a", "b", "jaccard"])
+
+    return run
 
 
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    sides = [sets.select(F.col("sig").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("tokens", "second", "third"))) for s in ("a", "b")]
-    return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_verify, "a string, b string, jaccard double")
+def _links(pairs: DataFrame, texts: DataFrame, classes: bytes) -> DataFrame:
+    sides = [texts.select(F.col("node").alias(s), F.col("packed").alias(f"packed_{s}")) for s in ("a", "b")]
+    return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_verify(classes), "a bigint, b bigint, jaccard double")
 
 
 def _fits(a: str, b: str) -> str:
@@ -218,10 +231,16 @@ def _fits(a: str, b: str) -> str:
     return f"least({a}, {b}) * {DENOMINATOR} >= greatest({a}, {b}) * {NUMERATOR}"
 
 
+def _enough(shared: str, a: str, b: str) -> str:
+    """The count filter: see :func:`least_shared`."""
+    both, total = NUMERATOR + DENOMINATOR, f"{NUMERATOR} * ({a} + {b})"
+    return f"{shared} >= ({total} + {both - 1}) div {both} - ({NUMERATOR} * greatest({a}, {b}) + {DENOMINATOR - 1}) div {DENOMINATOR} + 1"
+
+
 def _labelled(index: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The index with components, without lists that lie in one component; and the components."""
     parts = materialize(connected_components(links), "components")
-    rows = index.drop("label").join(parts.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("component", "sig")).drop("component")
+    rows = index.drop("label").join(parts, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
     mixed = rows.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
     return materialize(rows.join(mixed, "token"), "index"), parts
 
@@ -239,53 +258,49 @@ def link_components(docs: DataFrame) -> DataFrame:
     rows = profiles.select("doc_id", F.explode("prefix").alias("token"))
     shared = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token")
     nodes = profiles.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("central").alias("central"))
-    nodes = materialize(nodes, "nodes")
+    nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")  # a set's number is settled once written
     hits = rows.join(shared, "token").select("token", "doc_id")
-    ids = profiles.where("n > 0").select("doc_id", "sig")
-    index = hits.join(ids, hits["doc_id"].eqNullSafe(ids["doc_id"])).select("token", "sig").distinct()
-    index = index.join(nodes.select("sig", "n", "central"), "sig").withColumn("label", F.col("sig"))
-    mixed = index.groupBy("token").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).where("lo <> hi").select("token")
+    ids = materialize(profiles.where("n > 0").select(F.col("doc_id").alias("id"), "sig").join(nodes, "sig").select("id", "node", "n", "central"), "ids")
+    index = hits.join(ids, F.col("doc_id").eqNullSafe(F.col("id"))).select("token", "node", "n", "central").distinct()
+    index = index.withColumn("label", F.col("node"))
+    mixed = index.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("token")
     index = materialize(index.join(mixed, "token"), "index")
 
-    named = index.select("sig").distinct().join(nodes, "sig").select("least_id").distinct()
-    wanted = texts.join(named, texts["doc_id"].eqNullSafe(named["least_id"]), "left_semi").where("text <> ''")
-    sets = wanted.select("text").mapInArrow(_sets(classes), _SETS).join(index.select("sig").distinct(), "sig", "left_semi")
-    sets = materialize(sets.dropDuplicates(["sig"]), "sets")
-
-    links = materialize(spark.createDataFrame([], "a string, b string, jaccard double"), "links")
-    parts = materialize(spark.createDataFrame([], "node string, component string"), "components")
-    tried = materialize(spark.createDataFrame([], "a string, b string"), "tried")
-    for turn in range(MAX_STAR_ROUNDS):
-        size = index.agg(F.count("*").alias("n")).first()["n"]
-        if not size:
-            break
-        lists = index.groupBy("token", "label").agg(F.count("*").alias("m")).groupBy("token").agg(F.sum("m").alias("all"), F.sum(F.col("m") * F.col("m")).alias("same"))
-        left = lists.agg(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2).alias("n")).first()["n"]
-        if left <= PAIRS_PER_ROW * size:
-            break
+    named = index.select("node").distinct().join(nodes, "node").select("node", "sig", "least_id")
+    packed = texts.where("text <> ''").mapInArrow(_packed, "doc_id bigint, packed binary")
+    wanted = packed.join(named.select("least_id").distinct(), F.col("doc_id").eqNullSafe(F.col("least_id")), "left_semi")
+    signed = wanted.select("packed").mapInArrow(_signed, "sig binary, packed binary")
+    held = materialize(signed.join(named, "sig").dropDuplicates(["node"]).select("node", "packed"), "texts")
+
+    links = materialize(spark.createDataFrame([], "a bigint, b bigint, jaccard double"), "links")
+    parts = materialize(spark.createDataFrame([], "node bigint, component bigint"), "components")
+    tried = materialize(spark.createDataFrame([], "a bigint, b bigint"), "tried")
+    for turn in range(STAR_ROUNDS):
         # the first centre is the member with the commonest tokens, later ones go by a hash
-        rank = F.struct("central", "sig") if turn == 0 else F.struct(F.xxhash64(F.lit(turn), "sig"), "sig")
-        centres = index.groupBy("token").agg(F.max_by(F.struct("sig", "n", "label"), rank).alias("c"))
+        rank = F.struct(F.col("central").cast("bigint"), "node") if turn == 0 else F.struct(F.xxhash64(F.lit(turn), "node"), "node")
+        centres = index.groupBy("token").agg(F.max_by(F.struct("node", "n", "label"), rank).alias("c"))
         stars = index.join(centres, "token").where("label <> c.label").where(_fits("n", "c.n"))
-        stars = stars.select(F.least("sig", "c.sig").alias("a"), F.greatest("sig", "c.sig").alias("b")).distinct()
-        stars = materialize(stars.join(tried, ["a", "b"], "left_anti"), "stars")
+        # of the centres of its lists a member tries the one that it shares most of them with
+        votes = stars.groupBy("node", F.col("c.node").alias("centre"), "n", F.col("c.n").alias("centre_n")).agg(F.count("*").alias("m"))
+        votes = votes.where(_enough("m", "n", "centre_n"))
+        votes = votes.withColumns({"a": F.least("node", "centre"), "b": F.greatest("node", "centre")}).join(tried, ["a", "b"], "left_anti")
+        stars = votes.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("m", "centre")).alias("p")).select("p.a", "p.b").distinct()
+        stars = materialize(stars, "stars")
         tried = tried.unionByName(stars)
-        links = links.unionByName(materialize(_links(stars, sets), "links"))
+        links = links.unionByName(materialize(_links(stars, held, classes), "links"))
         index, parts = _labelled(index, links)
-    firsts = index.groupBy("sig").agg(F.collect_list("token").alias("tokens"))  # at most a prefix
-    full = index.join(firsts, "sig")
-    earlier = "exists(x.tokens, t -> t < x.token and array_contains(y.tokens, t))"
-    pairs = full.alias("x").join(full.alias("y"), "token").where("x.sig < y.sig and x.label <> y.label").where(_fits("x.n", "y.n"))
-    pairs = pairs.where(f"not {earlier.replace('x.token ', 'token ')}").select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b"))
+    pairs = index.alias("x").join(index.alias("y"), "token").where("x.node < y.node and x.label <> y.label").where(_fits("x.n", "y.n"))
+    pairs = pairs.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")).agg(F.count("*").alias("m"))
+    pairs = pairs.where(_enough("m", "na", "nb")).select("a", "b")
     pairs = pairs.join(tried, ["a", "b"], "left_anti")
-    last = materialize(_links(pairs, sets), "links")
+    last = materialize(_links(pairs, held, classes), "links")
     links = links.unionByName(last)
     if not last.isEmpty():
         parts = materialize(connected_components(links), "components")
 
-    degree = links.select(F.explode(F.array("a", "b")).alias("sig")).groupBy("sig").agg(F.count("*").alias("n_links"))
-    grouped = nodes.join(parts.withColumnRenamed("node", "sig"), "sig", "left").join(degree, "sig", "left")
-    grouped = grouped.withColumn("component", F.coalesce("component", "sig"))
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    grouped = nodes.join(parts, "node", "left").join(degree, "node", "left")
+    grouped = grouped.withColumn("component", F.coalesce("component", "node"))
     least = grouped.groupBy("component").agg(F.min("least_id").alias("component_id"))
     grouped = grouped.join(least, "component").select("sig", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     out = profiles.select("doc_id", F.col("n").alias("n_shingles"), "sig").join(grouped, "sig", "left")
