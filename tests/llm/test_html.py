@@ -22,6 +22,14 @@ def test_cut_off_pages_and_odd_input():
     assert html_text.main_text("<article>" + "<p>word</p>" * 5000) == "\n".join(["word"] * 5000)
 
 
+def test_only_whole_attribute_names_count():
+    for kept in ('style="overflow:hidden"', 'title="hidden gem"', "title='a id=ad'", 'data-id="comment-5"', "data-class=ad", "data-x=class"):
+        page = f"<article><p>a</p><div {kept}><p>text</p></div></article>"
+        assert html_text.main_text(page) == "a\ntext", kept
+    for dropped in ("hidden", 'HIDDEN=""', "id=comments", "title='x' class = 'a ad'", 'aria-hidden="true"', "role=search"):
+        assert html_text.main_text(f"<article><p>a</p><div {dropped}><p>text</p></div></article>") == "a", dropped
+
+
 def pages(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string, text string, hashes int, host string")
 
