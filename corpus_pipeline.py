@@ -4,28 +4,38 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from relievo.llm import decontaminate, neardup, packing, quality, secrets
 from relievo.plans.storage import materialize
+from relievo.plans.text import row_key
 
 
-def _with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents that the ids name, and those without an id, which no result can name."""
-    named = docs.join(ids.where("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi")
-    return named.unionByName(docs.where("doc_id is null"))
+def _by_row(docs: DataFrame) -> DataFrame:
+    """What operators read of the documents, each row under the key of its id and text."""
+    return docs.select(row_key().alias("doc_id"), *(c for c in docs.columns if c != "doc_id"))
+
+
+def _rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The documents whose keys are among the distinct ``__row``, with their key."""
+    return docs.withColumn("__row", row_key()).join(keys, "__row", "left_semi")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the classifier accepts."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return _with_ids(docs, quality.classify(docs, quality.trusted_documents(labels)).where("keep"))
+    trusted = quality.trusted_documents(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    trusted = docs.join(trusted, "doc_id", "left_semi").select(row_key().alias("doc_id")).distinct()
+    kept = quality.classify(_by_row(docs), trusted).where("keep").select(F.col("doc_id").alias("__row")).distinct()
+    return _rows(docs, kept).select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the least id of each group of near duplicates, once."""
-    first = neardup.link_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    once = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])  # rows already meet by id
-    return once.unionByName(docs.where("doc_id is null"))
+    """Keep the document with the least id of each group of near duplicates, once; null ids come last."""
+    groups = neardup.link_components(_by_row(docs)).select(F.col("doc_id").alias("__row"), "component_id").distinct()
+    named = groups.join(docs.select(row_key().alias("__row"), "doc_id").distinct(), "__row")
+    least = F.min(F.struct(F.isnull("doc_id").alias("absent"), "doc_id", "__row")).alias("least")
+    first = named.groupBy("component_id").agg(least).select("least.__row")
+    return _rows(docs, first).dropDuplicates(["__row"]).select(*docs.columns)  # rows already meet by key
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

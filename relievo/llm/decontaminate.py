@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relievo.llm.tokens import slices
-from relievo.plans.text import text_or_empty
+from relievo.plans.text import row_key, text_or_empty
 
 K1, B = 1.2, 0.75
 #: Share of an item's score against itself that a passage has to reach.
@@ -289,6 +289,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = THRE
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no test item; rows with a null id are judged as one document."""
-    hits = contamination(docs, benchmark).select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(hits, docs["doc_id"].eqNullSafe(hits["__hit"]), "left_anti")
+    """The documents that hold no test item; each row is judged by its id and text."""
+    keyed = docs.withColumn("__row", row_key())
+    hits = contamination(docs.select(row_key().alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("__row")).distinct()
+    return keyed.join(hits, "__row", "left_anti").select(*docs.columns)

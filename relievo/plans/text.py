@@ -9,3 +9,8 @@ from pyspark.sql import functions as F
 def text_or_empty(name: str = "text") -> Column:
     """The column as a string, null as the empty string."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+def row_key() -> Column:
+    """A key of a row's doc_id, null included, and its text: a 64-bit hash, so it can stand in for the id."""
+    return F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), text_or_empty())
