@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,12 +32,31 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{work_uri(spark)}/relievo/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back.
+def materialize(df: DataFrame, label: str, under: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder, or to a folder in it, and read it back.
 
     Later stages then start from files that outlive any executor.
     """
     spark = df.sparkSession
-    path = new_folder(spark, label)
+    path = f"{under}/{label}-{uuid.uuid4().hex}" if under else new_folder(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def delete(spark: SparkSession, uri: str) -> None:
+    """Delete a folder through the file system that Spark reads it by."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A function like :func:`materialize` whose tables go at the end of the block.
+
+    What is to outlive the block has to be written elsewhere within it.
+    """
+    folder = new_folder(spark, label)
+    try:
+        yield lambda df, name: materialize(df, name, folder)
+    finally:
+        delete(spark, folder)
