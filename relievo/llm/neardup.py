@@ -3,39 +3,49 @@
 A document's set holds its distinct five-word shingles as 64-bit hashes. A global
 order sorts tokens by how often they occur (rare first, in classes of powers of
 two of a fixed-size count table over all documents) and by a hash of its own
-within a class. Two sets with Jaccard similarity of at least 0.8 share a token in
-their prefixes under every such order, so a pair has to pass the prefix test under
-all of them before its sets are compared.
-
-The first order's prefixes form the index. Tokens that one document alone has
-there drop out by a count; the rest go through two rounds. In a round each member
-is compared with one centre of its posting lists only, verified links become
-components, and lists whose members are all in one component are done. Then all
-pairs across components that are left are counted, and those that share as many
-prefix tokens as linked sets of their sizes must are compared. So a group of thousands of near copies costs about one comparison a
-member, and no link between different components is lost.
+within a class. Two sets with Jaccard similarity of at least 0.8 share tokens in
+their prefixes under every such order, and a pair has to pass all of them, in
+joins, before any text moves.
+
+Equal sets are one node from the start. The first order's prefixes form the index
+of nodes, with each token's place in its node's order. Linked sets of sizes a and b
+share at least ``o = 0.8 (a + b) / 1.8`` tokens, so the first one that they share
+has at most ``a - o`` and ``b - o`` tokens before it; this bound of the two places
+is part of every join condition. A token serves if one of its nodes has it in the
+first ninth, the most that the smaller set of a pair can have before it.
+
+The index goes through rounds. In a round each node meets one centre of its
+posting lists only, verified links become components, and lists whose nodes are
+all in one component are done. Rounds end when what is left would make few pairs
+for its size; these pairs, across components, are then all tried. A pair that met
+in the index goes on if its prefixes under each other order share as many tokens
+as linked sets of these sizes must. So a group of thousands of near copies costs
+about one comparison a member, and no link between different components is lost.
 
 Defined cases: null and empty texts, and texts of white space, have an empty set,
 link with nothing and are their own component; a null doc_id takes part, and its
 component is the least non-null id of its group (null if there is none); repeated
 rows come back as often as they went in; an empty table gives an empty result;
-texts are taken whole; other columns are ignored.
+texts are taken whole, very long ones alone; sets of equal rank in an order are
+told apart by their tokens' values; other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from relievo.llm.tokens import slices
 from relievo.plans.components import connected_components
-from relievo.plans.storage import materialize
+from relievo.plans.storage import materialize, scratch
 from relievo.plans.text import text_or_empty
 
 WORDS = 5
@@ -45,8 +55,8 @@ CELLS = 1 << 20
 _SLICES = 64
 #: Seeds of the orders after the first.
 ORDER_SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-#: Rounds in which a member meets one centre, before all pairs that are left.
-STAR_ROUNDS = 2
+#: Rounds in which a node meets one centre go on while the pairs left are over so many for each row of the index, up to a number of rounds.
+PAIRS_A_ROW, MOST_ROUNDS = 2, 6
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -58,22 +68,32 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str) -> np.ndarray:
-    """The sorted distinct hashes of a text's shingles.
+def _hashed(words: np.ndarray, width: int) -> np.ndarray:
+    """A hash of every run of ``width`` words."""
+    n = max(0, len(words) - width + 1)
+    s = np.full(n, width, np.uint64)
+    for k in range(width):
+        s = _mixed(s * _MUL + words[k : n + k])
+    return s
+
+
+def shingle_sets(texts: list[str]) -> list[np.ndarray]:
+    """The sorted distinct hashes of each text's shingles.
 
     ``bytes.lower`` and ``bytes.split`` change and split at exactly the letters
     A-Z and the white space that the definition names.
     """
-    words = text.encode().lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    digest = xxhash.xxh3_64_intdigest
-    w = np.array([digest(x) for x in words], np.uint64)
-    n = max(1, len(w) - WORDS + 1)
-    s = np.full(n, min(len(w), WORDS), np.uint64)
-    for k in range(min(len(w), WORDS)):
-        s = _mixed(s * _MUL + w[k : n + k])
-    return np.unique(s)
+    words = [t.encode().lower().split() for t in texts]
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(words)), np.uint64, sum(map(len, words)))
+    runs, sets, at = _hashed(hashes, WORDS), [], 0
+    for n in map(len, words):  # runs that cross texts are left out
+        sets.append(np.unique(runs[at : at + n - WORDS + 1]) if n >= WORDS else _hashed(hashes[at : at + n], n) if n else runs[:0])
+        at += n
+    return sets
+
+
+def shingles(text: str) -> np.ndarray:
+    return shingle_sets([text])[0]
 
 
 def prefix_length(n: int) -> int:
@@ -100,10 +120,8 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of the partition's tokens by cell, in slices."""
     counts = np.zeros(CELLS, np.int64)
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            s = shingles(text)
-            if len(s):
-                np.add.at(counts, _cells(s), 1)
+        for run in slices(batch.column(0).to_pylist()):
+            counts += np.bincount(_cells(np.concatenate(shingle_sets(run))), minlength=CELLS)
     width = CELLS // _SLICES
     yield pa.RecordBatch.from_arrays(
         [pa.array(range(_SLICES), pa.int32()), pa.array([counts[i * width : (i + 1) * width].astype("<i4").tobytes() for i in range(_SLICES)], pa.binary())],
@@ -129,50 +147,65 @@ def token_classes(docs: DataFrame) -> bytes:
     return b"".join(by.get(i, bytes(CELLS // _SLICES)) for i in range(_SLICES))
 
 
-def _prefix(tokens: np.ndarray, classes: np.ndarray, seed: int) -> np.ndarray:
-    """The prefix under an order: by class, then by a hash of the order's own."""
+def _prefixes(sets: list[np.ndarray], classes: np.ndarray, seed: int) -> list[np.ndarray]:
+    """Prefixes, sorted, under an order: by class, then by a hash of the order's own, then by the tokens themselves."""
+    tokens = np.concatenate([*sets, np.empty(0, np.uint64)])
     rank = _mixed(tokens ^ np.uint64(seed)) >> np.uint64(8) | classes[_cells(tokens)].astype(np.uint64) << np.uint64(56)
-    p = prefix_length(len(tokens))
-    return tokens[np.argpartition(rank, p - 1)[:p]] if p < len(tokens) else tokens
+    out, at = [], 0
+    for s in sets:
+        out.append(s[np.argsort(rank[at : at + len(s)], kind="stable")[: prefix_length(len(s))]] if len(s) else s)
+        at += len(s)
+    return out
+
+
+def _arrays(parts: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, parts)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*parts, np.empty(0, np.uint64)]).view(np.int64)))
 
 
-_PROFILE = "doc_id bigint, n int, sig binary, central int, prefix array<bigint>"
-_PROFILE_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("sig", pa.binary()), ("central", pa.int32()), ("prefix", pa.list_(pa.int64()))])
+_PROFILE = "doc_id bigint, n int, sig binary, central int, prefix array<bigint>, packed binary"
 
 
 def _profiles(classes: bytes):
-    """Per document: the set's size and digest, how common its tokens are, its first prefix."""
+    """Per document: the set's size and digest, how common its tokens are, its first prefix, and the text compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(classes, np.uint8)
+        table, press = np.frombuffer(classes, np.uint8), zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            ids, n, sigs, central, prefixes = batch.column(0), [], [], [], []
-            for text in batch.column(1).to_pylist():
-                s = shingles(text)
-                n.append(len(s))
-                sigs.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                central.append(int(1000 * table[_cells(s)].mean()) if len(s) else 0)
-                prefixes.append(_prefix(s, table, 0).view(np.int64) if len(s) else [])
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(n, pa.int32()), pa.array(sigs, pa.binary()), pa.array(central, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))],
-                schema=_PROFILE_ARROW,
-            )
+            done = 0
+            for texts in slices(batch.column(1).to_pylist()):
+                sets = shingle_sets(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(done, len(texts)), pa.array([len(s) for s in sets], pa.int32()),
+                        pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
+                        pa.array([int(1000 * table[_cells(s)].mean()) if len(s) else 0 for s in sets], pa.int32()),
+                        _arrays(_prefixes(sets, table, 0)), pa.array([press.compress(t.encode()) for t in texts], pa.binary()),
+                    ],
+                    names=["doc_id", "n", "sig", "central", "prefix", "packed"],
+                )
+                done += len(texts)
 
     return run
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    press = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
-        texts = [press.compress(t.encode()) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], names=["doc_id", "packed"])
+_HELD = "node bigint, packed binary, prefixes array<array<bigint>>"
 
 
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    unpress = zstandard.ZstdDecompressor()
-    for batch in batches:
-        sigs = [xxhash.xxh3_128_digest(shingles(unpress.decompress(b).decode()).tobytes()) for b in batch.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.binary()), batch.column(0)], names=["sig", "packed"])
+def _held(classes: bytes):
+    """Per node its prefixes under the other orders."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, unpress = np.frombuffer(classes, np.uint8), zstandard.ZstdDecompressor()
+        for batch in batches:
+            found: list[np.ndarray] = []
+            for texts in slices([unpress.decompress(b).decode() for b in batch.column("packed").to_pylist()]):
+                sets = shingle_sets(texts)
+                found += chain.from_iterable(zip(*(_prefixes(sets, table, seed) for seed in ORDER_SEEDS), strict=True))
+            both = pa.ListArray.from_arrays(pa.array(range(0, len(found) + 1, len(ORDER_SEEDS)), pa.int32()), _arrays(found))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("packed"), both], names=["node", "packed", "prefixes"])
+
+    return run
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -191,120 +224,138 @@ def similar(a: np.ndarray, b: np.ndarray) -> tuple[bool, float]:
     return DENOMINATOR * i >= NUMERATOR * union, i / union
 
 
-def _verify(classes: bytes):
-    """Links among pairs that pass the prefix tests of the other orders too.
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links among pairs of compressed texts; the last few sets that a worker has made serve the pairs of one centre."""
+    unpress = zstandard.ZstdDecompressor()
 
-    Texts travel compressed, which is less than their sets would take; the last
-    few sets that a worker has made serve the pairs of one centre.
-    """
+    @lru_cache(maxsize=64)
+    def tokens(packed: bytes) -> np.ndarray:
+        return shingles(unpress.decompress(packed).decode())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, unpress = np.frombuffer(classes, np.uint8), zstandard.ZstdDecompressor()
+    for batch in batches:
+        kept, score = [], []
+        for k, (x, y) in enumerate(zip(batch.column("packed_a").to_pylist(), batch.column("packed_b").to_pylist(), strict=True)):
+            linked, jaccard = similar(tokens(x), tokens(y))
+            if linked:
+                kept.append(k)
+                score.append(jaccard)
+        picked = batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
+        yield pa.RecordBatch.from_arrays([picked.column(0), picked.column(1), pa.array(score, pa.float64())], names=["a", "b", "jaccard"])
 
-        @lru_cache(maxsize=64)
-        def sets(packed: bytes) -> tuple[np.ndarray, list[np.ndarray]]:
-            s = shingles(unpress.decompress(packed).decode())
-            return s, [np.sort(_prefix(s, table, seed)) for seed in ORDER_SEEDS]
 
-        for batch in batches:
-            kept, score = [], []
-            for k, (x, y) in enumerate(zip(batch.column("packed_a").to_pylist(), batch.column("packed_b").to_pylist(), strict=True)):
-                (a, prefixes_a), (b, prefixes_b) = sets(x), sets(y)
-                if all(_common(p, q) for p, q in zip(prefixes_a, prefixes_b, strict=True)):
-                    linked, jaccard = similar(a, b)
-                    if linked:
-                        kept.append(k)
-                        score.append(jaccard)
-            picked = batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
-            yield pa.RecordBatch.from_arrays([picked.column(0), picked.column(1), pa.array(score, pa.float64())], names=["a", "b", "jaccard"])
+def _needed(a: str, b: str) -> str:
+    """Tokens that linked sets of these sizes share at least."""
+    return f"(({NUMERATOR}L * ({a} + {b}) + {NUMERATOR + DENOMINATOR - 1}) div {NUMERATOR + DENOMINATOR})"
 
-    return run
 
+def _meets(x: str, y: str) -> str:
+    """Whether a token in two sets can be the first that they share, if they are linked; it implies the length filter."""
+    return f"{x}.at <= {x}.n - {_needed(f'{x}.n', f'{y}.n')} and {y}.at <= {y}.n - {_needed(f'{x}.n', f'{y}.n')}"
 
-def _links(pairs: DataFrame, texts: DataFrame, classes: bytes) -> DataFrame:
-    sides = [texts.select(F.col("node").alias(s), F.col("packed").alias(f"packed_{s}")) for s in ("a", "b")]
-    return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_verify(classes), "a bigint, b bigint, jaccard double")
 
-
-def _fits(a: str, b: str) -> str:
-    """The length filter: the smaller set has at least 0.8 of the larger one's size."""
-    return f"least({a}, {b}) * {DENOMINATOR} >= greatest({a}, {b}) * {NUMERATOR}"
+#: Whether a token can be the first that a set shares with one of its size or larger.
+_EARLY = f"at <= n - {_needed('n', 'n')}"
 
 
 def _enough(shared: str, a: str, b: str) -> str:
     """The count filter: see :func:`least_shared`."""
-    both, total = NUMERATOR + DENOMINATOR, f"{NUMERATOR} * ({a} + {b})"
-    return f"{shared} >= ({total} + {both - 1}) div {both} - ({NUMERATOR} * greatest({a}, {b}) + {DENOMINATOR - 1}) div {DENOMINATOR} + 1"
+    return f"{shared} >= {_needed(a, b)} - ({NUMERATOR}L * greatest({a}, {b}) + {DENOMINATOR - 1}) div {DENOMINATOR} + 1"
+
+
+def _ordered(x: str, nx: str, y: str, ny: str) -> list[Column]:
+    """Two nodes with their sizes as ``a, b, na, nb``, the lesser node first."""
+    first = F.col(x) < F.col(y)
+    return [F.when(first, F.col(p)).otherwise(F.col(q)).alias(name) for name, p, q in (("a", x, y), ("b", y, x), ("na", nx, ny), ("nb", ny, nx))]
+
+
+def _links(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """The links among candidates ``(a, b, na, nb)``: those that meet under the other orders, and then in their texts."""
+    sides = [held.select(F.col("node").alias(s), F.col("prefixes").alias(f"prefixes_{s}")) for s in ("a", "b")]
+    met = pairs.join(sides[0], "a").join(sides[1], "b")
+    for k in range(len(ORDER_SEEDS)):
+        met = met.where(_enough(f"size(array_intersect(prefixes_a[{k}], prefixes_b[{k}]))", "na", "nb"))
+    texts = [held.select(F.col("node").alias(s), F.col("packed").alias(f"packed_{s}")) for s in ("a", "b")]
+    return met.select("a", "b").join(texts[0], "a").join(texts[1], "b").mapInArrow(_verify, "a bigint, b bigint, jaccard double")
+
+
+def _useful(index: DataFrame) -> DataFrame:
+    """The index without lists that lie in one component or that no smaller set of a pair has early."""
+    lists = index.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.bool_or(F.expr(_EARLY)).alias("early"))
+    return index.join(lists.where("lo <> hi and early").select("token"), "token")
 
 
-def _labelled(index: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The index with components, without lists that lie in one component; and the components."""
-    parts = materialize(connected_components(links), "components")
-    rows = index.drop("label").join(parts, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
-    mixed = rows.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
-    return materialize(rows.join(mixed, "token"), "index"), parts
+def _pairs_left(index: DataFrame) -> tuple[int, int]:
+    """How many pairs of rows the lists have, one of them early, and how many rows."""
+    sizes = index.groupBy("token").agg(F.count("*").alias("rows"), F.count_if(F.expr(_EARLY)).alias("early"))
+    row = sizes.agg(F.sum(F.col("rows") * F.col("early")).alias("pairs"), F.sum("rows").alias("rows")).first()
+    return row["pairs"] or 0, row["rows"] or 0
 
 
 def link_components(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, n_links)`` of every document.
+    """``(doc_id, n_shingles, component_id, n_verified)`` of every document.
 
-    ``n_links`` counts the verified links of the document's set with other sets;
-    links inside a component that were never needed are not counted.
+    ``n_verified`` counts the links of the document's set that were compared:
+    links inside a component that were never needed are not among them.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     classes = token_classes(texts)
-    profiles = materialize(texts.mapInArrow(_profiles(classes), _PROFILE), "profiles")
-    rows = profiles.select("doc_id", F.explode("prefix").alias("token"))
-    shared = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token")
-    nodes = profiles.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("central").alias("central"))
-    nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")  # a set's number is settled once written
-    hits = rows.join(shared, "token").select("token", "doc_id")
-    ids = materialize(profiles.where("n > 0").select(F.col("doc_id").alias("id"), "sig").join(nodes, "sig").select("id", "node", "n", "central"), "ids")
-    index = hits.join(ids, F.col("doc_id").eqNullSafe(F.col("id"))).select("token", "node", "n", "central").distinct()
-    index = index.withColumn("label", F.col("node"))
-    mixed = index.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("token")
-    index = materialize(index.join(mixed, "token"), "index")
-
-    named = index.select("node").distinct().join(nodes, "node").select("node", "sig", "least_id")
-    packed = texts.where("text <> ''").mapInArrow(_packed, "doc_id bigint, packed binary")
-    wanted = packed.join(named.select("least_id").distinct(), F.col("doc_id").eqNullSafe(F.col("least_id")), "left_semi")
-    signed = wanted.select("packed").mapInArrow(_signed, "sig binary, packed binary")
-    held = materialize(signed.join(named, "sig").dropDuplicates(["node"]).select("node", "packed"), "texts")
-
-    links = materialize(spark.createDataFrame([], "a bigint, b bigint, jaccard double"), "links")
-    parts = materialize(spark.createDataFrame([], "node bigint, component bigint"), "components")
-    tried = materialize(spark.createDataFrame([], "a bigint, b bigint"), "tried")
-    for turn in range(STAR_ROUNDS):
-        # the first centre is the member with the commonest tokens, later ones go by a hash
-        rank = F.struct(F.col("central").cast("bigint"), "node") if turn == 0 else F.struct(F.xxhash64(F.lit(turn), "node"), "node")
-        centres = index.groupBy("token").agg(F.max_by(F.struct("node", "n", "label"), rank).alias("c"))
-        stars = index.join(centres, "token").where("label <> c.label").where(_fits("n", "c.n"))
-        # of the centres of its lists a member tries the one that it shares most of them with
-        votes = stars.groupBy("node", F.col("c.node").alias("centre"), "n", F.col("c.n").alias("centre_n")).agg(F.count("*").alias("m"))
-        votes = votes.where(_enough("m", "n", "centre_n"))
-        votes = votes.withColumns({"a": F.least("node", "centre"), "b": F.greatest("node", "centre")}).join(tried, ["a", "b"], "left_anti")
-        stars = votes.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("m", "centre")).alias("p")).select("p.a", "p.b").distinct()
-        stars = materialize(stars, "stars")
-        tried = tried.unionByName(stars)
-        links = links.unionByName(materialize(_links(stars, held, classes), "links"))
-        index, parts = _labelled(index, links)
-    pairs = index.alias("x").join(index.alias("y"), "token").where("x.node < y.node and x.label <> y.label").where(_fits("x.n", "y.n"))
-    pairs = pairs.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")).agg(F.count("*").alias("m"))
-    pairs = pairs.where(_enough("m", "na", "nb")).select("a", "b")
-    pairs = pairs.join(tried, ["a", "b"], "left_anti")
-    last = materialize(_links(pairs, held, classes), "links")
-    links = links.unionByName(last)
-    if not last.isEmpty():
-        parts = materialize(connected_components(links), "components")
-
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    grouped = nodes.join(parts, "node", "left").join(degree, "node", "left")
-    grouped = grouped.withColumn("component", F.coalesce("component", "node"))
-    least = grouped.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    grouped = grouped.join(least, "component").select("sig", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    out = profiles.select("doc_id", F.col("n").alias("n_shingles"), "sig").join(grouped, "sig", "left")
-    return out.select(
-        "doc_id", "n_shingles", F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-    )
+    with scratch(spark, "neardup") as keep:
+        rows = texts.mapInArrow(_profiles(classes), _PROFILE).withColumn("row", F.monotonically_increasing_id())
+        profiles = keep(rows, "profiles")  # a row's number is settled once written
+        nodes = profiles.where("n > 0").groupBy("sig").agg(F.min("row").alias("node"), F.min("doc_id").alias("least_id"))
+        nodes = keep(nodes, "nodes")
+        members = keep(profiles.select("doc_id", "n", "sig").join(nodes.select("sig", "node"), "sig", "left").drop("sig"), "members")
+        of_nodes = profiles.join(nodes.select("node"), F.col("row") == F.col("node"))
+        tokens = of_nodes.select("node", "n", F.posexplode("prefix").alias("at", "token"))
+        lists = tokens.groupBy("token").agg(F.count("*").alias("df"), F.bool_or(F.expr(_EARLY)).alias("early"))
+        hits = tokens.drop("n").join(lists.where("df > 1 and early").select("token"), "token")
+        sizes = profiles.select(F.col("row").alias("node"), "n", "central")
+        index = keep(hits.join(sizes, "node").withColumn("label", F.col("node")), "index")
+        named = of_nodes.join(index.select("node").distinct(), "node", "left_semi").select("node", "packed")
+        held = keep(named.mapInArrow(_held(classes), _HELD), "held")
+
+        links = keep(spark.createDataFrame([], "a bigint, b bigint, jaccard double"), "links")
+        tried = keep(spark.createDataFrame([], "a bigint, b bigint"), "tried")
+        parts = spark.createDataFrame([], "node bigint, component bigint")
+        for turn in range(MOST_ROUNDS):
+            pairs_left, rows_left = _pairs_left(index)
+            if pairs_left <= PAIRS_A_ROW * rows_left:
+                break
+            # the first centre is the member with the commonest tokens, later ones go by a hash
+            rank = F.struct(F.col("central").cast("bigint"), "node") if turn == 0 else F.struct(F.xxhash64(F.lit(turn), "node"), "node")
+            centres = index.groupBy("token").agg(F.max_by(F.struct("node", "n", "label", "at"), rank).alias("c"))
+            stars = index.alias("x").join(centres, "token").where("x.label <> c.label").where(_meets("x", "c"))
+            # of the centres of its lists a node tries the one that it shares most of them with
+            votes = stars.groupBy("x.node", F.col("c.node").alias("centre"), "x.n", F.col("c.n").alias("centre_n")).agg(F.count("*").alias("m"))
+            votes = votes.select("m", "node", *_ordered("node", "n", "centre", "centre_n"))
+            votes = votes.join(tried, ["a", "b"], "left_anti")
+            best = votes.groupBy("node").agg(F.max_by(F.struct("a", "b", "na", "nb"), F.struct("m", "a", "b")).alias("p"))
+            stars = keep(best.select("p.*").distinct(), "stars")
+            tried = tried.unionByName(stars.select("a", "b"))
+            links = links.unionByName(keep(_links(stars, held), "links"))
+            parts = connected_components(links, keep)
+            labels = index.drop("label").join(parts, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+            index = keep(_useful(labels), "index")
+        # x is the larger set of a pair
+        pairs = index.alias("x").join(index.where(_EARLY).alias("y"), "token").where("x.label <> y.label").where(_meets("x", "y"))
+        pairs = pairs.where("y.n < x.n or y.n = x.n and y.node < x.node")
+        pairs = pairs.select(*_ordered("x.node", "x.n", "y.node", "y.n")).distinct().join(tried, ["a", "b"], "left_anti")
+        last = keep(_links(pairs, held), "links")
+        links = links.unionByName(last)
+        if not last.isEmpty():
+            parts = connected_components(links, keep)
+
+        degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_verified"))
+        grouped = nodes.join(parts, "node", "left").join(degree, "node", "left")
+        grouped = grouped.withColumn("component", F.coalesce("component", "node"))
+        least = grouped.groupBy("component").agg(F.min("least_id").alias("component_id"))
+        grouped = grouped.join(least, "component").select("node", "component_id", "n_verified")
+        out = members.join(grouped, "node", "left")
+        return materialize(
+            out.select(
+                "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+                F.coalesce("n_verified", F.lit(0)).cast("long").alias("n_verified"),
+            ),
+            "groups",
+        )

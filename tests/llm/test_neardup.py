@@ -71,7 +71,9 @@ def test_a_large_group_of_near_copies_and_a_common_passage(spark):
 def test_stars_and_pairs_find_the_same(spark, monkeypatch):
     rows = [(k, edited(prose(60 + k % 4, 80), 300 + k, 0.02)) for k in range(60)]
     check(spark, rows)
-    monkeypatch.setattr(neardup, "STAR_ROUNDS", 0)
+    monkeypatch.setattr(neardup, "PAIRS_A_ROW", 0)
+    check(spark, rows)
+    monkeypatch.setattr(neardup, "MOST_ROUNDS", 0)
     check(spark, rows)
 
 
@@ -91,5 +93,15 @@ def test_prefixes_of_similar_sets_meet_under_every_order(n):
     b = np.unique(np.concatenate([np.delete(a, drop), r.integers(0, 2**63, len(drop)).astype(np.uint64)]))
     if neardup.similar(a, b)[0]:
         for seed in (0, *neardup.ORDER_SEEDS):
-            shared = set(neardup._prefix(a, classes, seed)) & set(neardup._prefix(b, classes, seed))
+            pa, pb = (p.tolist() for p in neardup._prefixes([a, b], classes, seed))
+            shared = [t for t in pa if t in pb]
             assert len(shared) >= neardup.least_shared(len(a), len(b))
+            needed = -(-neardup.NUMERATOR * (len(a) + len(b)) // (neardup.NUMERATOR + neardup.DENOMINATOR))
+            assert pa.index(shared[0]) <= len(a) - needed and pb.index(shared[0]) <= len(b) - needed
+
+
+def test_two_thousand_rows_without_an_id(spark):
+    """Pairs of near copies, none with an id: each pair is one comparison."""
+    rows = [(None, t) for k in range(1000) for base in [prose(40_000 + k, 40)] for t in (base, f"{base} end")]
+    out = neardup.link_components(documents(spark, [(i, t, "en", "s", 0, 0, "", "", "") for i, t in rows])).groupBy("component_id", "n_verified").count()
+    assert [tuple(r) for r in out.collect()] == [(None, 1, 2000)]
