@@ -16,8 +16,8 @@ first ninth, the most that the smaller set of a pair can have before it.
 
 The index goes through rounds. In a round each node meets one centre of its
 posting lists only, verified links become components, and lists whose nodes are
-all in one component are done. Rounds end when what is left would make few pairs
-for its size; these pairs, across components, are then all tried. A pair that met
+all in one component are done. Rounds end when they link few nodes; the pairs
+across components that are left are then all tried. A pair that met
 in the index goes on if its prefixes under each other order share as many tokens
 as linked sets of these sizes must. So a group of thousands of near copies costs
 about one comparison a member, and no link between different components is lost.
@@ -55,8 +55,8 @@ CELLS = 1 << 20
 _SLICES = 64
 #: Seeds of the orders after the first.
 ORDER_SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-#: Rounds in which a node meets one centre go on while the pairs left are over so many for each row of the index, up to a number of rounds.
-PAIRS_A_ROW, MOST_ROUNDS = 2, 6
+#: Rounds in which a node meets one centre go on while a round links more than this share of the nodes, up to a number of rounds.
+LEAST_LINKED, MOST_ROUNDS = 0.01, 8
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -284,13 +284,6 @@ def _useful(index: DataFrame) -> DataFrame:
     return index.join(lists.where("lo <> hi and early").select("token"), "token")
 
 
-def _pairs_left(index: DataFrame) -> tuple[int, int]:
-    """How many pairs of rows the lists have, one of them early, and how many rows."""
-    sizes = index.groupBy("token").agg(F.count("*").alias("rows"), F.count_if(F.expr(_EARLY)).alias("early"))
-    row = sizes.agg(F.sum(F.col("rows") * F.col("early")).alias("pairs"), F.sum("rows").alias("rows")).first()
-    return row["pairs"] or 0, row["rows"] or 0
-
-
 def link_components(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_shingles, component_id, n_verified)`` of every document.
 
@@ -319,9 +312,6 @@ def link_components(docs: DataFrame) -> DataFrame:
         tried = keep(spark.createDataFrame([], "a bigint, b bigint"), "tried")
         parts = spark.createDataFrame([], "node bigint, component bigint")
         for turn in range(MOST_ROUNDS):
-            pairs_left, rows_left = _pairs_left(index)
-            if pairs_left <= PAIRS_A_ROW * rows_left:
-                break
             # the first centre is the member with the commonest tokens, later ones go by a hash
             rank = F.struct(F.col("central").cast("bigint"), "node") if turn == 0 else F.struct(F.xxhash64(F.lit(turn), "node"), "node")
             centres = index.groupBy("token").agg(F.max_by(F.struct("node", "n", "label", "at"), rank).alias("c"))
@@ -333,10 +323,13 @@ def link_components(docs: DataFrame) -> DataFrame:
             best = votes.groupBy("node").agg(F.max_by(F.struct("a", "b", "na", "nb"), F.struct("m", "a", "b")).alias("p"))
             stars = keep(best.select("p.*").distinct(), "stars")
             tried = tried.unionByName(stars.select("a", "b"))
-            links = links.unionByName(keep(_links(stars, held), "links"))
+            found = keep(_links(stars, held), "links")
+            links = links.unionByName(found)
             parts = connected_components(links, keep)
             labels = index.drop("label").join(parts, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
             index = keep(_useful(labels), "index")
+            if found.count() <= LEAST_LINKED * held.count():
+                break
         # x is the larger set of a pair
         pairs = index.alias("x").join(index.where(_EARLY).alias("y"), "token").where("x.label <> y.label").where(_meets("x", "y"))
         pairs = pairs.where("y.n < x.n or y.n = x.n and y.node < x.node")

@@ -71,8 +71,6 @@ def test_a_large_group_of_near_copies_and_a_common_passage(spark):
 def test_stars_and_pairs_find_the_same(spark, monkeypatch):
     rows = [(k, edited(prose(60 + k % 4, 80), 300 + k, 0.02)) for k in range(60)]
     check(spark, rows)
-    monkeypatch.setattr(neardup, "PAIRS_A_ROW", 0)
-    check(spark, rows)
     monkeypatch.setattr(neardup, "MOST_ROUNDS", 0)
     check(spark, rows)
 
