@@ -49,6 +49,15 @@ def delete(spark: SparkSession, uri: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of jobs that are done.
+
+    Spark's cleaner follows the driver's garbage collector, which has no reason to
+    run while the executors' disks fill; a job of many large exchanges asks for it.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 @contextmanager
 def scratch(spark: SparkSession, label: str) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """A function like :func:`materialize` whose tables go at the end of the block.
