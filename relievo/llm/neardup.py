@@ -33,7 +33,7 @@ told apart by their tokens' values; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import chain
 
 import numpy as np
@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from relievo.llm.tokens import slices
 from relievo.plans.components import connected_components
-from relievo.plans.storage import materialize, scratch
+from relievo.plans.storage import drop_shuffles, materialize, scratch
 from relievo.plans.text import text_or_empty
 
 WORDS = 5
@@ -278,6 +278,10 @@ def _links(pairs: DataFrame, held: DataFrame) -> DataFrame:
     return met.select("a", "b").join(texts[0], "a").join(texts[1], "b").mapInArrow(_verify, "a bigint, b bigint, jaccard double")
 
 
+def _untried(pairs: DataFrame, tried: list[DataFrame]) -> DataFrame:
+    return reduce(lambda left, done: left.join(done, ["a", "b"], "left_anti"), tried, pairs)
+
+
 def _useful(index: DataFrame) -> DataFrame:
     """The index without lists that lie in one component or that no smaller set of a pair has early."""
     lists = index.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.bool_or(F.expr(_EARLY)).alias("early"))
@@ -294,23 +298,26 @@ def link_components(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     classes = token_classes(texts)
     with scratch(spark, "neardup") as keep:
-        rows = texts.mapInArrow(_profiles(classes), _PROFILE).withColumn("row", F.monotonically_increasing_id())
-        profiles = keep(rows, "profiles")  # a row's number is settled once written
-        nodes = profiles.where("n > 0").groupBy("sig").agg(F.min("row").alias("node"), F.min("doc_id").alias("least_id"))
-        nodes = keep(nodes, "nodes")
-        members = keep(profiles.select("doc_id", "n", "sig").join(nodes.select("sig", "node"), "sig", "left").drop("sig"), "members")
-        of_nodes = profiles.join(nodes.select("node"), F.col("row") == F.col("node"))
-        tokens = of_nodes.select("node", "n", F.posexplode("prefix").alias("at", "token"))
-        lists = tokens.groupBy("token").agg(F.count("*").alias("df"), F.bool_or(F.expr(_EARLY)).alias("early"))
-        hits = tokens.drop("n").join(lists.where("df > 1 and early").select("token"), "token")
-        sizes = profiles.select(F.col("row").alias("node"), "n", "central")
-        index = keep(hits.join(sizes, "node").withColumn("label", F.col("node")), "index")
-        named = of_nodes.join(index.select("node").distinct(), "node", "left_semi").select("node", "packed")
-        held = keep(named.mapInArrow(_held(classes), _HELD), "held")
-
-        links = keep(spark.createDataFrame([], "a bigint, b bigint, jaccard double"), "links")
-        tried = keep(spark.createDataFrame([], "a bigint, b bigint"), "tried")
-        parts = spark.createDataFrame([], "node bigint, component bigint")
+        with scratch(spark, "profiles") as keep_profiles:
+            rows = texts.mapInArrow(_profiles(classes), _PROFILE).withColumn("row", F.monotonically_increasing_id())
+            profiles = keep_profiles(rows, "profiles")  # a row's number is settled once written
+            nodes = profiles.where("n > 0").groupBy("sig").agg(F.min("row").alias("node"), F.min("doc_id").alias("least_id"))
+            nodes = keep(nodes, "nodes")
+            members = keep(profiles.select("doc_id", "n", "sig").join(nodes.select("sig", "node"), "sig", "left").drop("sig"), "members")
+            of_nodes = profiles.select(F.col("row").alias("node"), "n", "central", "prefix").join(nodes.select("node"), "node")
+            of_nodes = keep_profiles(of_nodes, "prefixes")
+            tokens = of_nodes.select("node", "n", F.posexplode("prefix").alias("at", "token"))
+            lists = tokens.groupBy("token").agg(F.count("*").alias("df"), F.bool_or(F.expr(_EARLY)).alias("early"))
+            hits = tokens.drop("n").join(lists.where("df > 1 and early").select("token"), "token")
+            sizes = of_nodes.select("node", "n", "central")
+            index = keep(hits.join(sizes, "node").withColumn("label", F.col("node")), "index")
+            drop_shuffles(spark)
+            named = profiles.select(F.col("row").alias("node"), "packed").join(index.select("node"), "node", "left_semi")
+            held = keep(named.mapInArrow(_held(classes), _HELD), "held")
+        drop_shuffles(spark)
+
+        links: list[DataFrame] = []
+        tried: list[DataFrame] = []
         for turn in range(MOST_ROUNDS):
             # the first centre is the member with the commonest tokens, later ones go by a hash
             rank = F.struct(F.col("central").cast("bigint"), "node") if turn == 0 else F.struct(F.xxhash64(F.lit(turn), "node"), "node")
@@ -319,27 +326,26 @@ def link_components(docs: DataFrame) -> DataFrame:
             # of the centres of its lists a node tries the one that it shares most of them with
             votes = stars.groupBy("x.node", F.col("c.node").alias("centre"), "x.n", F.col("c.n").alias("centre_n")).agg(F.count("*").alias("m"))
             votes = votes.select("m", "node", *_ordered("node", "n", "centre", "centre_n"))
-            votes = votes.join(tried, ["a", "b"], "left_anti")
+            votes = _untried(votes, tried)
             best = votes.groupBy("node").agg(F.max_by(F.struct("a", "b", "na", "nb"), F.struct("m", "a", "b")).alias("p"))
             stars = keep(best.select("p.*").distinct(), "stars")
-            tried = tried.unionByName(stars.select("a", "b"))
-            found = keep(_links(stars, held), "links")
-            links = links.unionByName(found)
-            parts = connected_components(links, keep)
+            tried.append(stars.select("a", "b"))
+            links.append(keep(_links(stars, held), "links"))
+            parts = connected_components(reduce(DataFrame.unionByName, links), keep)
             labels = index.drop("label").join(parts, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
             index = keep(_useful(labels), "index")
-            if found.count() <= LEAST_LINKED * held.count():
+            drop_shuffles(spark)
+            if links[-1].count() <= LEAST_LINKED * held.count():
                 break
         # x is the larger set of a pair
         pairs = index.alias("x").join(index.where(_EARLY).alias("y"), "token").where("x.label <> y.label").where(_meets("x", "y"))
         pairs = pairs.where("y.n < x.n or y.n = x.n and y.node < x.node")
-        pairs = pairs.select(*_ordered("x.node", "x.n", "y.node", "y.n")).distinct().join(tried, ["a", "b"], "left_anti")
-        last = keep(_links(pairs, held), "links")
-        links = links.unionByName(last)
-        if not last.isEmpty():
-            parts = connected_components(links, keep)
+        pairs = _untried(pairs.select(*_ordered("x.node", "x.n", "y.node", "y.n")).distinct(), tried)
+        links.append(keep(_links(pairs, held), "links"))
+        found = reduce(DataFrame.unionByName, links)
+        parts = connected_components(found, keep)
 
-        degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_verified"))
+        degree = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_verified"))
         grouped = nodes.join(parts, "node", "left").join(degree, "node", "left")
         grouped = grouped.withColumn("component", F.coalesce("component", "node"))
         least = grouped.groupBy("component").agg(F.min("least_id").alias("component_id"))
