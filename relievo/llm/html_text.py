@@ -1,18 +1,32 @@
 """Main text of web pages, with site templates removed.
 
-Every element subtree outside a page's main element is hashed; Spark counts, for
-each host, the pages a hash occurs in, and subtrees that recur across many pages
-of their host are deleted. What remains loses the elements that are never main
-text by their kind (menus, headers, footers, asides, forms, scripts and so on) or
-by their class, id or role (adverts, notices, comments and so on). The main
-element is the page's article or main element; subtrees inside it are never
-deleted for recurring, since articles may quote the same lines. Pages without one
-give what is left of their body.
+Every block element of a page is hashed with its subtree. Spark counts, for each
+host, the distinct pages that a hash occurs in and how much these pages differ
+otherwise, and the subtrees that recur across many different pages of their host
+are deleted. There are three kinds of them, counted apart:
+
+* around a page's main element (its article, or else main element): counted and
+  reported, but such text is not part of the result anyway;
+* in the body of pages without a main element: template from LEAST_PAGES pages and
+  LEAST_SHARE of the host's pages on (for large hosts a smaller share, see
+  :func:`templates`);
+* inside the main element: template from INNER_PAGES pages and INNER_SHARE of the
+  host's pages on, and never a heading.
+
+In the last two kinds the pages must differ otherwise, or the articles of a host
+that holds copies would be templates: a subtree's pages have to have as many
+different longest other lines, and different second longest ones, as VARIED times
+their number. What remains loses the elements that are never
+main text by their kind (menus, headers, footers, asides, forms, scripts and so on)
+or by their class, id or role where it names such a kind, an advert, a notice or
+comments. A header with a heading inside an article belongs to the article.
 
 Defined cases: null html is the empty page, whose text is empty; a null or
 malformed url shares the host ''; a null page_id is kept; repeated rows come back
-as often as they went in; an empty table gives an empty result; markup may be cut
-off anywhere; other columns are ignored.
+as often as they went in and count once; of several main elements all count, in
+page order; lines of equal length are taken in page order; an empty table gives an
+empty result; pages are taken whole however long, and markup may be cut off
+anywhere; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +45,12 @@ from relievo.plans.text import text_or_empty
 
 #: A subtree is template when it occurs in so many pages of its host, and in this share of them.
 LEAST_PAGES, LEAST_SHARE = 5, 0.2
+#: On hosts from LEAST_PAGES / LEAST_SHARE pages on, so many pages do where they are this smaller share.
+MANY_PAGES, MANY_SHARE = 100, 0.02
+#: The same inside main elements.
+INNER_PAGES, INNER_SHARE = 8, 0.5
+#: Share of a template's pages that differ in their other text.
+VARIED = 0.5
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg math".split())
@@ -45,11 +65,12 @@ _BLOCK = frozenset(
 #: These start tags end an open p.
 _ENDS_P = _BLOCK - {"br", "body", "html", "td", "th", "tr", "tbody", "thead", "tfoot"}
 _SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
-_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_ROLES = frozenset("navigation banner contentinfo complementary form dialog alert menu menubar".split())
+#: Names of menus, headers, footers, sidebars, notices, adverts and comments in class and id.
 _NOTED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|comments?|disqus|replies|sidebar|side-bar|"
-    r"menus?|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|related|share|sharing|social|newsletter|subscribe|signup|popup|modal|"
-    r"widget|pagination|pager|toolbar|login|search)(?:$|[\s_-])",
+    r"menus?|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|newsletter|subscribe|signup|popup|modal)(?:$|[\s_-])",
     re.I,
 )
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
@@ -68,16 +89,14 @@ class _Node:
 def _is_noise(tag: str, attributes: str) -> bool:
     if tag in _NEVER:
         return True
-    if not attributes or tag in ("html", "body", "main", "article"):
+    if not attributes or tag in ("html", "body", "main", "article") or tag in _HEADINGS:
         return False
     lower = attributes.lower()
     if not ("class" in lower or "id" in lower or "role" in lower):
         return False
     for name, *values in _ATTR.findall(attributes):
         name, value = name.lower(), values[0] or values[1] or values[2]
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value.lower() in _ROLES:
-            return True
-        if name in ("class", "id") and _NOTED.search(value):
+        if name == "role" and value.lower() in _ROLES or name in ("class", "id") and _NOTED.search(value):
             return True
     return False
 
@@ -135,9 +154,22 @@ def parse(page: str) -> tuple[_Node, list[_Node]]:
         here = node
     if at < len(page):
         here.parts.append(page[at:])
+    for node in nodes:
+        if node.tag in _HEADINGS:
+            _own_header(node)
     return root, nodes
 
 
+def _own_header(heading: _Node) -> None:
+    """A header that holds a heading and lies in an article is the article's own."""
+    header, up = None, heading.parent
+    while up is not None and up.tag != "article":
+        header = up if up.tag == "header" else header
+        up = up.parent
+    if header is not None and up is not None:
+        header.skip = False
+
+
 def main_elements(nodes: list[_Node]) -> list[_Node]:
     """The page's outermost article elements outside noise, or else its main elements."""
     for tag in ("article", "main"):
@@ -194,64 +226,121 @@ def _outside(root: _Node, main: list[_Node]) -> list[_Node]:
     return tops
 
 
-def subtree_hashes(root: _Node, nodes: list[_Node], main: list[_Node]) -> set[int]:
-    """Hashes of the elements that neither are, hold nor lie in a main element."""
-    return {h for at, h in _digests(_outside(root, main)).items() if nodes[at].tag != "br"}
-
-
-def tree_text(root: _Node, main: list[_Node], dropped: set[int]) -> str:
-    """The text of the main elements, or of the whole page, block by block."""
+def _lines(tops: list[_Node], dropped: set[int]) -> tuple[list[str], dict[int, tuple[int, int]]]:
+    """The text block by block, some empty, and the range of blocks of each block element by its number."""
     blocks: list[list[str]] = [[]]
-    for top in main or [root]:
+    ranges: dict[int, tuple[int, int]] = {}
+    for top in tops:
         blocks.append([])
         stack: list = [top]
         while stack:
             n = stack.pop()
-            if n is None:
+            if isinstance(n, tuple):
+                ranges[n[0]] = n[1], len(blocks)
                 blocks.append([])
             elif isinstance(n, str):
                 blocks[-1].append(n)
             elif not (n.skip or n.at in dropped):
                 if n.tag in _BLOCK:
                     blocks.append([])
-                    stack.append(None)
+                    stack.append((n.at, len(blocks) - 1))
                 stack += reversed(n.parts)
-    lines = (" ".join(entities.unescape("".join(b)).split()) for b in blocks if b)
-    return "\n".join(x for x in lines if x)
+    return [" ".join(entities.unescape("".join(b)).split()) for b in blocks], ranges
+
+
+def _longest(lines: list[str], found: list[int]) -> list[int]:
+    """The two longest of some lines, the first ones of equal length."""
+    return sorted(found, key=lambda i: (-len(lines[i]), i))[:2]
+
+
+def _rest(lines: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+    """The two longest lines before each place, and from it on."""
+    before: list[list[int]] = [[]]
+    for i, x in enumerate(lines):
+        before.append(_longest(lines, [*before[-1], i]) if x else before[-1])
+    after: list[list[int]] = [[]]
+    for i in range(len(lines) - 1, -1, -1):
+        after.append(_longest(lines, [*after[-1], i]) if lines[i] else after[-1])
+    return before, after[::-1]
+
+
+#: Kinds of subtrees by where they are.
+AROUND, BODY, INSIDE = 0, 1, 2
+
+
+def _number(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
+
+
+def blocks_of(root: _Node, nodes: list[_Node], main: list[_Node]) -> tuple[str, list[tuple[int, int, int | None, int | None]]]:
+    """The page's text before templates go, and ``(kind, hash, longest, second)`` of its candidates for templates.
+
+    The last two are hashes of the two longest lines of the text outside the
+    subtree; in a body with one other line it is both, in a main element it has no
+    second. A hash is given once for a page and kind.
+    """
+    lines, ranges = _lines(main or [root], set())
+    before, after = _rest(lines)
+    tops = {id(m) for m in main}
+    seen: dict[tuple[int, int], tuple] = {}
+    for at, h in _digests(main or [root]).items():
+        n = nodes[at]
+        if at in ranges and id(n) not in tops and n.tag not in ("html", "body", "main", "br", "hr") and not (main and n.tag in _HEADINGS):
+            lo, hi = ranges[at]
+            if any(lines[lo:hi]):
+                others = [_number(lines[i]) for i in _longest(lines, [*before[lo], *after[hi]])]
+                kind = INSIDE if main else BODY
+                others += others[:1] if kind == BODY and len(others) == 1 else []
+                seen.setdefault((kind, h), (kind, h, *[*others, None, None][:2]))
+    if main:
+        for at, h in _digests(_outside(root, main)).items():
+            if nodes[at].tag in _BLOCK and nodes[at].tag not in ("br", "hr"):
+                seen.setdefault((AROUND, h), (AROUND, h, None, None))
+    return "\n".join(x for x in lines if x), list(seen.values())
 
 
 def main_text(page: str, template: frozenset[int] | set[int] = frozenset()) -> str:
     """The page's main text, without the subtrees whose hashes are in ``template``."""
     root, nodes = parse(page)
-    main = main_elements(nodes)
-    dropped = {at for at, h in _digests(_outside(root, main)).items() if h in template} if template and not main else set()
-    return tree_text(root, main, dropped)
+    tops = main_elements(nodes) or [root]
+    dropped = {at for at, h in _digests(tops).items() if h in template and nodes[at] not in tops} if template else set()
+    return "\n".join(x for x in _lines(tops, dropped)[0] if x)
 
 
 def host(url: str = "url") -> Column:
     return F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1)), F.lit(""))
 
 
-_PARSED = "page_id bigint, url string, host string, text string, hashes array<bigint>, html string"
+_PARSED = "page_id bigint, url string, host string, text string, main string, page bigint, blocks array<struct<kind: int, hash: bigint, longest: bigint, second: bigint>>, html string"
+_BLOCKS_ARROW = pa.list_(pa.struct([("kind", pa.int32()), ("hash", pa.int64()), ("longest", pa.int64()), ("second", pa.int64())]))
 _PARSED_ARROW = pa.schema(
-    [("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("text", pa.string()), ("hashes", pa.list_(pa.int64())), ("html", pa.string())]
-)
+    [
+        ("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("text", pa.string()), ("main", pa.string()), ("page", pa.int64()),
+        ("blocks", _BLOCKS_ARROW), ("html", pa.string()),
+    ]
+)
+_BLOCK_NAMES = ("kind", "hash", "longest", "second")
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each page's subtree hashes, and its main text; without a main element, its html instead."""
+    """Each page's text so far, what it is taken from, and its candidates for templates."""
     for batch in batches:
-        texts, hashes, pages = [], [], []
+        texts, found, kinds, pages = [], [], [], []
         for page in batch.column("html").to_pylist():
             root, nodes = parse(page)
             main = main_elements(nodes)
-            hashes.append(sorted(subtree_hashes(root, nodes, main)))
-            texts.append(tree_text(root, main, set()) if main else None)
-            pages.append(None if main else page)
+            text, blocks = blocks_of(root, nodes, main)
+            texts.append(text)
+            kinds.append(main[0].tag if main else "body")
+            pages.append(_number(page))
+            found.append([dict(zip(_BLOCK_NAMES, b, strict=True)) for b in blocks])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(texts, pa.string()), pa.array(hashes, pa.list_(pa.int64())), pa.array(pages, pa.string())],
+            [
+                batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(texts, pa.string()), pa.array(kinds, pa.string()),
+                pa.array(pages, pa.int64()), pa.array(found, _BLOCKS_ARROW), batch.column("html"),
+            ],
             schema=_PARSED_ARROW,
-        )
+        )
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
@@ -260,32 +349,64 @@ def parse_pages(pages: DataFrame) -> DataFrame:
 
 
 def templates(parsed: DataFrame) -> DataFrame:
-    """``(host, hash, n_pages)`` of the subtrees that recur across a host's pages."""
-    sizes = parsed.groupBy("host").agg(F.count("*").alias("host_pages"))
-    counts = parsed.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n_pages")).where(F.col("n_pages") >= LEAST_PAGES)
-    return counts.join(sizes, "host").where(F.col("n_pages") >= LEAST_SHARE * F.col("host_pages")).select("host", "hash", "n_pages")
+    """``(host, kind, hash, n_pages)`` of the subtrees that recur across a host's pages.
+
+    The least number of a host's h pages is 0.2 h (5 at least) up to 500 pages, then
+    100 up to 5,000 pages, then 0.02 h: a rotating notice of a large host is on a
+    small share of it. Inside main elements it is 0.5 h throughout.
+    """
+    keys = ["host", "kind", "hash"]
+    sizes = parsed.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("h"))
+    blocks = parsed.select("host", "page", F.inline("blocks"))
+    often = blocks.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_PAGES).select(*keys)
+    told = F.array(*(F.struct(F.lit(c).alias("what"), F.col(c).alias("value")) for c in ("page", "longest", "second")))
+    distinct = blocks.join(often, keys).select(*keys, F.inline(told)).where("value is not null").distinct()
+    counts = distinct.groupBy(*keys).agg(*(F.count_if(F.col("what") == c).alias(n) for c, n in (("page", "n_pages"), ("longest", "n_longest"), ("second", "n_second"))))
+    least = F.greatest(F.lit(float(LEAST_PAGES)), F.least(LEAST_SHARE * F.col("h"), F.greatest(F.lit(float(MANY_PAGES)), MANY_SHARE * F.col("h"))))
+    many = F.col("n_pages") >= F.when(F.col("kind") == INSIDE, F.greatest(F.lit(float(INNER_PAGES)), INNER_SHARE * F.col("h"))).otherwise(least)
+    others = F.when(F.col("kind") == AROUND, F.col("n_pages")).otherwise(F.least("n_longest", "n_second"))
+    return counts.join(sizes, "host").where(many & (others >= VARIED * F.col("n_pages"))).select(*keys, "n_pages")
 
 
-_TEXTS = "page_id bigint, url string, text string"
-_TEXTS_ARROW = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
+_TEXTS = "row bigint, text string"
 
 
 def _without_templates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         marks = batch.column("hashes").to_pylist()
-        texts = [main_text(h, frozenset(t or ())) for h, t in zip(batch.column("html").to_pylist(), marks, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], schema=_TEXTS_ARROW)
+        texts = [main_text(h, frozenset(t)) for h, t in zip(batch.column("html").to_pylist(), marks, strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
+
+
+def _marks(parsed: DataFrame, found: DataFrame) -> DataFrame:
+    """``(row, kind, hash)`` of the templates on each page."""
+    return parsed.select("row", "host", F.inline("blocks")).join(found.select("host", "kind", "hash"), ["host", "kind", "hash"]).select("row", "kind", "hash")
+
+
+def _numbered(pages: DataFrame) -> DataFrame:
+    """The parsed pages as a table: a row's number is settled once written."""
+    return materialize(parse_pages(pages).withColumn("row", F.monotonically_increasing_id()), "pages")
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """``(page_id, url, text, n_chars)`` of every page.
+    """``(page_id, url, text, n_chars, main)`` of every page; ``main`` tells what the text is taken from (article, main or body).
 
-    A page is parsed once. Pages with a main element are done then; the others
-    meet the list of their host's templates, which holds at most
-    ``1 / LEAST_SHARE`` times the subtrees of an average page.
+    Every page is parsed once, and pages with templates in their text once more.
+    Templates go by hash; a page's own list of them is all that travels to it.
     """
-    parsed = materialize(parse_pages(pages), "pages")
-    lists = templates(parsed).groupBy("host").agg(F.sort_array(F.collect_list("hash")).alias("hashes"))
-    rest = parsed.where("text is null").select("page_id", "url", "host", "html").join(lists, "host", "left")
-    texts = parsed.where("text is not null").select("page_id", "url", "text").unionByName(rest.mapInArrow(_without_templates, _TEXTS))
-    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    parsed = _numbered(pages)
+    marks = _marks(parsed, templates(parsed).where(F.col("kind") != AROUND)).groupBy("row").agg(F.collect_list("hash").alias("hashes"))
+    marks = materialize(marks, "marks")
+    again = parsed.select("row", "html").join(marks, "row").select("row", "html", "hashes")
+    again = materialize(again.mapInArrow(_without_templates, _TEXTS).withColumnRenamed("text", "cleaned"), "cleaned")
+    text = F.coalesce("cleaned", "text")
+    return parsed.select("row", "page_id", "url", "text", "main").join(again, "row", "left").select(
+        "page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"), "main"
+    )
+
+
+def decisions(pages: DataFrame) -> DataFrame:
+    """``(main, kind, n_pages, n_subtrees)``: how many pages have templates of each kind, by what their text is taken from."""
+    parsed = _numbered(pages)
+    marks = _marks(parsed, templates(parsed)).join(parsed.select("row", "main"), "row")
+    return marks.groupBy("main", "kind").agg(F.count_distinct("row").alias("n_pages"), F.count("*").alias("n_subtrees"))
