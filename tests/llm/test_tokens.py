@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -38,10 +41,6 @@ def test_every_case(spark):
 
 
 def test_packing_every_case(spark):
-    import zlib
-
-    import numpy as np
-
     library = Tokenizer.from_file(WORD)
     docs = documents(spark).where("doc_id is not null").dropDuplicates(["doc_id"])
     ids = {r["doc_id"]: np.array([*library.encode(r["text"] or "", add_special_tokens=False).ids, 2], "<u4") for r in docs.collect()}
@@ -70,7 +69,39 @@ def test_packing_every_case(spark):
     assert packing.pack(docs.limit(0), WORD).count() == 0
 
 
-def test_cuts_add_up():
-    for n in [*range(1, 300), 4095, 4096, 4097, 100_003]:
-        parts = packing.cuts(n)
-        assert sum(parts) == n and all(p <= 4096 for p in parts) and sum(p < packing.TAIL for p in parts) <= 1
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.integers(1, 70), st.integers(1, 5000), st.sampled_from([4096, 2048, 1365, 1366, 12000])), max_size=120))
+def test_bins_hold_their_class_s_number_of_documents(sizes):
+    packer = packing.Packer(3)
+    for doc, n in enumerate(sizes):
+        packer.add(doc, np.arange(n, dtype="<u4").tobytes())
+    packer.finish()
+    ends, bins, placed = {}, {}, {}
+    for doc, start, length, crc, total, sequence, offset, kind in packer.rows:
+        assert length > 0 and ends.get(sequence, 0) == offset and total == sizes[doc]
+        assert crc == zlib.crc32(np.arange(start, start + length, dtype="<u4").tobytes())
+        ends[sequence] = offset + length
+        placed.setdefault(doc, []).append((start, length))
+        bins.setdefault(sequence, []).append((kind, doc, start, length))
+    for doc, n in enumerate(sizes):
+        at = 0
+        for start, length in sorted(placed[doc]):
+            assert start == at
+            at += length
+        assert at == n
+    assert all(n <= 4096 and n & (n - 1) == 0 for n in ends.values())  # no padding
+    assert sum(n < 4096 for n in ends.values()) <= 12 and min(ends, default=3 << 40) >= 3 << 40
+    for pieces in bins.values():
+        kinds = [k for k, *_ in pieces if k]
+        assert not kinds or set(kinds) == {len(kinds)}
+        assert all(start == 0 and length == sizes[doc] and 4096 // length == k for k, doc, start, length in pieces if k)
+
+
+def test_documents_with_bins_stay_whole():
+    r = np.random.default_rng(1)
+    sizes = r.integers(100, 4096, 3000).tolist()
+    packer = packing.Packer(0)
+    for doc, n in enumerate(sizes):
+        packer.add(doc, bytes(4 * n))
+    packer.finish()
+    assert sum(kind > 0 for *_, kind in packer.rows) > 0.6 * len(sizes)
