@@ -2,25 +2,32 @@
 
 The test items are the indexed documents, every passage of every training text is
 a query. Impacts are scaled by an item's score against itself, so one threshold
-holds for all items. The commonest terms of the items are set aside as long as
-they make up at most COMMON of any item, so an item that reaches the threshold has
-to get the rest from its other terms; passages where no item can are skipped. The
-others run block-max WAND over the item postings and retrieve every item at or
-above the threshold. A retrieved item counts when enough of the
-word n-grams of its question and of its answer both occur in the passage; the
-answer is an item's last sentence, or the last third of its words.
-
-Passages overlap by half and are twice as long as the longest item, so an item
-that was copied as a whole lies within one passage as a whole.
+holds for all items. Block-max WAND over the item postings retrieves every item at
+or above the threshold. A retrieved item counts when enough of the word n-grams of
+its question and of its answer both occur in the passage; the answer is an item's
+last sentence, or the last third of its words.
+
+Items are indexed by classes of length, powers of two of their words. A class has
+passages of its own: they are twice as long as the class's longest items may be and
+overlap by half, so an item that was copied as a whole lies within one passage as a
+whole, and what is found of an item depends on that item alone.
+
+Block maxima serve twice. Before WAND, a run of passages is tested at once: for
+each span of SPAN items the greatest impacts of a passage's terms are added up, and
+passages in which no span can reach the threshold end there. The commonest terms
+of the items stay out of this test as long as they make up at most COMMON of any
+item; a span's greatest share of them is added instead.
 
 The index is cut into shards of a checked number of items and words; each shard is
-sent to the workers on its own, so what is sent at once has a fixed bound and more
-items mean more passes.
+sent to the workers on its own, so what is sent at once has a fixed bound (some
+100 MB, for items of SHARD_WORDS words in all) and more items mean more passes.
 
 Defined cases: null and empty texts match nothing; items without words are left
 out; a null id is kept; repeated rows are reported once each; repeated items are
-reported once each; an empty table on either side gives an empty result; texts are
-taken whole; other columns are ignored.
+reported once each; of passages of one text where an item reaches the threshold
+that with the greatest overlaps, then score, counts; an empty table on either side
+gives an empty result; texts are taken whole, very long ones alone; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -49,6 +56,10 @@ GRAM = 4
 #: Most of an item's score that comes from terms set aside.
 COMMON = 0.25
 BLOCK = 32
+#: Items of a span in the test before WAND.
+SPAN = 8
+#: Words of the shortest class of items.
+LEAST_STEP = 8
 #: Most items, and most words, of one shard.
 SHARD_ITEMS, SHARD_WORDS = 20_000, 1_000_000
 
@@ -87,7 +98,7 @@ def share(part: list[str], passage: list[str]) -> float:
 
 @dataclass
 class Index:
-    """An inverted index of one shard; postings by term are sorted by item and cut into blocks."""
+    """An inverted index of one shard's items of a length class; postings by term are sorted by item and cut into blocks."""
 
     items: list[int | None]
     questions: list[list[str]]
@@ -95,17 +106,31 @@ class Index:
     terms: dict[str, int] = field(default_factory=dict)
     postings: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
     lists: list[tuple[list, list, list, list]] = field(default_factory=list)  # the postings as lists
-    width: int = 2
+    step: int = LEAST_STEP  # words from one passage to the next; a passage has twice as many
     essential: np.ndarray | None = None  # by term, and False for no term
-    mass: np.ndarray | None = None  # by item, of the terms set aside
-    starts: np.ndarray | None = None  # of each term's postings in the two flat arrays
-    flat_items: np.ndarray | None = None
-    flat_impacts: np.ndarray | None = None
+    mass: np.ndarray | None = None  # by span, the greatest of an item's terms set aside
+    starts: np.ndarray | None = None  # of each term's spans in the two flat arrays
+    spans: np.ndarray | None = None
+    impacts: np.ndarray | None = None  # the greatest ones of a term in its spans
+
+
+def step_of(n_words: int) -> int:
+    """The step of the class of items of so many words: the next power of two."""
+    return max(LEAST_STEP, 1 << (n_words - 1).bit_length())
+
+
+def build_indexes(rows: list[tuple[int | None, str]], n_items: int, mean_words: float, frequency: dict[str, int]) -> list[Index]:
+    """Indexes of a shard's items, one for each class of length."""
+    classes: dict[int, list] = {}
+    for item, text in rows:
+        if n := len(words(text)):
+            classes.setdefault(step_of(n), []).append((item, text))
+    return [build_index(classes[step], n_items, mean_words, frequency, step) for step in sorted(classes)]
 
 
-def build_index(rows: list[tuple[int | None, str]], n_items: int, mean_words: float, frequency: dict[str, int]) -> Index:
-    """Index a shard's items under the statistics of all items."""
-    index = Index([], [], [])
+def build_index(rows: list[tuple[int | None, str]], n_items: int, mean_words: float, frequency: dict[str, int], step: int = LEAST_STEP) -> Index:
+    """Index items under the statistics of all items."""
+    index = Index([], [], [], step=step)
     lists: dict[str, list[tuple[int, float]]] = {}
     for item, text in rows:
         q, a = question_and_answer(text)
@@ -123,24 +148,28 @@ def build_index(rows: list[tuple[int | None, str]], n_items: int, mean_words: fl
         index.items.append(item)
         index.questions.append(q)
         index.answers.append(a)
-        index.width = max(index.width, 2 * length)
     for t, posts in lists.items():
         ids, impacts = np.array([p[0] for p in posts]), np.array([p[1] for p in posts])
         starts = np.arange(0, len(ids), BLOCK)
         index.terms[t] = len(index.postings)
         index.postings.append((ids, impacts, np.maximum.reduceat(impacts, starts), ids[np.minimum(starts + BLOCK, len(ids)) - 1]))
     index.lists = [tuple(x.tolist() for x in p) for p in index.postings]
-    index.starts = np.concatenate([[0], np.cumsum([len(p[0]) for p in index.postings])]).astype(np.int64)
-    index.flat_items = np.concatenate([p[0] for p in index.postings] or [np.empty(0, np.int64)])
-    index.flat_impacts = np.concatenate([p[1] for p in index.postings] or [np.empty(0)])
+    spans, greatest = [np.empty(0, np.int64)], [np.empty(0)]
+    for ids, impacts, *_ in index.postings:
+        span, first = np.unique(ids // SPAN, return_index=True)
+        spans.append(span)
+        greatest.append(np.maximum.reduceat(impacts, first))
+    index.starts = np.cumsum([len(s) for s in spans])
+    index.spans, index.impacts = np.concatenate(spans), np.concatenate(greatest)
     index.essential = np.ones(len(index.postings) + 1, bool)
     index.essential[-1] = False
-    index.mass = np.zeros(len(index.items))
+    mass = np.zeros(-(-len(index.items) // SPAN) * SPAN)
     for t in sorted(range(len(index.postings)), key=lambda t: (-len(index.postings[t][0]), t)):
         ids, impacts = index.postings[t][:2]
-        if (index.mass[ids] + impacts).max() <= COMMON:
-            index.mass[ids] += impacts
+        if (mass[ids] + impacts).max() <= COMMON:
+            mass[ids] += impacts
             index.essential[t] = False
+    index.mass = mass.reshape(-1, SPAN).max(axis=1)
     return index
 
 
@@ -201,7 +230,7 @@ _HITS_ARROW = pa.schema(
 
 
 def promising(index: Index, ids: np.ndarray, half: np.ndarray, base: np.ndarray, top: np.ndarray, threshold: float) -> np.ndarray:
-    """The windows in which some item can reach the threshold.
+    """The windows in which some span of items can reach the threshold by the greatest impacts of its terms.
 
     For each word of a run of texts, ``ids`` has its term (-1 for none), ``half``
     the half window of its text that it lies in, ``base`` the number of the text's
@@ -210,23 +239,26 @@ def promising(index: Index, ids: np.ndarray, half: np.ndarray, base: np.ndarray,
     at = np.flatnonzero(index.essential[ids])
     term, half, base, top = ids[at], half[at], base[at], top[at]
     here, before = half < top, half > 0  # a half window belongs to the window that begins with it and to the one before
-    n_terms, n_items = len(index.postings), len(index.items)
+    n_terms, n_spans = len(index.postings), len(index.mass)
     keys = np.concatenate([((base + half) * n_terms + term)[here], ((base + half - 1) * n_terms + term)[before]])
     window, term = np.divmod(np.unique(keys), n_terms)
     size = index.starts[term + 1] - index.starts[term]
     row = np.repeat(np.arange(len(term)), size)
     place = index.starts[term][row] + np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-    pair, inverse = np.unique(window[row] * n_items + index.flat_items[place], return_inverse=True)
-    score = np.bincount(inverse, index.flat_impacts[place], len(pair))
-    window, item = np.divmod(pair, n_items)
-    return np.unique(window[score + index.mass[item] >= threshold - 1e-9])
+    pair, inverse = np.unique(window[row] * n_spans + index.spans[place], return_inverse=True)
+    bound = np.bincount(inverse, index.impacts[place], len(pair))
+    window, span = np.divmod(pair, n_spans)
+    return np.unique(window[bound + index.mass[span] >= threshold - 1e-9])
 
 
-def match(index: Index, texts: list[str], threshold: float, overlap: float) -> list[tuple]:
+def match(indexes: list[Index], texts: list[str], threshold: float, overlap: float) -> list[tuple]:
     """``(text's place, item_id, score, question_overlap, answer_overlap)`` of the items that a run of texts holds."""
     tokens = [words(t) for t in texts]
-    sizes = np.array([len(x) for x in tokens])
-    step = index.width // 2
+    return sorted((hit for index in indexes for hit in _hits(index, tokens, threshold, overlap)), key=lambda h: h[0])
+
+
+def _hits(index: Index, tokens: list[list[str]], threshold: float, overlap: float) -> list[tuple]:
+    sizes, step = np.array([len(x) for x in tokens]), index.step
     windows = np.maximum(1, -(-(sizes - step) // step))
     first = np.concatenate([[0], np.cumsum(windows)])
     begin = np.concatenate([[0], np.cumsum(sizes)])
@@ -236,7 +268,7 @@ def match(index: Index, texts: list[str], threshold: float, overlap: float) -> l
     best: dict[tuple[int, int], tuple] = {}
     for number, window in zip((np.searchsorted(first, found, "right") - 1).tolist(), found.tolist(), strict=True):
         start = (window - int(first[number])) * step
-        passage = tokens[number][start : start + index.width]
+        passage = tokens[number][start : start + 2 * step]
         distinct = np.unique(ids[begin[number] + start : begin[number] + start + len(passage)])
         for item, score in retrieve(index, distinct[distinct >= 0].tolist(), threshold):
             q, a = share(index.questions[item], passage), share(index.answers[item], passage)
@@ -245,12 +277,12 @@ def match(index: Index, texts: list[str], threshold: float, overlap: float) -> l
     return [(number, index.items[item], round(b[1], 6), round(b[2], 6), round(b[3], 6)) for (number, item), b in sorted(best.items())]
 
 
-def _query(index: Index, threshold: float, overlap: float):
+def _query(indexes: list[Index], threshold: float, overlap: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, rows, done = batch.column("doc_id").to_pylist(), [], 0
             for part in slices(batch.column("text").to_pylist()):
-                rows += [(ids[done + n], *hit) for n, *hit in match(index, part, threshold, overlap)]
+                rows += [(ids[done + n], *hit) for n, *hit in match(indexes, part, threshold, overlap)]
                 done += len(part)
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _HITS_ARROW, strict=True)], schema=_HITS_ARROW)
@@ -282,9 +314,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = THRE
         rows = [(r["item_id"], r["text"]) for r in mine.orderBy("item_id", "text").collect()]  # a shard: bounded
         named = mine.select(terms).distinct()
         df = {r["t"]: r["df"] for r in frequency.join(named, "t", "left_semi").collect()}
-        index = build_index(rows, size["n"], mean, df)
-        if index.items:
-            out = out.unionByName(texts.mapInArrow(_query(index, threshold, overlap), _HITS))
+        indexes = build_indexes(rows, size["n"], mean, df)
+        if indexes:
+            out = out.unionByName(texts.mapInArrow(_query(indexes, threshold, overlap), _HITS))
     return out
 
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 from collections import Counter
 
@@ -73,3 +74,80 @@ def test_the_answer_is_the_last_sentence():
     assert dc.question_and_answer("What is it? A big stone.") == (["what", "is", "it"], ["a", "big", "stone"])
     q, a = dc.question_and_answer("one two three four five six")
     assert (len(q), len(a)) == (4, 2) and dc.question_and_answer("") == ([], [""][:0])
+
+
+def brute(items, texts, threshold=dc.THRESHOLD, overlap=dc.OVERLAP):
+    """Every item against every passage of every text, by the formulas alone."""
+    bags = {k: dc.words(t) for k, (_, t) in enumerate(items) if dc.words(t or "")}
+    df = Counter(w for b in bags.values() for w in set(b))
+    mean = sum(map(len, bags.values())) / len(bags)
+
+    def impact(w, bag):
+        c = bag.count(w)
+        return math.log(1 + (len(bags) - df[w] + 0.5) / (df[w] + 0.5)) * c * 2.2 / (c + 1.2 * (0.25 + 0.75 * len(bag) / mean))
+
+    def share(part, passage):
+        n = min(4, len(part))
+        grams = lambda x: {tuple(x[i : i + n]) for i in range(len(x) - n + 1)}
+        return len(grams(part) & grams(passage)) / len(grams(part)) if part else 1.0
+
+    found = []
+    for number, text in enumerate(texts):
+        tokens = dc.words(text)
+        for k, bag in bags.items():
+            step = 8
+            while step < len(bag):
+                step *= 2
+            impacts = {w: impact(w, bag) for w in set(bag)}
+            best = None
+            for start in range(0, max(1, len(tokens) - step), step):
+                passage = tokens[start : start + 2 * step]
+                score = sum(x for w, x in impacts.items() if w in set(passage)) / sum(impacts.values())
+                if score >= threshold - 1e-9:
+                    q, a = (share(part, passage) for part in dc.question_and_answer(items[k][1]))
+                    if q >= overlap and a >= overlap:
+                        best = max(best or (0.0, 0.0, 0.0, 0.0), (q + a, score, q, a), key=lambda b: b[:2])
+            if best:
+                found.append((number, items[k][0], *(round(v, 6) for v in best[1:])))
+    return sorted(found)
+
+
+def lengthy_items(n):
+    """Items of 3 to about 300 words."""
+    return [(k, f"{prose(3000 + k, 2 + (k * k) % 290)}. {prose(5000 + k, 1 + k % 9)}.") for k in range(n)]
+
+
+def spoiled(text, seed, share):
+    r = random.Random(seed)
+    return " ".join(r.choice(WORDS) if r.random() < share else w for w in text.split())
+
+
+def test_every_passage_against_every_item():
+    items = lengthy_items(36)
+    texts = [prose(40 + k, 30 * k) for k in range(6)] + ["", "one", *(t for _, t in items[:4])]
+    for k, (_, t) in enumerate(items):
+        texts.append(f"{prose(60 + k, k * 7)} {spoiled(t, k, 0.02 * (k % 6))} {prose(80 + k, 40)}")
+    rows = [(i, t) for i, t in items]
+    df = Counter(w for _, t in items for w in set(dc.words(t)))
+    mean = sum(len(dc.words(t)) for _, t in items) / len(items)
+    indexes = dc.build_indexes(rows, len(items), mean, df)
+    got = [(number, item, *rest) for number, item, *rest in dc.match(indexes, texts, dc.THRESHOLD, dc.OVERLAP)]
+    want = brute(items, texts)
+    assert len(want) > 24 and sorted(got) == want
+
+
+def test_copies_of_any_length_are_found(spark):
+    """Recall by length class: whole copies in running text, at any place."""
+    items = lengthy_items(60)
+    rows = [(k, f"{prose(100 + k, 13 * k)} {t} {prose(200 + k, 500)}", "en", "s", 0, 0, "", "", "") for k, (_, t) in enumerate(items)]
+    got = {(r["doc_id"], r["item_id"]) for r in dc.contamination(documents(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    missed = Counter(dc.step_of(len(dc.words(items[k][1]))) for k in range(60) if (k, k) not in got)
+    assert not missed
+
+
+def test_an_item_is_found_whatever_else_is_indexed(spark):
+    item = (1, f"{prose(31, 20)}. {prose(32, 5)}.")
+    docs = documents(spark, [(1, f"{prose(33, 300)} {item[1]} {prose(34, 300)}", "en", "s", 0, 0, "", "", "")])
+    for others in ([], [(2, prose(35, 400))], [(2, "a b"), (3, prose(36, 900))]):
+        bench = spark.createDataFrame([item, *others], "item_id long, text string")
+        assert [r["item_id"] for r in dc.contamination(docs, bench).collect()] == [1]
