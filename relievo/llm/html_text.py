@@ -311,12 +311,12 @@ def host(url: str = "url") -> Column:
     return F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1)), F.lit(""))
 
 
-_PARSED = "page_id bigint, url string, host string, text string, main string, page bigint, blocks array<struct<kind: int, hash: bigint, longest: bigint, second: bigint>>, html string"
+_PARSED = "page_id bigint, url string, host string, text string, main string, page bigint, blocks array<struct<kind: int, hash: bigint, longest: bigint, second: bigint>>"
 _BLOCKS_ARROW = pa.list_(pa.struct([("kind", pa.int32()), ("hash", pa.int64()), ("longest", pa.int64()), ("second", pa.int64())]))
 _PARSED_ARROW = pa.schema(
     [
         ("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("text", pa.string()), ("main", pa.string()), ("page", pa.int64()),
-        ("blocks", _BLOCKS_ARROW), ("html", pa.string()),
+        ("blocks", _BLOCKS_ARROW),
     ]
 )
 _BLOCK_NAMES = ("kind", "hash", "longest", "second")
@@ -325,27 +325,31 @@ _BLOCK_NAMES = ("kind", "hash", "longest", "second")
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each page's text so far, what it is taken from, and its candidates for templates."""
     for batch in batches:
-        texts, found, kinds, pages = [], [], [], []
+        texts, found, kinds = [], [], []
         for page in batch.column("html").to_pylist():
             root, nodes = parse(page)
             main = main_elements(nodes)
             text, blocks = blocks_of(root, nodes, main)
             texts.append(text)
             kinds.append(main[0].tag if main else "body")
-            pages.append(_number(page))
             found.append([dict(zip(_BLOCK_NAMES, b, strict=True)) for b in blocks])
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(texts, pa.string()), pa.array(kinds, pa.string()),
-                pa.array(pages, pa.int64()), pa.array(found, _BLOCKS_ARROW), batch.column("html"),
+                batch.column("page"), pa.array(found, _BLOCKS_ARROW),
             ],
             schema=_PARSED_ARROW,
         )
 
 
-def parse_pages(pages: DataFrame) -> DataFrame:
+def _whole(pages: DataFrame) -> DataFrame:
+    """The pages with their hosts, and a hash of their html that stands for equal pages of a host."""
     page = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), host().alias("host"), text_or_empty("html").alias("html"))
-    return page.mapInArrow(_parsed, _PARSED)
+    return page.withColumn("page", F.xxhash64("html"))
+
+
+def parse_pages(pages: DataFrame) -> DataFrame:
+    return _whole(pages).mapInArrow(_parsed, _PARSED)
 
 
 def templates(parsed: DataFrame) -> DataFrame:
@@ -368,45 +372,42 @@ def templates(parsed: DataFrame) -> DataFrame:
     return counts.join(sizes, "host").where(many & (others >= VARIED * F.col("n_pages"))).select(*keys, "n_pages")
 
 
-_TEXTS = "row bigint, text string"
+_TEXTS = "host string, page bigint, cleaned string"
 
 
 def _without_templates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         marks = batch.column("hashes").to_pylist()
         texts = [main_text(h, frozenset(t)) for h, t in zip(batch.column("html").to_pylist(), marks, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
+        yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("page"), pa.array(texts, pa.string())], names=["host", "page", "cleaned"])
 
 
 def _marks(parsed: DataFrame, found: DataFrame) -> DataFrame:
-    """``(row, kind, hash)`` of the templates on each page."""
-    return parsed.select("row", "host", F.inline("blocks")).join(found.select("host", "kind", "hash"), ["host", "kind", "hash"]).select("row", "kind", "hash")
-
-
-def _numbered(pages: DataFrame) -> DataFrame:
-    """The parsed pages as a table: a row's number is settled once written."""
-    return materialize(parse_pages(pages).withColumn("row", F.monotonically_increasing_id()), "pages")
+    """``(host, page, main, kind, hash)`` of the templates on each different page."""
+    blocks = parsed.select("host", "page", "main", F.inline("blocks").alias("kind", "hash", "longest", "second")).drop("longest", "second")
+    return blocks.join(found.select("host", "kind", "hash"), ["host", "kind", "hash"]).distinct()
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """``(page_id, url, text, n_chars, main)`` of every page; ``main`` tells what the text is taken from (article, main or body).
 
-    Every page is parsed once, and pages with templates in their text once more.
-    Templates go by hash; a page's own list of them is all that travels to it.
+    Every page is parsed once, and pages with templates in their text once more,
+    from the table itself. Templates go by hash; a page's own list of them is all
+    that travels to it.
     """
-    parsed = _numbered(pages)
-    marks = _marks(parsed, templates(parsed).where(F.col("kind") != AROUND)).groupBy("row").agg(F.collect_list("hash").alias("hashes"))
+    parsed = materialize(parse_pages(pages), "pages")
+    marks = _marks(parsed, templates(parsed).where(F.col("kind") != AROUND)).groupBy("host", "page").agg(F.collect_list("hash").alias("hashes"))
     marks = materialize(marks, "marks")
-    again = parsed.select("row", "html").join(marks, "row").select("row", "html", "hashes")
-    again = materialize(again.mapInArrow(_without_templates, _TEXTS).withColumnRenamed("text", "cleaned"), "cleaned")
+    again = _whole(pages).join(marks, ["host", "page"]).select("host", "page", "html", "hashes")
+    again = materialize(again.mapInArrow(_without_templates, _TEXTS).dropDuplicates(["host", "page"]), "cleaned")
     text = F.coalesce("cleaned", "text")
-    return parsed.select("row", "page_id", "url", "text", "main").join(again, "row", "left").select(
+    return parsed.select("host", "page", "page_id", "url", "text", "main").join(again, ["host", "page"], "left").select(
         "page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"), "main"
     )
 
 
 def decisions(pages: DataFrame) -> DataFrame:
-    """``(main, kind, n_pages, n_subtrees)``: how many pages have templates of each kind, by what their text is taken from."""
-    parsed = _numbered(pages)
-    marks = _marks(parsed, templates(parsed)).join(parsed.select("row", "main"), "row")
-    return marks.groupBy("main", "kind").agg(F.count_distinct("row").alias("n_pages"), F.count("*").alias("n_subtrees"))
+    """``(main, kind, n_pages, n_subtrees)``: how many different pages have templates of each kind, by what their text is taken from."""
+    parsed = materialize(parse_pages(pages), "pages")
+    marks = _marks(parsed, templates(parsed))
+    return marks.groupBy("main", "kind").agg(F.count_distinct("host", "page").alias("n_pages"), F.count("*").alias("n_subtrees"))
