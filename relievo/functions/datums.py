@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 #: Vertical datum names and their EPSG codes.
 VERTICAL = {
-    "wgs84": 4326, "ellipsoid": 4979, "egm2008": 3855, "egm96": 5773, "egm84": 5798, "navd88": 5703, "mllw": 5866,
-    "mhw": 5868, "mhhw": 5869, "mlw": 5867, "msl": 5714, "lmsl": 5714, "nad83": 6319, "cgvd2013": 6647, "cgvd28": 5713,
+    "wgs84": 7912, "itrf2014": 7912, "navd88": 5703, "guvd04": 6644, "nmvd03": 6644, "asvd02": 6643, "prvd02": 6641, "vivd09": 6641,
+    "egm2008": 3855, "egm96": 5773, "egm84": 5798, "msl": 5174, "wgs84(g1150)": 7660, "cgvd2013(cgg2013)": 6647, "cgvd2013": 6647,
+    "cgvd2013(cgg2013a)": 9245,
 }
 
 

@@ -96,6 +96,27 @@ def release_name(name: Column, size: Column) -> Column:
     return F.when(~name.rlike(r"_w\.tif$"), F.replace(clean, F.lit("@"), tile_tag(north, at["x"])))
 
 
+def release_path(name: Column) -> Column:
+    """Where a finished tile goes in a release, by its file name; null for what is not released.
+
+    Weights (``_w``), tiles of 1 arc-second, ids (``_sid``) of 30 and 60 arc-seconds
+    and other files than .tif and .nc are not. Tags move to the north-west corner,
+    date stamps go, and surface tiles are called so.
+    """
+    seconds = F.regexp_extract(name, r"_(\d{1,2})s_", 1).try_cast("int")
+    kind = F.when(name.endswith(".tif"), "gtif").when(name.endswith(".nc"), "netcdf")
+    bed, sid, geoid = name.contains("_bed"), name.contains("_sid"), name.contains("_geoid")
+    tag = F.regexp_extract(name, r"_([NS]\d{2}[EW]\d{3})[_.]", 1)
+    at = tag_corner(tag)
+    moved = F.replace(name, tag, F.when(seconds == 15, tile_tag(at["y"] + 15, at["x"])).otherwise(F.lit("N90W180")))
+    clean = F.regexp_replace(moved, r"_\d{4}\.\d{2}\.\d{2}", "")
+    named = F.when(bed | geoid, clean).otherwise(F.regexp_replace(clean, r"(_sid)?(\.tif|\.nc)$", "_surface$1$2"))
+    what = F.concat(F.when(geoid, "geoid").when(bed, "bed").otherwise("surface"), F.when(geoid, "").when(sid, "_sid").otherwise("_elev"))
+    width = F.concat(seconds.cast("string"), F.lit("s"))
+    path = F.concat(kind, F.lit("/"), width, F.lit("/"), width, F.lit("_"), what, F.lit("_"), kind, F.lit("/"), named)
+    return F.when(~name.rlike(r"_w[_.]") & seconds.isin(15, 30, 60) & ~(sid & (seconds > 15)), path)
+
+
 def chart_name(y: Column, x: Column, year: int, version: int = 1) -> Column:
     """``ncei1_n46x00_w125x00_2022v1`` from the north-west corner."""
     h = F.format_string("%s%02dx%02d", F.when(y < 0, "s").otherwise("n"), F.floor(F.abs(y)).cast("int"), ((F.abs(y) % 1) * 100).cast("int"))

@@ -94,6 +94,26 @@ def outside_rectangles(cells: DataFrame, boxes: DataFrame, tile: str = "tile_id"
     return cells.alias("c").join(boxes.alias("b"), on, "left_anti")
 
 
+def cleaned(cells: DataFrame, rules: DataFrame | None = None, drop_gte0: bool = True, drop_empty: bool = True, value: str = "value") -> DataFrame:
+    """bad values set to null, and tiles without any value left dropped.
+
+    A rule ``(tile_id, badvalue, i0, i1, j0, j1)`` names a value of a tile, or else
+    a box with exclusive ends. ``drop_gte0`` takes all heights from 0 on.
+    """
+    out = cells
+    if rules is not None:
+        exact = rules.where("badvalue is not null").select("tile_id", F.col("badvalue").alias(value), F.lit(True).alias("__bad")).distinct()
+        out = out.join(exact, ["tile_id", value], "left").withColumn(value, F.when(F.col("__bad").isNull(), F.col(value))).drop("__bad").select(*cells.columns)
+        boxes = rules.where("badvalue is null").select("tile_id", "i0", "i1", "j0", "j1")
+        kept = outside_rectangles(out, boxes)
+        out = kept.unionByName(out.alias("c").join(boxes.alias("b"), F.expr("c.tile_id = b.tile_id and c.i >= b.i0 and c.i < b.i1 and c.j >= b.j0 and c.j < b.j1"), "left_semi").withColumn(value, F.lit(None).cast(cells.schema[value].dataType)))
+    if drop_gte0:
+        out = out.withColumn(value, F.when(F.col(value) < 0, F.col(value)))
+    if drop_empty:
+        out = out.join(out.where(F.col(value).isNotNull()).select("tile_id").distinct(), "tile_id", "left_semi")
+    return out.select(*cells.columns)
+
+
 def without_codes(cells: DataFrame, code: str, codes: Sequence[int]) -> DataFrame:
     """cells whose source type is not on the list; null codes stay."""
     return cells.where(~F.coalesce(F.col(code).isin(list(codes)), F.lit(False)))

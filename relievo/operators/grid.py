@@ -50,8 +50,31 @@ def tile_grid(spark: SparkSession, size: int, bounds: Sequence[int] = (-180, -90
     return rows.select(tile_tag(y, x).alias("tile"), x.alias("xmin"), y.alias("ymin"), (x + size).alias("xmax"), (y + size).alias("ymax"))
 
 
+def tile_frame(spark: SparkSession, arc_seconds: int) -> DataFrame:
+    """The global tiles of a resolution with their grids: 1 degree tiles at 1", 15 degrees at 15", one of the world at 30" and 60"."""
+    if arc_seconds not in (1, 15, 30, 60):
+        raise ValueError(f"no tiles of {arc_seconds} arc-seconds")
+    if arc_seconds < 30:
+        tiles, width, height = tile_grid(spark, arc_seconds), arc_seconds, arc_seconds
+    else:
+        tiles = spark.range(1).select(*(F.lit(v).cast("bigint").alias(c) for c, v in (("xmin", -180), ("ymin", -90), ("xmax", 180), ("ymax", 90))))
+        from relievo.functions.names import tile_tag
+
+        tiles, width, height = tiles.select(tile_tag(F.col("ymin"), F.col("xmin")).alias("tile"), "*"), 360, 180
+    step = arc_seconds / 3600
+    return tiles.withColumns({
+        "xleft": F.col("xmin").cast("double"), "xres": F.lit(step), "ytop": F.col("ymax").cast("double"), "yres": F.lit(-step),
+        "xsize": F.lit(width * 3600 // arc_seconds), "ysize": F.lit(height * 3600 // arc_seconds),
+    })
+
+
+def sub_tiles(cells: DataFrame, side: int) -> DataFrame:
+    """Each cell's sub-tile ``(r, c)`` of ``side`` by ``side`` cells, and its place in it."""
+    return cells.withColumns({"r": F.floor(F.col("i") / side), "c": F.floor(F.col("j") / side)}).withColumns({"sub_i": F.col("i") - F.col("r") * side, "sub_j": F.col("j") - F.col("c") * side})
+
+
 def split_boxes(boxes: DataFrame, parts: int, x: str = "xmin", y: str = "ymin", size: float = 1.0) -> DataFrame:
-    """Each box as ``parts`` by ``parts`` smaller ones; those beyond the south pole are dropped."""
+    """Each box as ``parts`` by ``parts`` smaller ones; those beyond the south pole are dropped."""
     step = size / parts
     out = boxes.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     return out.withColumns({"sub_xmin": F.col(x) + F.col("c") * step, "sub_ymin": F.col(y) + F.col("r") * step}).where("sub_ymin >= -90")
@@ -75,6 +98,12 @@ def nearest(cells: DataFrame, k: int, value: str = "value") -> DataFrame:
     )
 
 
+def nearest_at(cells: DataFrame, targets: DataFrame, value: str = "value") -> DataFrame:
+    """The value of the cell that holds each target ``(id, tile_id, y, x)``, given in units of cells; null without one."""
+    at = targets.withColumns({"i": F.floor("y"), "j": F.floor("x")})
+    return at.join(cells.select("tile_id", "i", "j", value), ["tile_id", "i", "j"], "left").select("id", "tile_id", "y", "x", value)
+
+
 def average_without_creep(cells: DataFrame, k: int, value: str = "value") -> DataFrame:
     """Block means where the nearest cell has a value."""
     return average(cells, k, value).join(nearest(cells, k, value).where(F.col(value).isNotNull()).select("tile_id", "i", "j"), ["tile_id", "i", "j"], "left_semi")
@@ -116,6 +145,20 @@ def snapped_extent(cells: DataFrame, k: int, value: str = "value") -> DataFrame:
     )
 
 
+def downsampled(cells: DataFrame, k: int, land: DataFrame | None = None, how: str = "average", value: str = "value") -> DataFrame:
+    """Coarser cells over the snapped extent of valid ones: block means or nearest values, of the given land cells alone.
+
+    Rows and columns count from the extent's corner ``(i0, j0)``, which comes along.
+    """
+    ok = cells.where(F.col(value).isNotNull())
+    coarse = {"average": average, "nearest": nearest}[how](ok, k, value).select("tile_id", "i", "j", value)
+    if land is not None:
+        coarse = coarse.join(land.select("tile_id", "i", "j"), ["tile_id", "i", "j"], "left_semi")
+    corner = snapped_extent(ok, k, value).select("tile_id", "i0", "j0")
+    moved = coarse.join(corner, "tile_id").withColumns({"i": F.col("i") - F.expr(f"i0 div {k}"), "j": F.col("j") - F.expr(f"j0 div {k}")})
+    return moved.select("tile_id", "i0", "j0", "i", "j", value)
+
+
 def mosaic(cells: DataFrame, offsets: DataFrame, value: str = "value") -> DataFrame:
     """Tiles pasted into one grid by whole-cell offsets; of overlapping cells the last listed wins."""
     moved = cells.join(offsets, "tile_id")
@@ -135,33 +178,38 @@ def _neighbours(rows: DataFrame, offsets: Sequence[tuple]) -> DataFrame:
 HORN = [(-1, -1, 1, 1), (-1, 0, 0, 2), (-1, 1, -1, 1), (0, -1, 2, 0), (0, 0, 0, 0), (0, 1, -2, 0), (1, -1, 1, -1), (1, 0, 0, -2), (1, 1, -1, -1)]
 
 
-def slope(cells: DataFrame, xstep: float, ystep: float, scale: float = 111120.0, value: str = "value") -> DataFrame:
+def slope(cells: DataFrame, xstep: float, ystep: float, scale: float = 111120.0, value: str = "value", edges: bool = False) -> DataFrame:
     """Slope in degrees over cells whose eight neighbours have values.
 
-    Every cell gives signed shares to its neighbours, which add them up.
+    With ``edges`` all cells with a value get one; a missing neighbour, at an edge
+    or a hole, counts with the cell's own value. Every cell gives signed shares to
+    its neighbours, which add them up.
     """
-    spread = _neighbours(cells.where(F.col(value).isNotNull()), [(-di, -dj, wx, wy) for di, dj, wx, wy in HORN])
-    sums = spread.groupBy("tile_id", "i", "j").agg(F.sum(F.col("w0") * F.col(value)).alias("gx"), F.sum(F.col("w1") * F.col(value)).alias("gy"), F.count("*").alias("n"))
+    spread = _neighbours(cells.where(F.col(value).isNotNull()), [(-di, -dj, wx, wy, int(di == dj == 0)) for di, dj, wx, wy in HORN])
+    own = F.max(F.when(F.col("w2") == 1, F.col(value)))
+    # all weights sum to zero, so what is missing has the negated sum of those that are there
+    fall = lambda w: F.sum(F.col(w) * F.col(value)) - own * F.sum(w)
+    sums = spread.groupBy("tile_id", "i", "j").agg(fall("w0").alias("gx"), fall("w1").alias("gy"), F.count("*").alias("n"), own.alias("own"))
     gx, gy = F.col("gx") / (8 * abs(xstep) * scale), F.col("gy") / (8 * abs(ystep) * scale)
-    return sums.where("n = 9").select("tile_id", "i", "j", F.degrees(F.atan(F.sqrt(gx * gx + gy * gy))).alias("slope"))
+    return sums.where("own is not null" if edges else "n = 9").select("tile_id", "i", "j", F.degrees(F.atan(F.sqrt(gx * gx + gy * gy))).alias("slope"))
 
 
 _CROSS = [(-1, 0), (1, 0), (0, -1), (0, 1)]
 
 
 def isolated(cells: DataFrame, least: int = 3) -> DataFrame:
-    """Cells whose four-neighbour cluster, seen over two hops, has at most ``least`` cells.
+    """Cells from which at most ``least`` cells are in reach, themselves included, over two steps to four neighbours.
 
-    The first hop counts neighbours, the second adds the neighbours' counts, each
-    capped at two.
+    The first hop counts neighbours, the second adds what each neighbour has
+    besides the cell itself. Up to three cells the count is exact.
     """
     keys = ["tile_id", "i", "j"]
     here = cells.select(*keys)
     hop = lambda rows, extra: _neighbours(rows, _CROSS).groupBy(*keys).agg(extra).join(here, keys, "right")
     first = hop(here, F.count("*").alias("n")).withColumn("n", F.coalesce("n", F.lit(0)))
-    second = _neighbours(first.select(*keys, F.least("n", F.lit(2)).alias("c")), _CROSS).groupBy(*keys).agg(F.sum("c").alias("m"))
+    second = _neighbours(first.select(*keys, F.greatest(F.col("n") - 1, F.lit(0)).alias("c")), _CROSS).groupBy(*keys).agg(F.sum("c").alias("m"))
     both = first.join(second, keys, "left")
-    return both.where(F.col("n") + F.coalesce("m", F.lit(0)) <= least).select(*keys)
+    return both.where(1 + F.col("n") + F.coalesce("m", F.lit(0)) <= least).select(*keys)
 
 
 def fill(cells: DataFrame, holes: DataFrame, reach: int, value: str = "value") -> DataFrame:
@@ -172,6 +220,23 @@ def fill(cells: DataFrame, holes: DataFrame, reach: int, value: str = "value") -
     return joined.groupBy("tile_id", F.col("hi").alias("i"), F.col("hj").alias("j")).agg((F.sum(F.col("w0") * F.col(value)) / F.sum("w0")).alias(value))
 
 
+def cut_and_fill(cells: DataFrame, inside: Column, reach: int, smooth: int = 0, value: str = "value") -> DataFrame:
+    """Cells for which ``inside`` holds are cut out and filled from the others; ``smooth`` rounds of 3 by 3 means over what was filled.
+
+    Cells that nothing within reach can fill have no row.
+    """
+    keys = ["tile_id", "i", "j"]
+    ok = cells.where(F.col(value).isNotNull())
+    cut = F.coalesce(inside, F.lit(False))
+    kept, holes = ok.where(~cut).select(*keys, value), cells.where(cut).select(*keys)
+    filled = fill(kept, holes, reach, value)
+    block = [(di, dj) for di in (-1, 0, 1) for dj in (-1, 0, 1)]
+    for _ in range(smooth):
+        spread = _neighbours(kept.unionByName(filled), block).groupBy(*keys).agg(F.avg(value).alias("mean"))
+        filled = filled.join(spread, keys).select(*keys, F.col("mean").alias(value))
+    return kept.unionByName(filled)
+
+
 def shifted(cells: DataFrame, offsets: DataFrame, sign: int = 1, value: str = "value") -> DataFrame:
     """Values plus (or minus) an offset grid on the same cells."""
     return cells.join(offsets, ["tile_id", "i", "j"]).withColumn(value, F.col(value) + sign * F.col("offset")).drop("offset")

@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from relievo.plans.ranges import overlap_join
 
 
-def segment_starts(segments: DataFrame, group: Sequence[str] = ("beam",)) -> DataFrame:
-    """The place of each segment's first photon: an exclusive running count."""
+GROUP = ("granule", "beam")
+
+
+def segment_starts(segments: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
+    """The place of each segment's first photon in its granule's beam: an exclusive running count."""
     before = Window.partitionBy(*group).orderBy("segment_id").rowsBetween(Window.unboundedPreceding, -1)
     return segments.withColumn("start", F.coalesce(F.sum("cnt").over(before), F.lit(0)))
 
 
-def classify(heights: DataFrame, segments: DataFrame, signal: DataFrame, group: Sequence[str] = ("beam",)) -> DataFrame:
+def classify(heights: DataFrame, segments: DataFrame, signal: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
     """Each photon's class from signal rows (segment, 1-based index); -1 without one.
 
     Signal rows of unknown segments drop out.
@@ -26,11 +29,19 @@ def classify(heights: DataFrame, segments: DataFrame, signal: DataFrame, group:
     return heights.join(placed, [*group, "pos"], "left").withColumn("class_code", F.coalesce("flag", F.lit(-1))).drop("flag")
 
 
-def with_segments(heights: DataFrame, segments: DataFrame, group: Sequence[str] = ("beam",)) -> DataFrame:
-    """Segment attributes for each photon: an interval join written as an equi-join on exploded places."""
-    spread = segment_starts(segments, group).where("cnt > 0")
-    spread = spread.withColumn("pos", F.explode(F.expr("sequence(start, start + cnt - 1)")))
-    joined = heights.join(spread.select(*group, "pos", "segment_id", "geoid", "free2mean", "seg_dist"), [*group, "pos"])
+def with_segments(heights: DataFrame, segments: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
+    """Segment attributes for each photon: an interval join as a carry-forward.
+
+    Segment starts and photons of a group are sorted together by place; each
+    photon takes the last start before it, if it lies within that segment.
+    """
+    starts = segment_starts(segments, group).where("cnt > 0")
+    starts = starts.select(*group, F.col("start").alias("pos"), F.struct("segment_id", "start", "cnt", "geoid", "free2mean", "seg_dist").alias("s"))
+    photons = heights.select(*group, "pos", F.struct(*heights.columns).alias("h"))
+    both = starts.withColumn("h", F.lit(None).cast(photons.schema["h"].dataType)).unionByName(photons.withColumn("s", F.lit(None).cast(starts.schema["s"].dataType)))
+    so_far = Window.partitionBy(*group).orderBy("pos", F.col("h").isNotNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = both.withColumn("s", F.last("s", ignorenulls=True).over(so_far)).where("h is not null and pos < s.start + s.cnt")
+    joined = carried.select("h.*", "s.segment_id", "s.geoid", "s.free2mean", "s.seg_dist")
     return joined.withColumns({
         "h_geoid": F.col("h") - F.col("geoid"), "h_meantide": F.col("h") - (F.col("geoid") + F.col("free2mean")), "dist_x": F.col("seg_dist") + F.col("along"),
     })
@@ -91,18 +102,29 @@ def substituted(tiles: DataFrame, beds: DataFrame, key: str = "tile_id") -> Data
 
 
 def unique_lookup(rows: DataFrame, scheme: DataFrame, key: str) -> DataFrame:
-    """Attributes of a tile scheme; keys with several entries raise when evaluated."""
+    """Attributes of a tile scheme; keys without exactly one entry raise when evaluated."""
     columns = [c for c in scheme.columns if c != key]
     one = scheme.groupBy(key).agg(F.count("*").alias("n"), F.min(F.struct(*columns)).alias("s"))
-    ok = F.when(F.col("n") == 1, F.col("s")).otherwise(F.raise_error(F.lit("the tile scheme has several entries")).cast(one.schema["s"].dataType))
-    return rows.join(one.select(key, ok.alias("s")), key).select(*rows.columns, "s.*")
+    ok = F.when(F.col("n") == 1, F.col("s")).otherwise(F.raise_error(F.lit("the tile scheme has no single entry for a tile")).cast(one.schema["s"].dataType))
+    return rows.join(one, key, "left").withColumn("s", ok).select(*rows.columns, "s.*")
+
 
+def exceptions(cells: DataFrame, rules: DataFrame) -> DataFrame:
+    """The decision of the first rule in list order that fits a lake; null without one.
 
-def exceptions(lakes: DataFrame, rules: DataFrame) -> DataFrame:
-    """The first rule in list order that fits a lake: its row and column, (-1, -1), or none at all."""
-    on = F.expr("l.tile_id = r.tile_id and ((r.row between l.i0 and l.i1 and r.col between l.j0 and l.j1) or (r.row = -1 and r.col = -1))")
-    hits = lakes.alias("l").join(rules.alias("r"), on, "left")
-    return hits.groupBy("l.tile_id", "l.lake").agg(F.min_by("r.decision", "r.place").alias("decision"))
+    ``cells`` are the lakes' cells ``(tile_id, lake, i, j)``. A rule ``(place,
+    tile_id, row, col, decision, all_other)`` fits the lake that its cell is in;
+    with row and column -1 it fits all lakes of its tile. A rule that fits a lake
+    otherwise not, but is marked ``all_other``, decides false for it.
+    """
+    lakes = cells.select("tile_id", "lake").distinct()
+    whole = F.expr("row = -1 and col = -1")
+    at = rules.where(~whole).select("tile_id", F.col("row").alias("i"), F.col("col").alias("j"), "place", "decision")
+    hits = cells.join(at, ["tile_id", "i", "j"]).select("tile_id", "lake", "place", "decision", F.lit(0).alias("rank"))
+    wide = rules.where(whole | F.col("all_other")).select("tile_id", "place", F.when(whole, F.col("decision")).otherwise(F.lit(False)).alias("decision"), F.lit(1).alias("rank"))
+    fits = hits.unionByName(lakes.join(wide, "tile_id").select("tile_id", "lake", "place", "decision", "rank"))
+    first = fits.groupBy("tile_id", "lake").agg(F.min_by("decision", F.struct("place", "rank")).alias("decision"))
+    return lakes.join(first, ["tile_id", "lake"], "left")
 
 
 def translate_boxes(boxes: DataFrame, tiles: DataFrame, size: float, step: float) -> DataFrame:

@@ -2,26 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from relievo.operators.validation import lake_statistics
 from relievo.plans.components import connected_components
 
 
-def label(cells: DataFrame, across_tiles: bool = False, rows: int = 1 << 20) -> DataFrame:
+def label(cells: DataFrame, across_tiles: bool = False) -> DataFrame:
     """Cells with the least cell key of their four-connected lake.
 
     Components of a tile by default; ``across_tiles`` expects global indices. A
-    cell's key is ``i * rows + j``.
+    cell's key is its row times 2^20 plus its column within a tile, and its row
+    times 2^32 plus its column across tiles. The cells of a row that follow each
+    other are one node, so a component has about as many nodes as rows.
     """
-    group = F.lit(0) if across_tiles else F.col("tile_id")
-    node = F.struct(group.cast("string").alias("g"), (F.col("i") * rows + F.col("j")).alias("k"))
-    nodes = cells.select(node.alias("a"), "i", "j", group.cast("string").alias("g"))
-    right = nodes.select("a", "g", (F.col("i") + 1).alias("i"), "j").unionByName(nodes.select("a", "g", "i", (F.col("j") + 1).alias("j")))
-    edges = right.join(nodes.select(F.col("a").alias("b"), "g", "i", "j"), ["g", "i", "j"]).select("a", "b")
-    found = connected_components(edges.unionByName(nodes.select("a", F.col("a").alias("b"))))
-    return cells.withColumn("__node", node).join(found, F.col("__node") == F.col("node")).withColumn("lake", F.col("component.k")).drop("__node", "node", "component")
+    group = (F.lit(0) if across_tiles else F.col("tile_id")).cast("string")
+    key = F.col("i").cast("bigint") * (1 << (32 if across_tiles else 20))
+    row = Window.partitionBy("__g", "i").orderBy("j")
+    runs = cells.withColumn("__g", group).withColumn("__first", F.when(F.coalesce(F.col("j") - F.lag("j").over(row) > 1, F.lit(True)), F.col("j")))
+    runs = runs.withColumn("__node", F.struct(F.col("__g").alias("g"), (key + F.max("__first").over(row)).alias("k"))).drop("__first")
+    nodes = runs.select("__g", "i", "j", F.col("__node").alias("a"))
+    below = nodes.select("__g", (F.col("i") - 1).alias("i"), "j", F.col("a").alias("b"))
+    edges = nodes.join(below, ["__g", "i", "j"]).select("a", "b").unionByName(nodes.select("a", F.col("a").alias("b")))
+    found = connected_components(edges.distinct())
+    out = runs.drop("__g").join(found, F.col("__node") == F.col("node")).withColumn("lake", F.col("component.k"))
+    return out.drop("__node", "node", "component")
 
 
 def choose_beds(cells: DataFrame, forced: DataFrame | None = None, share: float = 0.8) -> DataFrame:
@@ -45,7 +51,19 @@ def choose_beds(cells: DataFrame, forced: DataFrame | None = None, share: float
     return rows.withColumn("bed", F.when(F.col("bed") < F.col("surface"), F.col("bed")).otherwise(F.coalesce("next", F.col("surface") - 1))).drop("next", "share_b", "forced")
 
 
-def depths(lakes: DataFrame, cells: DataFrame, least_area: float, source: str = "layer", constant: float = 0.0) -> DataFrame:
-    """MASK3: bed elevations of lakes from an area on: the surface minus a constant, mean or layered depth."""
+def depths(
+    lakes: DataFrame, cells: DataFrame, least_area: float | None = None, source: str = "layer", constant: float = 0.0, most_area: float | None = None, ids: DataFrame | None = None
+) -> DataFrame:
+    """MASK3: bed elevations of lakes: the surface minus a constant, mean or layered depth.
+
+    Lakes count from ``least_area`` on, up to ``most_area``, and where ``ids``, a
+    table with a column lake, names them; what is not given does not restrict.
+    """
     depth = {"constant": F.lit(constant), "average": F.col("mean_depth"), "layer": F.col("depth")}[source]
-    return cells.join(lakes.where(F.col("area") >= least_area), "lake").withColumn("bed", F.col("surface") - depth)
+    if least_area is not None:
+        lakes = lakes.where(F.col("area") >= least_area)
+    if most_area is not None:
+        lakes = lakes.where(F.col("area") <= most_area)
+    if ids is not None:
+        lakes = lakes.join(ids.select("lake"), "lake", "left_semi")
+    return cells.join(lakes, "lake").withColumn("bed", F.col("surface") - depth)

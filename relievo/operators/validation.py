@@ -23,26 +23,35 @@ def coverage(photons: DataFrame, parts: int = 15, keys: Sequence[str] = KEYS) ->
     return photons.groupBy(*keys).agg((F.count_distinct(sub("fy") * parts + sub("fx")) / float(parts * parts)).alias("coverage"))
 
 
-def cell_statistics(photons: DataFrame, cells: DataFrame, height: str = "h_geoid", code: str = "class_code", keys: Sequence[str] = KEYS, value: str = "value") -> DataFrame:
+def _percentile(value: Column | str, shares: Column | float, accuracy: int | None) -> Column:
+    """The exact percentile, which gathers all distinct values of a group, or one of fixed size that is off by at most ``1 / accuracy`` in rank."""
+    return F.percentile(value, shares) if accuracy is None else F.percentile_approx(value, shares, accuracy)
+
+
+def cell_statistics(
+    photons: DataFrame, cells: DataFrame, height: str = "h_geoid", code: str = "class_code", keys: Sequence[str] = KEYS, value: str = "value", accuracy: int | None = None
+) -> DataFrame:
     """A1: per-cell photon statistics.
 
     Canopy share over all classes from 1; of ground photons (3 at least) the range
     and the 10th and 90th percentiles; of those between these, ends included, the
     count, mean, median and sample deviation, and the cell's value minus mean and
-    median. Both passes share one exchange on the cell.
+    median. Both passes share one exchange on the cell, so one task holds a whole
+    cell: :func:`capped` bounds it, or ``accuracy`` makes the percentiles
+    approximate, of a fixed size.
     """
     keys = list(keys)
     rows = photons.where(F.col(code) >= 1).select(*keys, F.col(height).alias("h"), F.col(code).alias("c")).repartition(*keys)
     ground = F.when(F.col("c") == GROUND, F.col("h"))
     first = rows.groupBy(*keys).agg(
         F.count("*").alias("n_all"), F.avg((F.col("c") >= CANOPY).cast("double")).alias("canopy"), F.count(ground).alias("n_ground"),
-        F.min(ground).alias("low"), F.max(ground).alias("high"), F.percentile(ground, F.array(F.lit(0.1), F.lit(0.9))).alias("p"),
+        F.min(ground).alias("low"), F.max(ground).alias("high"), _percentile(ground, F.array(F.lit(0.1), F.lit(0.9)), accuracy).alias("p"),
     )
     first = first.where("n_ground >= 3").select(*keys, "n_all", "canopy", "n_ground", (F.col("high") - F.col("low")).alias("span"), F.get("p", 0).alias("p10"), F.get("p", 1).alias("p90"))
     inner = rows.where(F.col("c") == GROUND).join(first, keys).where("h between p10 and p90")
     second = inner.groupBy(*keys).agg(
         *(F.first(c).alias(c) for c in ("n_all", "canopy", "n_ground", "span", "p10", "p90")),
-        F.count("*").alias("n_trim"), F.avg("h").alias("mean"), F.median("h").alias("median"), F.stddev_samp("h").alias("std"),
+        F.count("*").alias("n_trim"), F.avg("h").alias("mean"), (F.median("h") if accuracy is None else F.percentile_approx("h", 0.5, accuracy)).alias("median"), F.stddev_samp("h").alias("std"),
     )
     out = second.join(cells.select(*keys, value), keys)
     return out.withColumns({"decile_range": F.col("p90") - F.col("p10"), "diff_mean": F.col(value) - F.col("mean"), "diff_median": F.col(value) - F.col("median")})
@@ -51,12 +60,12 @@ def cell_statistics(photons: DataFrame, cells: DataFrame, height: str = "h_geoid
 PERCENTS = (0, 1, 10, 20, 30, 40, 50, 60, 70, 80, 90, 99, 100)
 
 
-def summary(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """A4: the summary of cell errors: counts, bias, RMSE, percentiles, canopy and roughness."""
+def summary(results: DataFrame, by: Sequence[str] = (), accuracy: int | None = None) -> DataFrame:
+    """A4: the summary of cell errors: counts, bias, RMSE, percentiles (see :func:`_percentile`), canopy and roughness."""
     d = F.col("diff_mean")
     return results.groupBy(*by).agg(
         F.count("*").alias("n_cells"), F.sum("n_trim").alias("n_photons"), F.avg("n_trim").alias("mean_photons"), F.avg(d).alias("dem_minus_photon"),
-        F.sqrt(F.avg(d * d)).alias("rmse"), F.percentile(d, F.array(*(F.lit(p / 100) for p in PERCENTS))).alias("percentiles"),
+        F.sqrt(F.avg(d * d)).alias("rmse"), _percentile(d, F.array(*(F.lit(p / 100) for p in PERCENTS)), accuracy).alias("percentiles"),
         F.avg("canopy").alias("mean_canopy"), F.avg((F.col("canopy") > 0).cast("double")).alias("wooded"),
         F.avg(F.when(F.col("canopy") > 0, F.col("canopy"))).alias("wooded_canopy"), F.avg("std").alias("roughness"),
     )
@@ -94,15 +103,15 @@ def by_category(photons: DataFrame, categories: Sequence[str], error: str = "err
     return rows.agg(F.count("*").alias("n"), F.avg(error).alias("mean"), F.stddev_pop(error).alias("std"))
 
 
-def clipped(rows: DataFrame, value: str, low: float, high: float) -> DataFrame:
+def clipped(rows: DataFrame, value: str, low: float, high: float, accuracy: int | None = None) -> DataFrame:
     """Rows between two global percentiles; the limits are one row."""
-    p = rows.agg(F.percentile(value, F.array(F.lit(low), F.lit(high))).alias("p"))
+    p = rows.agg(_percentile(value, F.array(F.lit(low), F.lit(high)), accuracy).alias("p"))
     return rows.crossJoin(F.broadcast(p)).where(F.col(value).between(F.get("p", 0), F.get("p", 1))).drop("p")
 
 
-def granule_errors(rows: DataFrame, low: float = 0.0005, high: float = 0.9995, value: str = "error") -> DataFrame:
+def granule_errors(rows: DataFrame, low: float = 0.0005, high: float = 0.9995, value: str = "error", accuracy: int | None = None) -> DataFrame:
     """Clipped error statistics of each granule."""
-    return clipped(rows, value, low, high).groupBy("granule_id1", "granule_id2").agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"))
+    return clipped(rows, value, low, high, accuracy).groupBy("granule_id1", "granule_id2").agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"))
 
 
 def outlier_granules(stats: DataFrame, keys: Sequence[str], groups: Sequence[str] = (), least: int = 20, width: float = 2.0) -> DataFrame:
@@ -145,25 +154,52 @@ def flag_summary(rows: DataFrame, flags: Mapping[str, Column]) -> DataFrame:
     return summed.select(F.inline(each)).withColumn("percent", F.try_divide(100.0 * F.col("n_true"), F.col("n_all")))
 
 
-def hypsometry(cells: DataFrame, low: float, step: float, steps: int, weight: Column | None = None, value: str = "value") -> DataFrame:
-    """For each threshold the cells at or above it, of all and of land (over -420 m).
+#: The least threshold, step and number of thresholds in metres and in feet, and feet in a metre.
+METRES, FEET, FEET_IN_METRE = (-11000.0, 100.0, 200), (-36000.0, 200.0, 327), 3.2808399
+#: Fixed value: land below it is an error of the mask at a shore.
+LEAST_LAND = -420.0
+
+
+def hypsometry(
+    cells: DataFrame, low: float, step: float, steps: int, weight: Column | None = None, value: str = "value", land: Column | None = None, scale: float = 1.0
+) -> DataFrame:
+    """For each threshold the cells at or above it, of all and of land.
 
-    A histogram by step, combined map-side, and a reverse running sum over its rows.
+    Land is what the mask ``land`` says (everything without one) from LEAST_LAND
+    on. Thresholds are ``low + k * step`` in a unit of which ``scale`` make one of
+    the values' units. A histogram by step, combined map-side, and a reverse
+    running sum over its rows.
     """
     w = F.lit(1).cast("bigint") if weight is None else weight
     v = F.col(value)
-    at = F.least(F.lit(steps - 1), F.floor((v - low) / step))
-    bars = cells.where(v.isNotNull()).groupBy(F.greatest(F.lit(-1), at).cast("int").alias("k")).agg(F.sum(w).alias("all"), F.sum(F.when(v >= -420, w).otherwise(F.lit(0))).alias("land"))
+    is_land = (v >= LEAST_LAND) & (F.lit(True) if land is None else F.coalesce(land.cast("boolean"), F.lit(False)))
+    at = F.floor((v * scale - low) / step)
+    threshold = lambda k: (k * step + low) / scale
+    # a value on a threshold counts from that threshold on, whatever the division made of it
+    at = F.when(v < threshold(at), at - 1).when(v >= threshold(at + 1), at + 1).otherwise(at)
+    at = F.greatest(F.lit(-1), F.least(F.lit(steps - 1), at)).cast("int")
+    bars = cells.where(v.isNotNull()).groupBy(at.alias("k")).agg(F.sum(w).alias("all"), F.sum(F.when(is_land, w).otherwise(F.lit(0))).alias("land"))
     frame = cells.sparkSession.range(steps).select(F.col("id").cast("int").alias("k")).join(bars, "k", "left")  # the thresholds alone
     above = Window.orderBy(F.col("k").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = bars.agg(F.sum("all").alias("total"), F.sum("land").alias("total_land"))
     out = frame.select("k", *(F.sum(F.coalesce(c, F.lit(0))).over(above).alias(f"{c}_above") for c in ("all", "land"))).crossJoin(F.broadcast(sums))
     return out.select(
-        (F.col("k") * step + low).alias("threshold"), "all_above", "land_above",
-        F.try_divide(100.0 * F.col("all_above"), "total").alias("pct_all"), F.try_divide(100.0 * F.col("land_above"), "total_land").alias("pct_land"),
+        (F.col("k") * step + low).alias("threshold"), "all_above", "land_above", F.try_divide(100.0 * F.col("all_above"), "total").alias("pct_all"),
+        F.coalesce(F.try_divide(100.0 * F.col("land_above"), "total_land"), F.lit(0.0)).alias("pct_land"),
     )
 
 
+def hypsometry_table(cells: DataFrame, land: Column, weight: Column | None = None, value: str = "value") -> DataFrame:
+    """The hypsometry at the fixed thresholds in metres and in feet, with a column ``unit``."""
+    metres = hypsometry(cells, *METRES, weight, value, land).withColumn("unit", F.lit("m"))
+    return metres.unionByName(hypsometry(cells, *FEET, weight, value, land, FEET_IN_METRE).withColumn("unit", F.lit("ft")))
+
+
+def tile_weight(latitude: Column, size: float = 15.0) -> Column:
+    """The weight of a tile by the cosine at its middle, from the latitude of its southern edge."""
+    return F.cos(F.radians(latitude + size / 2))
+
+
 def merge_hypsometries(parts: DataFrame, total: str = "n_total") -> DataFrame:
     """Counts of tiles summed by threshold, shares anew."""
     return parts.groupBy("threshold").agg(F.sum("n_above").alias("n_above"), F.sum(total).alias(total)).withColumn("pct_above", F.try_divide(100.0 * F.col("n_above"), total))
@@ -201,21 +237,26 @@ def difference(a: DataFrame, b: DataFrame, by: Sequence[str] = ("tile_id",), val
 
 
 def histogram(rows: DataFrame, value: str, low: float, high: float, bins: int, by: Sequence[str] = ()) -> DataFrame:
-    """Counts in equal bins of ``[low, high]`` and their running sums; the last bin is closed."""
+    """Counts in equal bins of ``[low, high]``; the last bin is closed.
+
+    Without ``by`` there are running sums along the bins. With it, the groups'
+    bars are stacked in the order of ``by``: ``running`` is the height of the pile
+    in a bin up to and with the group. A group without rows in a bin has no row.
+    """
     v = F.col(value)
     inside = rows.where(v.between(low, high))
     at = F.least(F.lit(bins - 1), F.floor((v - low) * bins / (high - low))).cast("bigint")
     counts = inside.groupBy(*by, at.alias("bin")).agg(F.count("*").alias("n"))
-    running = Window.partitionBy(*by).orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return counts.withColumn("running", F.sum("n").over(running))
+    pile = Window.partitionBy("bin").orderBy(*by) if by else Window.orderBy("bin")
+    return counts.withColumn("running", F.sum("n").over(pile.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
 
 
-def error_marks(rows: DataFrame, value: str = "diff_mean") -> DataFrame:
+def error_marks(rows: DataFrame, value: str = "diff_mean", accuracy: int | None = None) -> DataFrame:
     """The numbers beside the histogram."""
     d = F.col(value)
     return rows.agg(
         F.count(d).alias("n"), F.avg(d).alias("mean"), F.stddev_pop(d).alias("std"), (F.avg(d) - F.stddev_pop(d)).alias("mean_minus"), (F.avg(d) + F.stddev_pop(d)).alias("mean_plus"),
-        F.percentile(d, 0.01).alias("p01"), F.percentile(d, 0.99).alias("p99"), F.sqrt(F.avg(d * d)).alias("rmse"),
+        _percentile(d, 0.01, accuracy).alias("p01"), _percentile(d, 0.99, accuracy).alias("p99"), F.sqrt(F.avg(d * d)).alias("rmse"),
     )
 
 
@@ -238,11 +279,26 @@ def box_status(boxes: DataFrame, results: DataFrame, key: str) -> DataFrame:
     return out.withColumn("status", state)
 
 
-def bounds(rows: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
-    """Bounding boxes; null where nothing is."""
+def bounds(rows: DataFrame, x: str, y: str, by: Sequence[str] = (), epsg: str | None = None) -> DataFrame:
+    """Bounding boxes; null where nothing is. With a column ``epsg``, several reference systems in one group raise."""
+    if epsg is not None:
+        several = F.raise_error(F.lit("a collection has several reference systems")).cast("double")
+        box = [F.when(F.count_distinct(epsg) <= 1, f(c)).otherwise(several).alias(n) for n, f, c in (("xmin", F.min, x), ("ymin", F.min, y), ("xmax", F.max, x), ("ymax", F.max, y))]
+        return rows.groupBy(*by).agg(*box)
     return rows.groupBy(*by).agg(F.min(x).alias("xmin"), F.min(y).alias("ymin"), F.max(x).alias("xmax"), F.max(y).alias("ymax"))
 
 
+def collection_summary(results: DataFrame, key: str = "tile_id", value: str = "diff_mean") -> DataFrame:
+    """The error summary of each raster of a collection and of all together, in one pass."""
+    d = F.col(value)
+    return results.rollup(key).agg(F.count("*").alias("n_cells"), F.sum("n_trim").alias("n_photons"), F.avg(d).alias("dem_minus_photon"), F.sqrt(F.avg(d * d)).alias("rmse"))
+
+
+def longitude_bins(rows: DataFrame, width: float = 2.5, x: str = "longitude") -> DataFrame:
+    """How many rows each band of longitudes has."""
+    return rows.groupBy(F.floor(F.col(x) / width).alias("bin")).agg(F.count("*").alias("n"))
+
+
 def audit(catalogue: DataFrame, counted: DataFrame, key: str = "tile_id") -> DataFrame:
     """Catalogue entries whose counts are wrong, with the right ones, and whether total = canopy + ground held."""
     names = ["numphotons", "numphotons_canopy", "numphotons_ground"]

@@ -49,6 +49,27 @@ def delete(spark: SparkSession, uri: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def exists(spark: SparkSession, uri: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a folder, in place of what has the new name; nothing happens without the old one."""
+    if exists(spark, old):
+        delete(spark, new)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        path(old).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(path(old), path(new))
+
+
+def folders(spark: SparkSession, uri: str) -> list[str]:
+    """The names of what lies in a folder; none without it."""
+    if not exists(spark, uri):
+        return []
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    return [s.getPath().getName() for s in path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)]
+
+
 def drop_shuffles(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of jobs that are done.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relievo.functions import datums, names
-from relievo.operators import filters, grid, joins, ranking, validation
+from relievo.operators import collections, filters, grid, joins, ranking, validation
 from relievo.plans.ranges import overlap_join
 from relievo.plans.storage import new_folder
 from relievo.queries.photons import binned
@@ -147,6 +147,22 @@ def _(t: Tables) -> DataFrame:
     return t.files.select("key", names.release_name(F.concat(F.lit("tile_"), F.col("tag"), tail), F.lit(15)).alias("name"))
 
 
+@query(
+    "s8_release_paths",
+    "WITH s AS (SELECT key, tag, " + _TAG + """ FROM fx_files),
+n AS (SELECT key, tag, y + 15 AS y, x, CASE size_class WHEN 0 THEN 15 WHEN 1 THEN 30 WHEN 2 THEN 60 ELSE 1 END AS res, suffix, ext FROM (
+  SELECT *, key % 4 AS size_class, CASE key % 5 WHEN 0 THEN '' WHEN 1 THEN '_bed' WHEN 2 THEN '_geoid' WHEN 3 THEN '_sid' ELSE '_w' END AS suffix, CASE key % 3 WHEN 0 THEN '.tif' WHEN 1 THEN '.nc' ELSE '.txt' END AS ext FROM s) q)
+SELECT key, CASE WHEN suffix <> '_w' AND ext <> '.txt' AND res <> 1 AND NOT (suffix = '_sid' AND res > 15) THEN
+  CASE ext WHEN '.tif' THEN 'gtif' ELSE 'netcdf' END || '/' || res || 's/' || res || 's_' || CASE suffix WHEN '_geoid' THEN 'geoid' WHEN '_bed' THEN 'bed_elev' WHEN '_sid' THEN 'surface_sid' ELSE 'surface_elev' END || '_' || CASE ext WHEN '.tif' THEN 'gtif' ELSE 'netcdf' END
+  || '/ETOPO_v1_' || res || 's_' || CASE WHEN res = 15 THEN CASE WHEN y < 0 THEN 'S' ELSE 'N' END || printf('%02d', abs(y)) || CASE WHEN x < 0 THEN 'W' ELSE 'E' END || lpad(CAST(abs(x) AS STRING), 3, '0') ELSE 'N90W180' END
+  || CASE suffix WHEN '' THEN '_surface' WHEN '_sid' THEN '_surface_sid' ELSE suffix END || ext END AS path FROM n""",
+)
+def _(t: Tables) -> DataFrame:
+    pick = lambda n, *v: F.get(F.array(*map(F.lit, v)), (F.col("key") % n).cast("int"))
+    name = F.concat(F.lit("ETOPO_v1_"), pick(4, "15", "30", "60", "1"), F.lit("s_"), F.col("tag"), F.lit("_2022.09.29"), pick(5, "", "_bed", "_geoid", "_sid", "_w"), pick(3, ".tif", ".nc", ".txt"))
+    return t.files.select("key", names.release_path(name).alias("path"))
+
+
 @query("s9_chart_names", "SELECT key, 'ncei1_n' || lpad(CAST(20 + key % 30 AS STRING), 2, '0') || 'x' || lpad(CAST(key % 4 * 25 AS STRING), 2, '0') || '_w' || lpad(CAST(60 + key % 60 AS STRING), 3, '0') || 'x' || lpad(CAST(size % 4 * 25 AS STRING), 2, '0') || '_2022v1' AS name FROM fx_files")
 def _(t: Tables) -> DataFrame:
     y, x = 20 + F.col("key") % 30 + (F.col("key") % 4) * 0.25, -(60 + F.col("key") % 60 + (F.col("size") % 4) * 0.25)
@@ -161,10 +177,11 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "s12_datum_codes",
-    "SELECT key, CAST(CASE WHEN size % 4 = 0 THEN size WHEN size % 3 = 0 THEN 5703 WHEN size % 3 = 1 THEN 5868 END AS BIGINT) AS epsg FROM fx_files",
+    """SELECT key, CAST(CASE WHEN size % 4 = 0 THEN size ELSE CASE size % 9 WHEN 0 THEN 5703 WHEN 1 THEN 7912 WHEN 2 THEN 6641 WHEN 3 THEN 6644 WHEN 4 THEN 6643 WHEN 5 THEN 3855 WHEN 6 THEN 5174 WHEN 7 THEN 9245 END END AS BIGINT) AS epsg FROM fx_files""",
 )
 def _(t: Tables) -> DataFrame:
-    name = F.when(F.col("size") % 4 == 0, F.col("size").cast("string")).when(F.col("size") % 3 == 0, "navd88").when(F.col("size") % 3 == 1, " MHW ").otherwise("unk")
+    listed = F.array(*map(F.lit, ("navd88", " WGS84 ", "vivd09", "guvd04", "asvd02", "EGM2008", "msl", "cgvd2013(cgg2013a)", "mhw")))
+    name = F.when(F.col("size") % 4 == 0, F.col("size").cast("string")).otherwise(F.get(listed, F.col("size") % 9))
     return t.files.select("key", datums.vertical_epsg(name).alias("epsg"))
 
 
@@ -192,9 +209,7 @@ def _(t: Tables) -> DataFrame:
         F.concat_ws("/", "event_type", F.concat(F.col("event_id").cast("string"), F.lit(".h5"))).alias("href"), (F.col("event_type") == "click").alias("inherited"),
         F.when(F.col("event_type") == "error", "opendap").otherwise("data").alias("rel"),
     )).alias("links"))), "links array<struct<href string, inherited boolean, rel string>>")
-    rows = t.events.select(F.from_json("props", "k bigint")["k"].alias("key"), F.explode(entry["links"]).alias("l"))
-    links = rows.where("not l.inherited and l.rel = 'data'").select("key", "l.href")
-    return ranking.first_seen(links, "key", ["href"])
+    return collections.data_links(t.events.select(F.from_json("props", "k bigint")["k"].alias("key"), entry["links"].alias("links")), "key")
 
 
 @query("s19_error_measures", f"SELECT l_suppkey, {q6('sqrt(avg(l_discount * l_discount))')} AS rmse, {q6('avg(l_discount)')} AS bias, {q6('avg(cos(radians(l_quantity)))')} AS weight FROM lineitem GROUP BY 1")
@@ -208,7 +223,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("s20_longitude_bins", "SELECT CAST(floor(longitude / 25e-1) AS BIGINT) AS bin, count(*) AS n FROM fx_photons GROUP BY 1")
 def _(t: Tables) -> DataFrame:
-    return t.photons.groupBy(F.floor(F.col("longitude") / 2.5).alias("bin")).agg(F.count("*").alias("n"))
+    return validation.longitude_bins(t.photons)
 
 
 @query("f13_name_filters", "SELECT key, filename FROM fx_files WHERE regexp_matches(filename, 'ncei1_.*2019') AND NOT regexp_matches(filename, 'MHW')")
@@ -334,7 +349,10 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     new = t.nation.where("n_regionkey = 1").select(F.col("n_name").alias("dset_name"), (F.col("n_nationkey") + 50).cast("bigint").alias("ranking_score"))
-    return readers.updated_registry(t.registry, new)
+    path = new_folder(t.spark, "registry")
+    t.registry.write.parquet(path)
+    writers.replace_table(readers.updated_registry(t.spark.read.parquet(path), new), path)
+    return t.spark.read.parquet(path)
 
 
 @query("src14_active_sources", "SELECT id_number, dset_name, ranking_score, region, is_active FROM fx_registry WHERE is_active")
@@ -402,16 +420,16 @@ def _(t: Tables) -> DataFrame:
     "SELECT floor(latitude) AS tile_lat, floor(longitude) AS tile_lon, count(*) AS numphotons, count(*) FILTER (WHERE class_code BETWEEN 2 AND 3) AS numphotons_canopy, count(*) FILTER (WHERE class_code = 1) AS numphotons_ground FROM fx_photons GROUP BY 1, 2",
 )
 def _(t: Tables) -> DataFrame:
-    out = writers.write_photon_tiles(t.photons, new_folder(t.spark, "tiles"), 1.0)
+    out = writers.write_photon_tiles(t.photons, new_folder(t.spark, "tiles"), 1.0, block=10)
     return out.select(F.col("tile_lat").cast("double").alias("tile_lat"), F.col("tile_lon").cast("double").alias("tile_lon"), "numphotons", "numphotons_canopy", "numphotons_ground")
 
 
 @query(
     "snk4_tracks",
-    "SELECT granule_id1, granule_id2, beam, count(*) AS n_points FROM fx_photons GROUP BY 1, 2, 3 HAVING count(*) >= 2",
+    "SELECT granule_id1, granule_id2, beam, count(*) AS n_points, 'LINESTRING (' || string_agg(longitude || ' ' || latitude, ', ' ORDER BY photon_id, l_partkey, l_suppkey, longitude, latitude) || ')' AS wkt FROM fx_photons WHERE longitude BETWEEN 1 AND 9 AND latitude BETWEEN 41 AND 49 GROUP BY 1, 2, 3 HAVING count(*) >= 2",
 )
 def _(t: Tables) -> DataFrame:
-    return writers.tracks(t.photons, F.struct("photon_id", "l_partkey", "l_suppkey"), ("granule_id1", "granule_id2", "beam")).drop("wkt")
+    return writers.tracks(t.photons, F.struct("photon_id", "l_partkey", "l_suppkey", "longitude", "latitude"), ("granule_id1", "granule_id2", "beam"), box=(1, 41, 9, 49))
 
 
 def _stream(t: Tables, kind: str) -> DataFrame:
@@ -439,9 +457,14 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     out = new_folder(t.spark, "upsert")
-    rows = _stream(t, "click").select("user_id", "event_id", "event_type", "value")
-    jobs.upsert_stream(rows, f"{out}/table", f"{out}/state", ["user_id"], "event_id").awaitTermination()
-    return t.spark.read.parquet(f"{out}/table/v0")
+    # a catalogue with a row for each user, and summaries in five files, one a batch
+    box = {"xmin": (F.col("user_id") % 360 - 180).cast("int"), "ymin": (F.col("user_id") % 180 - 90).cast("int")}
+    rows = t.events.withColumns(box).select("user_id", "event_id", "event_type", "value", *box)
+    rows.where("event_type = 'click'").repartition(5, "event_id").write.option("header", True).csv(f"{out}/spool")
+    blank = rows.select("user_id", *box).distinct().select("user_id", F.lit(-1).cast("bigint").alias("event_id"), F.lit("").alias("event_type"), F.lit(0.0).alias("value"), *box)
+    spool = jobs.spool(t.spark, f"{out}/spool", "user_id bigint, event_id bigint, event_type string, value double, xmin int, ymin int")
+    jobs.upsert_stream(spool, f"{out}/table", f"{out}/state", ["user_id"], "event_id", blank, list(box)).awaitTermination()
+    return jobs.latest(t.spark, f"{out}/table").where("event_id >= 0").drop(*box)
 
 
 @query("st3_progress_upsert", "SELECT granule, max(csv_filename) AS csv_filename, max(photon_count) AS photon_count FROM (SELECT granule, csv_filename, photon_count, rank() OVER (PARTITION BY granule ORDER BY csv_filename DESC) AS o FROM fx_rejects) s WHERE o = 1 GROUP BY 1")
@@ -456,6 +479,27 @@ def _(t: Tables) -> DataFrame:
     return jobs.affected_tiles(binned(t.photons).where("class_code = 4"), rejected)
 
 
+@query(
+    "st4_revalidated",
+    "SELECT CAST(floor(longitude / 1e1) AS BIGINT) AS tile_id, count(*) AS n, sum(h_geoid) AS total FROM fx_photons WHERE NOT (granule_id1 = 3 AND granule_id2 = 0) GROUP BY 1",
+)
+def _(t: Tables) -> DataFrame:
+    path, photons = new_folder(t.spark, "results"), binned(t.photons)
+    validate = lambda rows: rows.groupBy("tile_id").agg(F.count("*").alias("n"), F.sum("h_geoid").alias("total"))
+    validate(photons).write.partitionBy("tile_id").parquet(path)
+    jobs.revalidate(path, photons, photons.where("granule_id1 = 3 and granule_id2 = 0").select("granule_id1", "granule_id2").distinct(), validate)
+    return t.spark.read.parquet(path).select(F.col("tile_id").cast("bigint").alias("tile_id"), "n", "total")
+
+
+@query(
+    "st3_rebuilt_progress",
+    "SELECT c_custkey AS box, count(DISTINCT o_orderkey % 50) AS numgranules, count(o_orderkey) > 0 AS is_done FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1",
+)
+def _(t: Tables) -> DataFrame:
+    boxes, granules = t.customer.select(F.col("c_custkey").alias("box")), t.orders.select(F.col("o_custkey").alias("box"), (F.col("o_orderkey") % 50).alias("granule"))
+    return jobs.progress_table(boxes, granules, "box")
+
+
 @query(
     "st5_backfill",
     "WITH p AS (SELECT CAST(floor(longitude / 1e1) AS BIGINT) AS tile_id, class_code FROM fx_photons) SELECT tile_id, count(*) AS numphotons, count(*) FILTER (WHERE class_code BETWEEN 2 AND 3) AS numphotons_canopy, count(*) FILTER (WHERE class_code = 1) AS numphotons_ground FROM p WHERE tile_id % 2 = 0 GROUP BY 1",
@@ -465,12 +509,16 @@ def _(t: Tables) -> DataFrame:
     return jobs.backfill(counted.select("tile_id", (F.col("tile_id") % 2 == 1).alias("is_populated")), counted)
 
 
-@query("st6_running_statistics", f"SELECT event_type, epoch(date_trunc('day', ts))::BIGINT AS day, count(*) AS n, {q6('avg(value)')} AS mean FROM events GROUP BY 1, 2")
+@query(
+    "st6_running_statistics",
+    # the days that a watermark of one day has passed
+    f"SELECT event_type, epoch(date_trunc('day', ts))::BIGINT AS day, count(*) AS n, {q6('avg(value)')} AS mean FROM events WHERE date_trunc('day', ts) + INTERVAL 2 DAY <= (SELECT max(ts) FROM events) GROUP BY 1, 2",
+)
 def _(t: Tables) -> DataFrame:
     rows = jobs.running_statistics(_stream(t, "all"), ["event_type"], "value")
-    name = f"st6_{new_folder(t.spark, 's').rsplit('-', 1)[-1]}"
-    rows.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start().awaitTermination()
-    return t.spark.table(name).select("event_type", F.unix_seconds("window.start").alias("day"), "n", r6("mean").alias("mean"))
+    out = new_folder(t.spark, "statistics")
+    rows.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.schema(rows.schema).parquet(f"{out}/rows").select("event_type", F.unix_seconds("window.start").alias("day"), "n", r6("mean").alias("mean"))
 
 
 @query(
@@ -499,7 +547,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("g6_sub_tiles", "SELECT tile_id, CAST(floor(i / 5e0) AS BIGINT) AS r, CAST(floor(j / 5e0) AS BIGINT) AS c, count(*) AS n FROM fx_cells GROUP BY 1, 2, 3")
 def _(t: Tables) -> DataFrame:
-    return t.cells.groupBy("tile_id", F.floor(F.col("i") / 5.0).alias("r"), F.floor(F.col("j") / 5.0).alias("c")).agg(F.count("*").alias("n"))
+    return grid.sub_tiles(t.cells, 5).groupBy("tile_id", "r", "c").agg(F.count("*").alias("n"))
 
 
 @query("f11_quality_segments", "SELECT segment_id FROM fx_segments WHERE beam <> 3 AND segment_id % 2 = 0 AND segment_id % 3 <> 1")
@@ -527,12 +575,8 @@ def _(t: Tables) -> DataFrame:
 
 @query("x1_registry_weights", "SELECT dset_name, CASE WHEN region = 1 THEN ranking_score + 5e-1 ELSE CAST(ranking_score AS DOUBLE) END AS weight FROM fx_registry WHERE is_active AND dset_name NOT LIKE '%2'")
 def _(t: Tables) -> DataFrame:
-    rows = t.registry.where("is_active").where(~F.col("dset_name").like("%2"))
-    hooks = {1: lambda w: w + 0.5}
-    weight = F.col("ranking_score").cast("double")
-    for region, hook in hooks.items():
-        weight = F.when(F.col("region") == region, hook(F.col("ranking_score"))).otherwise(weight)
-    return rows.select("dset_name", weight.alias("weight"))
+    rows = t.registry.where(~F.col("dset_name").like("%2")).withColumn("region", F.col("region").cast("string"))
+    return collections.source_weights(rows, {"1": lambda w: w + 0.5}, "region").select("dset_name", "weight")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

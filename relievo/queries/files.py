@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relievo.operators import grid
+from relievo.operators import collections, grid
 from relievo.plans.storage import new_folder
 from relievo.queries.catalogue import _grids
 from relievo.queries.registry import Tables, q6, query, r6
@@ -22,7 +22,7 @@ def _(t: Tables) -> DataFrame:
 @query("src2_one_photon_tile", "SELECT photon_id, l_partkey, l_suppkey FROM fx_photons WHERE floor(latitude) = 43 AND floor(longitude) = 4")
 def _(t: Tables) -> DataFrame:
     path = new_folder(t.spark, "tiles")
-    writers.write_photon_tiles(t.photons, path, 1.0)
+    writers.write_photon_tiles(t.photons, path, 1.0, block=10)
     return readers.read_photon_tiles(t.spark, path, 43, 4).select("photon_id", "l_partkey", "l_suppkey")
 
 
@@ -91,14 +91,16 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     # the surface variants step back while beds are asked for
     surface = (F.col("region") == 2) & (F.col("id_number") % 2 == 0)
-    return t.registry.where("is_active").where(~surface).select("id_number", "dset_name")
+    return collections.active_variants(t.registry, True, surface, F.lit(False)).select("id_number", "dset_name")
 
 
 @query("x4_projected_photons", "SELECT photon_id, l_partkey, l_suppkey FROM fx_photons WHERE longitude * 2 + 1 >= 5 AND longitude * 2 + 1 < 15 AND latitude - 40 >= 1 AND latitude - 40 < 6")
 def _(t: Tables) -> DataFrame:
-    convert = lambda x, y: (x * 2 + 1, y - 40)
-    from relievo.operators.filters import in_box
+    return collections.in_converted_box(t.photons, "longitude", "latitude", (5, 1, 15, 6), lambda x, y: (x * 2 + 1, y - 40)).select("photon_id", "l_partkey", "l_suppkey")
 
-    px, py = convert(F.col("longitude"), F.col("latitude"))
-    rows = t.photons.withColumns({"dem_x": px, "dem_y": py})
-    return in_box(rows, "dem_x", "dem_y", (5, 1, 15, 6)).select("photon_id", "l_partkey", "l_suppkey")
+
+@query("x3_missing_outputs", "SELECT p_partkey AS key, p_size * 2 AS doubled FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 49)")
+def _(t: Tables) -> DataFrame:
+    done = t.lineitem.where("l_quantity >= 49").select(F.col("l_partkey").alias("key"))
+    tasks = t.part.select(F.col("p_partkey").alias("key"), F.col("p_size").cast("int").alias("size"))
+    return collections.map_missing(tasks, done, ["key"], lambda rows: rows.assign(doubled=rows["size"] * 2)[["key", "doubled"]], "key bigint, doubled int")

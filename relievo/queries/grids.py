@@ -187,21 +187,21 @@ _HORN = ", ".join(f"({di}, {dj}, {wx}, {wy})" for di, dj, wx, wy in grid.HORN)
 @query(
     "g14_slope",
     f"""WITH h(di, dj, wx, wy) AS (VALUES {_HORN}),
-g AS (SELECT c.tile_id, c.i, c.j, sum(wx * n.value) / (8 * 5e-1 * 111120e0) AS gx, sum(wy * n.value) / (8 * 5e-1 * 111120e0) AS gy, count(*) AS k
-  FROM fx_cells c, h JOIN fx_cells n ON n.tile_id = c.tile_id AND n.i = c.i + di AND n.j = c.j + dj GROUP BY 1, 2, 3)
-SELECT tile_id, i, j, {q6('degrees(atan(sqrt(gx * gx + gy * gy)))')} AS slope FROM g WHERE k = 9""",
+g AS (SELECT c.tile_id, c.i, c.j, sum(wx * coalesce(n.value, c.value)) / (8 * 5e-1 * 111120e0) AS gx, sum(wy * coalesce(n.value, c.value)) / (8 * 5e-1 * 111120e0) AS gy
+  FROM (SELECT * FROM fx_cells, h) c LEFT JOIN fx_cells n ON n.tile_id = c.tile_id AND n.i = c.i + di AND n.j = c.j + dj GROUP BY 1, 2, 3)
+SELECT tile_id, i, j, {q6('degrees(atan(sqrt(gx * gx + gy * gy)))')} AS slope FROM g""",
 )
 def _(t: Tables) -> DataFrame:
-    return grid.slope(t.cells, 0.5, -0.5).withColumn("slope", r6("slope"))
+    return grid.slope(t.cells, 0.5, -0.5, edges=True).withColumn("slope", r6("slope"))
 
 
 @query(
     "g15_isolated_cells",
-    """WITH c AS (SELECT tile_id, i, j FROM fx_cells WHERE size % 3 = 0), d(di, dj) AS (VALUES (-1, 0), (1, 0), (0, -1), (0, 1)),
-x AS (SELECT tile_id, i + di AS i, j + dj AS j, count(*) AS near FROM c, d GROUP BY 1, 2, 3),
-f AS (SELECT c.tile_id, c.i, c.j, coalesce(near, 0) AS near FROM c LEFT JOIN x USING (tile_id, i, j)),
-y AS (SELECT tile_id, i + di AS i, j + dj AS j, sum(least(near, 2)) AS far FROM f, d GROUP BY 1, 2, 3)
-SELECT f.tile_id, f.i, f.j FROM f LEFT JOIN y USING (tile_id, i, j) WHERE near + coalesce(far, 0) <= 3""",
+    # the distinct cells within two steps, counted outright
+    """WITH c AS (SELECT tile_id, i, j FROM fx_cells WHERE size % 3 = 0),
+s AS (SELECT a.tile_id, a.i, a.j, b.i AS i2, b.j AS j2 FROM c a JOIN c b ON a.tile_id = b.tile_id AND abs(a.i - b.i) + abs(a.j - b.j) <= 1),
+r AS (SELECT DISTINCT s.tile_id, s.i, s.j, t.i2, t.j2 FROM s JOIN s t ON t.tile_id = s.tile_id AND t.i = s.i2 AND t.j = s.j2)
+SELECT tile_id, i, j FROM r GROUP BY 1, 2, 3 HAVING count(*) <= 3""",
 )
 def _(t: Tables) -> DataFrame:
     return grid.isolated(t.cells.where("size % 3 = 0"))
@@ -256,14 +256,19 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "j14_lake_exceptions",
-    f"""WITH RECURSIVE {_STATS}, ru AS (SELECT CAST(n_nationkey AS BIGINT) AS place, CAST(n_nationkey % 6 AS BIGINT) AS tile_id, CASE WHEN n_nationkey % 4 = 3 THEN -1 ELSE n_nationkey END AS row, CASE WHEN n_nationkey % 4 = 3 THEN -1 ELSE n_nationkey % 13 END AS col, n_nationkey % 2 = 0 AS decision FROM nation)
-SELECT z.tile_id, z.lake, arg_min(decision, place) AS decision FROM z LEFT JOIN ru ON ru.tile_id = z.tile_id AND ((row BETWEEN i0 AND i1 AND col BETWEEN j0 AND j1) OR (row = -1 AND col = -1)) GROUP BY 1, 2""",
+    f"""WITH RECURSIVE {_LAKES}, ru AS (SELECT p_partkey AS place, p_partkey % 6 AS tile_id, CASE WHEN p_partkey % 40 = 39 THEN -1 ELSE p_partkey % 19 END AS row, CASE WHEN p_partkey % 40 = 39 THEN -1 ELSE p_partkey % 13 END AS col, p_size % 2 = 0 AS decision, p_partkey % 50 = 31 AS all_other FROM part),
+f AS (SELECT k.tile_id, k.lake, place, CASE WHEN row = -1 OR (ru.row = k.i AND ru.col = k.j) THEN decision ELSE false END AS decision, CASE WHEN ru.row = k.i AND ru.col = k.j THEN 0 ELSE 1 END AS rank
+  FROM k JOIN ru ON ru.tile_id = k.tile_id AND ((row = -1 AND col = -1) OR (ru.row = k.i AND ru.col = k.j) OR all_other)),
+o AS (SELECT *, row_number() OVER (PARTITION BY tile_id, lake ORDER BY place, rank) AS n FROM f)
+SELECT DISTINCT k.tile_id, k.lake, o.decision FROM k LEFT JOIN o ON o.tile_id = k.tile_id AND o.lake = k.lake AND o.n = 1""",
 )
 def _(t: Tables) -> DataFrame:
-    n = F.col("n_nationkey").cast("bigint")
-    whole = n % 4 == 3
-    rules = t.nation.select(n.alias("place"), (n % 6).alias("tile_id"), F.when(whole, -1).otherwise(n).alias("row"), F.when(whole, -1).otherwise(n % 13).alias("col"), (n % 2 == 0).alias("decision"))
-    return joins.exceptions(validation.lake_statistics(lake_cells(t), []), rules)
+    n = F.col("p_partkey")
+    at = lambda v: F.when(n % 40 == 39, -1).otherwise(v)
+    rules = t.part.select(
+        n.alias("place"), (n % 6).alias("tile_id"), at(n % 19).alias("row"), at(n % 13).alias("col"), (F.col("p_size") % 2 == 0).alias("decision"), (n % 50 == 31).alias("all_other")
+    )
+    return joins.exceptions(lake_cells(t), rules)
 
 
 @query(
@@ -315,13 +320,16 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "a13_hypsometry",
-    f"""WITH h AS (SELECT CAST(unnest(range(0, 300)) AS DOUBLE) AS threshold), n AS (SELECT count(*) AS total FROM fx_cells)
-SELECT threshold, count(value) AS all_above, count(value) AS land_above, {q6('1e2 * count(value) / any_value(total)')} AS pct_all, {q6('1e2 * count(value) / any_value(total)')} AS pct_land
-FROM n, h LEFT JOIN fx_cells ON value >= threshold GROUP BY 1""",
+    # land and sea from -860 m on, also under the least that counts as land
+    f"""WITH h AS (SELECT 'm' AS unit, CAST(unnest(range(-11000, 9000, 100)) AS DOUBLE) AS threshold UNION ALL SELECT 'ft', CAST(unnest(range(-36000, 29250, 200)) AS DOUBLE)),
+t AS (SELECT *, CASE WHEN unit = 'ft' THEN threshold / 32808399e-7 ELSE threshold END AS metres FROM h),
+e AS (SELECT size * 4e1 - 9e2 AS v, land > 0 AND size * 4e1 - 9e2 >= -420 AS l FROM fx_cells), n AS (SELECT count(*) AS total, count(*) FILTER (WHERE l) AS total_land FROM e)
+SELECT unit, threshold, count(v) AS all_above, count(v) FILTER (WHERE l) AS land_above, {q6('1e2 * count(v) / any_value(total)')} AS pct_all, {q6('1e2 * count(v) FILTER (WHERE l) / any_value(total_land)')} AS pct_land
+FROM n, t LEFT JOIN e ON v >= metres GROUP BY 1, 2""",
 )
 def _(t: Tables) -> DataFrame:
-    out = validation.hypsometry(t.cells, 0.0, 1.0, 300)
-    return out.select(F.col("threshold").cast("double").alias("threshold"), "all_above", "land_above", r6("pct_all").alias("pct_all"), r6("pct_land").alias("pct_land"))
+    out = validation.hypsometry_table(t.cells.withColumn("value", F.col("size") * 40.0 - 900.0), F.col("land") > 0)
+    return out.select("unit", F.col("threshold").cast("double").alias("threshold"), "all_above", "land_above", r6("pct_all").alias("pct_all"), r6("pct_land").alias("pct_land"))
 
 
 @query(
@@ -337,11 +345,11 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "a15_weighted_hypsometry",
-    f"""WITH h AS (SELECT CAST(unnest(range(0, 300)) AS DOUBLE) AS threshold), c AS (SELECT value, cos(radians(CAST(tile_id % 9 * 10 AS DOUBLE))) AS w FROM fx_cells), n AS (SELECT sum(w) AS total FROM c)
+    f"""WITH h AS (SELECT CAST(unnest(range(0, 300)) AS DOUBLE) AS threshold), c AS (SELECT value, cos(radians(CAST(tile_id % 5 * 15 AS DOUBLE) + 75e-1)) AS w FROM fx_cells), n AS (SELECT sum(w) AS total FROM c)
 SELECT threshold, {q6('1e2 * coalesce(sum(w), 0) / any_value(total)')} AS pct_all FROM n, h LEFT JOIN c ON value >= threshold GROUP BY 1""",
 )
 def _(t: Tables) -> DataFrame:
-    weight = geometry.latitude_weight((F.col("tile_id") % 9 * 10).cast("double"))
+    weight = validation.tile_weight((F.col("tile_id") % 5 * 15).cast("double"))
     out = validation.hypsometry(t.cells, 0.0, 1.0, 300, weight)
     return out.select(F.col("threshold").cast("double").alias("threshold"), r6("pct_all").alias("pct_all"))
 
@@ -456,3 +464,47 @@ def _(t: Tables) -> DataFrame:
 @query("geo10_box_text", "SELECT source_key AS id, 'POLYGON ((' || xmin || ' ' || ymin || ', ' || xmax || ' ' || ymin || ', ' || xmax || ' ' || ymax || ', ' || xmin || ' ' || ymax || ', ' || xmin || ' ' || ymin || '))' AS wkt FROM fx_sources")
 def _(t: Tables) -> DataFrame:
     return t.sources.select(F.col("source_key").alias("id"), geometry.box_wkt(*(F.col(c) for c in ("xmin", "ymin", "xmax", "ymax"))).alias("wkt"))
+
+
+@query(
+    "f14_bad_values",
+    f"""WITH {_BOXES}, r AS (SELECT DISTINCT tile_id, value FROM fx_cells WHERE size = 7),
+b AS (SELECT c.tile_id, c.i, c.j, CASE WHEN r.value IS NOT NULL OR c.value - 2e2 >= 0 OR EXISTS (SELECT 1 FROM x WHERE x.tile_id = c.tile_id AND c.i >= i0 AND c.i < i1 AND c.j >= j0 AND c.j < j1) THEN NULL ELSE c.value - 2e2 END AS value
+  FROM fx_cells c LEFT JOIN r ON r.tile_id = c.tile_id AND r.value = c.value)
+SELECT * FROM b WHERE tile_id IN (SELECT tile_id FROM b WHERE value IS NOT NULL)""",
+)
+def _(t: Tables) -> DataFrame:
+    low = t.cells.select(*K, (F.col("value") - 200).alias("value"), "size")
+    null = F.lit(None).cast("double").alias("badvalue")
+    exact = low.where("size = 7").select("tile_id", F.col("value").alias("badvalue"), *(F.lit(None).cast("bigint").alias(c) for c in ("i0", "i1", "j0", "j1"))).distinct()
+    rules = exact.unionByName(_boxes(t).select("tile_id", null, *(F.col(c).cast("bigint").alias(c) for c in ("i0", "i1", "j0", "j1"))))
+    return filters.cleaned(low, rules).select(*K, "value")
+
+
+@query("g8_nearest_to_targets", f"WITH {_POINTS} SELECT o.id, o.tile_id, o.y, o.x, c.value FROM o LEFT JOIN fx_cells c ON c.tile_id = o.tile_id AND c.i = floor(o.y) AND c.j = floor(o.x)")
+def _(t: Tables) -> DataFrame:
+    return grid.nearest_at(t.cells, _points(t))
+
+
+@query(
+    "g12_downsampled",
+    f"""WITH v AS (SELECT tile_id, i, j, value FROM fx_cells WHERE i + j > 9), e AS (SELECT tile_id, CAST(floor(min(i) / 4e0) * 4 AS BIGINT) AS i0, CAST(floor(min(j) / 4e0) * 4 AS BIGINT) AS j0 FROM v GROUP BY 1),
+b AS (SELECT tile_id, CAST(floor(i / 4e0) AS BIGINT) AS bi, CAST(floor(j / 4e0) AS BIGINT) AS bj, avg(value) AS value FROM v GROUP BY 1, 2, 3)
+SELECT b.tile_id, e.i0, e.j0, bi - e.i0 // 4 AS i, bj - e.j0 // 4 AS j, {q6('value')} AS value FROM b JOIN e USING (tile_id) WHERE (bi + bj) % 3 > 0""",
+)
+def _(t: Tables) -> DataFrame:
+    land = t.cells.select("tile_id", F.floor(F.col("i") / 4).alias("i"), F.floor(F.col("j") / 4).alias("j")).where("(i + j) % 3 > 0").distinct()
+    return grid.downsampled(t.cells.where("i + j > 9"), 4, land).withColumn("value", r6("value"))
+
+
+@query(
+    "g18_cut_and_fill",
+    f"""WITH h AS (SELECT tile_id, i, j FROM fx_cells WHERE i BETWEEN 5 AND 8 AND j BETWEEN 3 AND 6), c AS (SELECT * FROM fx_cells WHERE NOT (i BETWEEN 5 AND 8 AND j BETWEEN 3 AND 6))
+SELECT tile_id, i, j, {q6('value')} AS value FROM c UNION ALL
+SELECT h.tile_id, h.i, h.j, {q6('sum(c.value / sqrt((c.i - h.i) * (c.i - h.i) + (c.j - h.j) * (c.j - h.j))) / sum(1 / sqrt((c.i - h.i) * (c.i - h.i) + (c.j - h.j) * (c.j - h.j)))')} AS value
+FROM h JOIN c ON c.tile_id = h.tile_id AND (c.i - h.i) * (c.i - h.i) + (c.j - h.j) * (c.j - h.j) <= 4 GROUP BY 1, 2, 3""",
+)
+def _(t: Tables) -> DataFrame:
+    ring = geometry.box_ring(*(F.lit(float(v)) for v in (3, 5, 7, 9)))
+    inside = geometry.contains(ring, F.col("j") + 0.5, F.col("i") + 0.5)
+    return grid.cut_and_fill(t.cells, inside, 2).withColumn("value", r6("value"))

@@ -72,27 +72,27 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "j1_photon_classification",
-    """WITH s AS (SELECT beam, segment_id, coalesce(sum(cnt) OVER (PARTITION BY beam ORDER BY segment_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM fx_segments),
-x AS (SELECT g.beam, s.start + g.idx - 1 AS pos, g.flag FROM fx_signal g JOIN s ON s.beam = g.beam AND s.segment_id = g.segment_id)
-SELECT h.beam, h.pos, h.h, CAST(coalesce(x.flag, -1) AS BIGINT) AS class_code FROM fx_heights h LEFT JOIN x ON x.beam = h.beam AND x.pos = h.pos""",
+    """WITH s AS (SELECT granule, beam, segment_id, coalesce(sum(cnt) OVER (PARTITION BY granule, beam ORDER BY segment_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM fx_segments),
+x AS (SELECT g.granule, g.beam, s.start + g.idx - 1 AS pos, g.flag FROM fx_signal g JOIN s ON s.granule = g.granule AND s.beam = g.beam AND s.segment_id = g.segment_id)
+SELECT h.granule, h.beam, h.pos, h.h, CAST(coalesce(x.flag, -1) AS BIGINT) AS class_code FROM fx_heights h LEFT JOIN x ON x.granule = h.granule AND x.beam = h.beam AND x.pos = h.pos""",
 )
 def _(t: Tables) -> DataFrame:
-    return joins.classify(t.heights, t.segments, t.signal).select("beam", F.col("pos").cast("bigint").alias("pos"), "h", F.col("class_code").cast("bigint").alias("class_code"))
+    return joins.classify(t.heights, t.segments, t.signal).select("granule", "beam", F.col("pos").cast("bigint").alias("pos"), "h", F.col("class_code").cast("bigint").alias("class_code"))
 
 
 @query(
     "j2_segment_attributes",
-    """WITH s AS (SELECT *, coalesce(sum(cnt) OVER (PARTITION BY beam ORDER BY segment_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM fx_segments)
-SELECT h.beam, h.pos, s.segment_id, h.h - s.geoid AS h_geoid, h.h - (s.geoid + s.free2mean) AS h_meantide, s.seg_dist + h.along AS dist_x
-FROM fx_heights h JOIN s ON s.beam = h.beam AND h.pos >= s.start AND h.pos < s.start + s.cnt""",
+    """WITH s AS (SELECT *, coalesce(sum(cnt) OVER (PARTITION BY granule, beam ORDER BY segment_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM fx_segments)
+SELECT h.granule, h.beam, h.pos, s.segment_id, h.h - s.geoid AS h_geoid, h.h - (s.geoid + s.free2mean) AS h_meantide, s.seg_dist + h.along AS dist_x
+FROM fx_heights h JOIN s ON s.granule = h.granule AND s.beam = h.beam AND h.pos >= s.start AND h.pos < s.start + s.cnt""",
 )
 def _(t: Tables) -> DataFrame:
-    return joins.with_segments(t.heights, t.segments).select("beam", F.col("pos").cast("bigint").alias("pos"), "segment_id", "h_geoid", "h_meantide", "dist_x")
+    return joins.with_segments(t.heights, t.segments).select("granule", "beam", F.col("pos").cast("bigint").alias("pos"), "segment_id", "h_geoid", "h_meantide", "dist_x")
 
 
-@query("w1_segment_starts", "SELECT beam, segment_id, CAST(coalesce(sum(cnt) OVER (PARTITION BY beam ORDER BY segment_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM fx_segments")
+@query("w1_segment_starts", "SELECT granule, beam, segment_id, CAST(coalesce(sum(cnt) OVER (PARTITION BY granule, beam ORDER BY segment_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM fx_segments")
 def _(t: Tables) -> DataFrame:
-    return joins.segment_starts(t.segments).select("beam", "segment_id", F.col("start").cast("bigint").alias("start"))
+    return joins.segment_starts(t.segments).select("granule", "beam", "segment_id", F.col("start").cast("bigint").alias("start"))
 
 
 @query(
@@ -307,7 +307,7 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "a20_granule_histograms",
-    f"WITH {_ERR}, h AS (SELECT granule_id1, CAST(least(199, floor((error - -15000e0) * 200 / 30000e0)) AS BIGINT) AS bin, count(*) AS n FROM e WHERE error BETWEEN -15000 AND 15000 GROUP BY 1, 2) SELECT granule_id1, bin, n, CAST(sum(n) OVER (PARTITION BY granule_id1 ORDER BY bin) AS BIGINT) AS running FROM h",
+    f"WITH {_ERR}, h AS (SELECT granule_id1, CAST(least(199, floor((error - -15000e0) * 200 / 30000e0)) AS BIGINT) AS bin, count(*) AS n FROM e WHERE error BETWEEN -15000 AND 15000 GROUP BY 1, 2) SELECT granule_id1, bin, n, CAST(sum(n) OVER (PARTITION BY bin ORDER BY granule_id1) AS BIGINT) AS running FROM h",
 )
 def _(t: Tables) -> DataFrame:
     return validation.histogram(errors(t), "error", -15000.0, 15000.0, 200, ["granule_id1"])
@@ -414,6 +414,4 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     rows = results(t)
-    d = F.col("diff_mean")
-    out = rows.rollup("tile_id").agg(F.count("*").alias("n_cells"), F.sum("n_trim").alias("n_photons"), F.avg(d).alias("dem_minus_photon"), F.sqrt(F.avg(d * d)).alias("rmse"))
-    return out.select("tile_id", "n_cells", "n_photons", r6("dem_minus_photon").alias("dem_minus_photon"), r6("rmse").alias("rmse"))
+    return validation.collection_summary(rows).select("tile_id", "n_cells", "n_photons", r6("dem_minus_photon").alias("dem_minus_photon"), r6("rmse").alias("rmse"))

@@ -49,16 +49,16 @@ SELECT l_orderkey % 200 AS i, l_partkey % 200 AS j, l_suppkey % 13 + 1 AS weight
   floor(l_extendedprice) / 8e0 AS elev
 FROM {lineitem}""",
     "fx_segments": """
-SELECT o_orderkey AS segment_id, o_custkey % 6 AS beam, CAST(o_custkey % 4 AS DOUBLE) / 8e0 AS geoid, CAST(o_custkey % 3 AS DOUBLE) / 8e0 AS free2mean,
+SELECT o_orderkey AS segment_id, o_custkey % 50 AS granule, o_custkey % 6 AS beam, CAST(o_custkey % 4 AS DOUBLE) / 8e0 AS geoid, CAST(o_custkey % 3 AS DOUBLE) / 8e0 AS free2mean,
   CAST(o_orderkey AS DOUBLE) * 2e1 AS seg_dist, count(l_orderkey) AS cnt
 FROM {orders} LEFT JOIN {lineitem} ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_custkey""",
     "fx_heights": """
-SELECT o_custkey % 6 AS beam, row_number() OVER (PARTITION BY o_custkey % 6 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) - 1 AS pos,
+SELECT o_custkey % 50 AS granule, o_custkey % 6 AS beam, row_number() OVER (PARTITION BY o_custkey % 50, o_custkey % 6 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) - 1 AS pos,
   floor(l_extendedprice) / 8e0 AS h, CAST(l_linenumber AS DOUBLE) / 2e0 AS along
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",
     "fx_signal": """
-SELECT beam, segment_id, idx, flag FROM (
-  SELECT o_custkey % 6 AS beam, l_orderkey + CASE WHEN l_partkey % 50 = 7 THEN 900000000 ELSE 0 END AS segment_id,
+SELECT granule, beam, segment_id, idx, flag FROM (
+  SELECT o_custkey % 50 AS granule, o_custkey % 6 AS beam, l_orderkey + CASE WHEN l_partkey % 50 = 7 THEN 900000000 ELSE 0 END AS segment_id,
     row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS idx, l_partkey % 3 AS third, l_partkey % 4 AS flag
   FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey) AS s
 WHERE third > 0""",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from relievo.operators.filters import reliable
 from relievo.plans.ranges import pruned
+from relievo.plans.storage import exists
 from relievo.sources.schemas import ATTRIBUTES, PHOTON
 
 
@@ -24,10 +25,15 @@ def read_table(spark: SparkSession, path: str, schema: str | None = None) -> Dat
     raise ValueError(f"no reader for {path}")
 
 
-def read_photon_tiles(spark: SparkSession, path: str, lat: float | None = None, lon: float | None = None) -> DataFrame:
-    """SRC2: photon tiles, of one tile where given; the keys are partition columns."""
+def read_photon_tiles(spark: SparkSession, path: str, lat: float | None = None, lon: float | None = None) -> DataFrame | None:
+    """SRC2: photon tiles, of one tile where given; none where there are no such tiles. The keys are partition columns."""
+    if not exists(spark, path):
+        return None
     rows = spark.read.parquet(path)
-    return rows if lat is None else rows.where((F.col("tile_lat") == lat) & (F.col("tile_lon") == lon))
+    if lat is None:
+        return rows
+    rows = rows.where((F.col("tile_lat") == lat) & (F.col("tile_lon") == lon))
+    return None if rows.isEmpty() else rows
 
 
 def read_feather(spark: SparkSession, path: str, schema: str = PHOTON) -> DataFrame:

@@ -5,17 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from relievo.operators.filters import in_box
 from relievo.operators.validation import tile_counts
+from relievo.plans.storage import rename
 
 
-def write_photon_tiles(photons: DataFrame, path: str, tile: float = 0.25) -> DataFrame:
-    """SNK1: photons by tile, sorted for skipping inside files; returns the counts of each tile."""
+def write_photon_tiles(photons: DataFrame, path: str, tile: float = 0.25, block: int = 1) -> DataFrame:
+    """SNK1: photons by tile, sorted for skipping inside files; returns the counts of each tile.
+
+    A folder holds one tile, or, where tiles are small, ``block`` by ``block`` of
+    them; the tile is then a sorted column, and row groups of other tiles are
+    skipped. A rewrite replaces whole folders. The counts come from the rows
+    themselves, so nothing that was written is read again.
+    """
     key = lambda c: F.floor(F.col(c) / tile) * tile
     rows = photons.withColumns({"tile_lat": key("latitude"), "tile_lon": key("longitude")})
-    out = rows.repartition("tile_lat", "tile_lon").sortWithinPartitions("tile_lat", "tile_lon", "latitude", "longitude")
-    out.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic").partitionBy("tile_lat", "tile_lon").parquet(path)
-    written = photons.sparkSession.read.parquet(path)
-    return tile_counts(written.withColumn("tile_id", F.struct("tile_lat", "tile_lon"))).select("tile_id.*", "numphotons", "numphotons_canopy", "numphotons_ground")
+    folder = ["tile_lat", "tile_lon"]
+    if block > 1:
+        folder = ["block_lat", "block_lon"]
+        rows = rows.withColumns({b: F.floor(F.col(t) / (tile * block)) * tile * block for b, t in zip(folder, ("tile_lat", "tile_lon"), strict=True)})
+    out = rows.repartition(*folder).sortWithinPartitions(*folder, "tile_lat", "tile_lon", "latitude", "longitude")
+    out.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic").partitionBy(*folder).parquet(path)
+    return tile_counts(rows.withColumn("tile_id", F.struct("tile_lat", "tile_lon"))).select("tile_id.*", "numphotons", "numphotons_canopy", "numphotons_ground")
 
 
 def write_results(results: DataFrame, path: str, kind: str = "parquet") -> None:
@@ -47,13 +58,24 @@ def write_ascii(full: DataFrame, grids: DataFrame, path: str, empty: float = -99
     rows.repartition("tile").write.partitionBy("tile").text(path)
 
 
-def tracks(photons: DataFrame, order: Column, by: tuple[str, ...] = ("granule_id1", "beam"), x: str = "longitude", y: str = "latitude") -> DataFrame:
-    """SNK4: each granule's beams as LINESTRING text; two points at least."""
+def tracks(
+    photons: DataFrame, order: Column, by: tuple[str, ...] = ("granule_id1", "beam"), x: str = "longitude", y: str = "latitude", box: tuple[float, ...] | None = None
+) -> DataFrame:
+    """SNK4: each granule's beams as LINESTRING text, of the points in a box (ends included) where one is given; two points at least."""
+    if box is not None:
+        photons = in_box(photons, x, y, box, "closed")
     points = F.array_sort(F.collect_list(F.struct(order.alias("o"), F.concat_ws(" ", F.col(x).cast("string"), F.col(y).cast("string")).alias("p"))))
     rows = photons.groupBy(*by).agg(points.alias("pts")).where(F.size("pts") >= 2)
     return rows.select(*by, F.size("pts").alias("n_points"), F.concat(F.lit("LINESTRING ("), F.array_join("pts.p", ", "), F.lit(")")).alias("wkt"))
 
 
+def replace_table(df: DataFrame, path: str) -> None:
+    """SRC13: write a table back in place of the one that it may be read from; the former version stays as ``<path>.old``."""
+    df.write.mode("overwrite").parquet(f"{path}.new")
+    rename(df.sparkSession, path, f"{path}.old")
+    rename(df.sparkSession, f"{path}.new", path)
+
+
 def convert(df: DataFrame, path: str) -> None:
     """SNK5: any table as Zstandard Parquet."""
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
