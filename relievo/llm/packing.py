@@ -41,7 +41,7 @@ SMALL = 64
 _SEQUENCES = 1 << 40
 END_ID = 2
 #: Distinct pre-tokens that a worker remembers before it forgets them all.
-MEMORY = 1 << 19
+MEMORY = 1 << 18
 _SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{NUMBER}]|[^\\s{LETTER}{NUMBER}]+")
 #: Lower-casing these gives several characters or one that is not settled.
 _ODD_CASE = re.compile("[" + "".join(chr(i) for i in range(0x100, _SETTLED) if len(chr(i).lower()) > 1 or ord(chr(i).lower()) >= _SETTLED) + "]")
