@@ -5,13 +5,16 @@ are one pre-token and come back as one token are proven whole. Pre-tokens found
 among them count directly. Only the rest are merged by the library, once for each
 distinct pre-token that a worker meets.
 
-A text with a special string, or with characters whose class depends on the
-version of the Unicode tables, goes to the library whole, so counts always equal
-the library's.
+Letters, digits, spaces and other signs are told apart by a pattern up to U+024F.
+Beyond, where Unicode tables differ by version, the library itself is asked for
+the class of each character that occurs, once, and a text is split where a text of
+the same classes would be. A text with a special string goes to the library whole.
+So counts always equal the library's.
 
 Defined cases: a null text is empty and has no tokens; a null id is kept; repeated
-rows are counted once each; an empty table gives an empty result; texts are taken
-whole; other columns are ignored.
+rows are counted once each; a text of exactly ``limit`` tokens is not over it; an
+empty table gives an empty result; texts are taken whole, very long ones alone;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,7 +44,7 @@ def _klass(kind: str) -> str:
 
 LETTER, NUMBER = _klass("L"), _klass("N")
 _SPACES = "\t\n\x0b\x0c\r \x85\xa0"
-#: What the shortcut must not see: classes in doubt, and white space that regular expressions disagree on.
+#: Classes in doubt, and white space that regular expressions disagree on.
 UNSETTLED = re.compile(f"[^\x00-\x1b\x20-{chr(_SETTLED - 1)}‐-‧‰-⁞€]")
 _SPLIT = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{_SPACES}{LETTER}{NUMBER}]+|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+"
@@ -62,6 +65,34 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
+class _Classes(dict):
+    """For each character in doubt one of the same class that is not, as a table for ``str.translate``."""
+
+    def __init__(self, path: str):
+        super().__init__()
+        self.pieces = tokenizer(path).pre_tokenizer.pre_tokenize_str
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        if not UNSETTLED.match(c):
+            self[code] = c
+        else:  # between two of its class a character makes no piece of its own
+            self[code] = next((like for like in "é²§" if len(self.pieces(like + c + like)) == 1), "\xa0")
+        return self[code]
+
+
+@cache
+def classes(path: str) -> _Classes:
+    return _Classes(path)
+
+
+def pre_tokens(path: str, text: str) -> list[str]:
+    """The library's pieces of a text without special strings."""
+    if not UNSETTLED.search(text):
+        return _SPLIT.findall(text)
+    return [text[m.start() : m.end()] for m in _SPLIT.finditer(text.translate(classes(path)))]
+
+
 @cache
 def specials(path: str) -> re.Pattern | None:
     """A pattern for the tokenizer's special strings."""
@@ -75,7 +106,7 @@ def whole_tokens(path: str) -> frozenset[str]:
     tok = tokenizer(path)
     size = tok.get_vocab_size(with_added_tokens=False)
     strings = tok.decode_batch([[i] for i in range(size)], skip_special_tokens=False)
-    usable = [s for s in strings if s and "�" not in s and not UNSETTLED.search(s) and _SPLIT.findall(s) == [s]]
+    usable = [s for s in strings if s and "\ufffd" not in s and pre_tokens(path, s) == [s]]
     encoded = tok.encode_batch(usable, add_special_tokens=False)
     return frozenset(s for s, e in zip(usable, encoded, strict=True) if len(e.ids) == 1)
 
@@ -91,9 +122,8 @@ def _counter(path: str):
         if len(known) > whole + MEMORY:
             for piece in list(known)[whole:]:
                 del known[piece]
-        split, out = _SPLIT.findall, []
-        plain = [not (UNSETTLED.search(t) or special and special.search(t)) for t in texts]
-        pieces = [split(t) if p else None for t, p in zip(texts, plain, strict=True)]
+        out = []
+        pieces = [None if special and special.search(t) else pre_tokens(path, t) for t in texts]
         new = [p for p in {p for ps in pieces if ps for p in ps} if p not in known]
         if new:
             known.update((p, len(merge(p.encode().decode("latin-1").translate(_BYTE_CHARS)))) for p in new)

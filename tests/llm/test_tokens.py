@@ -24,6 +24,25 @@ def test_counts_and_ids_equal_the_library(texts):
         assert [int.from_bytes(encode(t)[i : i + 4], "little") for i in range(0, len(encode(t)), 4)] == library.encode(t, add_special_tokens=False).ids
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(
+    st.characters(exclude_categories=["Cs"]), st.characters(min_codepoint=0x370, max_codepoint=0x52F), st.characters(min_codepoint=0x4E00, max_codepoint=0x4EFF),
+    st.sampled_from(" \n'st12٣五Ⅷ½\u3000\u2028\u1680\x1c\x1f\u200b\u0301😀"),
+)), max_size=6))
+def test_counts_equal_the_library_in_any_script(texts):
+    library = Tokenizer.from_file(BYTE)
+    assert tokens._counter(BYTE)(texts) == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    for t in texts:
+        if not tokens.specials(BYTE).search(t):
+            assert "".join(tokens.pre_tokens(BYTE, t)) == t
+
+
+def test_other_scripts_take_the_shortcut():
+    for text in ("Привет мир, как дела", "καλημέρα κόσμε", "日本語 の文章"):
+        assert len(tokens.pre_tokens(BYTE, text)) > 1
+    assert any("\u0400" <= c for s in tokens.whole_tokens(BYTE) for c in s)
+
+
 def test_whole_tokens_are_proven():
     library = Tokenizer.from_file(BYTE)
     whole = sorted(tokens.whole_tokens(BYTE))
