@@ -9,7 +9,9 @@ All of it is DataFrame expressions, windows and joins.
 Defined cases: null roles and texts equal each other and render as empty; turns
 of a conversation are ordered by turn, then role and text, nulls first; repeated
 (conversation, turn) rows all count; rows with a null conv_id are one
-conversation; an empty table gives an empty result; other columns are ignored.
+conversation; equal conversations without any id keep one; texts and conversations
+are taken whole, of any length; an empty table gives an empty result; other columns
+are ignored.
 """
 
 from __future__ import annotations

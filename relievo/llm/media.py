@@ -6,8 +6,10 @@ finds the members that start in a range from the archive's central directory,
 and reads each member on its own by its offset.
 
 Defined cases: null texts count as empty; a null id stays null; equal texts give
-equal results; repeated rows are stored and returned once each; an empty table
-gives an empty result; other columns of the input are ignored.
+equal results, so there are no ties; repeated rows are stored and returned once
+each; an empty table gives an empty result; texts are taken whole, and one longer
+than an archive's or a batch's size is alone in it; other columns of the input are
+ignored.
 """
 
 from __future__ import annotations

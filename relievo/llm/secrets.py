@@ -157,16 +157,16 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     follows the new text; null texts stay null.
     """
     keyed = docs.withColumn("__key", _key())
-    held = spans(docs.select("doc_id", "text")).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("__spans"))
-    joined = keyed.join(held.withColumnRenamed("key", "__key"), "__key", "left")
-    step = lambda acc, s: F.struct(
-        F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(mark))).otherwise(acc["out"]).alias("out"),
-        F.greatest(acc["at"], s["stop"]).alias("at"),
-    )
-    begun = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
-    end = lambda acc: F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.length("text")))
-    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(F.aggregate("__spans", begun, step, end))
-    out = joined.withColumn("text", text)
+    # what stays before each span that begins where all before it have ended
+    before = Window.partitionBy("key").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
+    rows = spans(docs.select("doc_id", "text")).withColumn("from", F.coalesce(F.max("stop").over(before), F.lit(0)))
+    gaps = F.array_sort(F.collect_list(F.when(F.col("start") >= F.col("from"), F.struct("from", "start"))))
+    held = rows.groupBy(F.col("key").alias("__key")).agg(gaps.alias("__gaps"), F.max("stop").alias("__last"))
+    joined = keyed.join(held, "__key", "left")
+    piece = lambda g: F.substring(F.col("text"), (g["from"] + 1).cast("int"), (g["start"] - g["from"]).cast("int"))
+    rest = F.substring(F.col("text"), (F.col("__last") + 1).cast("int"), F.length("text"))
+    clean = F.col("__gaps").isNull()
+    out = joined.withColumn("text", F.when(clean, F.col("text")).otherwise(F.concat(F.array_join(F.transform("__gaps", piece), mark), F.lit(mark), rest)))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+        out = out.withColumn("n_chars", F.when(clean, F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return out.select(*docs.columns)

@@ -9,8 +9,9 @@ frames of their range.
 Defined cases: null html is an empty payload; a null url is written as an empty
 target; equal payloads of at least 1000 bytes have one response, the largest
 non-null page_id, which the others revisit (all are responses if every id is
-null); repeated rows are written once each; an empty table gives an empty result;
-other columns are ignored.
+null); repeated rows are written once each, and of the rows of the largest page_id with
+one payload all are responses; payloads are taken whole, of any length; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

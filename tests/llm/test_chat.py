@@ -28,3 +28,10 @@ def test_snapshots_collapse(spark):
     turns = spark.createDataFrame([(*r, 1, "z") for r in rows], "conv_id long, turn long, role string, text string, n int, h1 string")
     assert sorted((tuple(r) for r in chat.format_chats(turns).collect()), key=repr) == brute(rows)
     assert chat.format_chats(turns.limit(0)).count() == 0
+
+
+def test_conversations_without_an_id_and_long_ones(spark):
+    rows = [(None, k, "user", f"q{k}") for k in range(4)] + [(1, k, "user", f"q{k}") for k in range(3)] + [(2, k, "user", "y" * 100_000 if k == 500 else f"t{k}") for k in range(900)]
+    rows += [(3, k, "user", f"t{k}") for k in range(400)] + [(c, 0, "user", "same start") for c in range(10, 60)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert sorted((tuple(r) for r in chat.format_chats(turns).collect()), key=repr) == brute(rows)

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
+from collections import Counter
 
 import pytest
 
@@ -35,6 +37,34 @@ def test_every_case_against_plain_python(spark):
     assert media.media_features(docs.limit(0)).count() == 0
 
 
+def plain_png(payload):
+    """A grey PNG of one row, put together by hand."""
+    chunk = lambda kind, body: len(body).to_bytes(4, "big") + kind + body + zlib.crc32(body, zlib.crc32(kind)).to_bytes(4, "big")
+    head = len(payload).to_bytes(4, "big") + (1).to_bytes(4, "big") + bytes([8, 0, 0, 0, 0])
+    return bytes([137, 80, 78, 71, 13, 10, 26, 10]) + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(bytes(1) + payload, 4)) + chunk(b"IEND", b"")
+
+
+def plain_feature(payload):
+    n, counts = len(payload), Counter(payload)
+    mean = sum(payload) / n
+    spread = math.sqrt(sum(c * v * v for v, c in counts.items()) / n - mean * mean)
+    entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
+    quarters = [sum(c for v, c in counts.items() if v // 64 == q) / n for q in range(4)]
+    return [mean, spread, entropy, *quarters]
+
+
+def test_stored_form_and_feature_by_hand(spark):
+    texts = ["", "a", "x" * 64, "ä漢" * 50, "The quick brown fox " * 300]
+    docs = documents(spark, [(k, t, "en", "s", 0, 0, "", "", "") for k, t in enumerate(texts)])
+    for r in media.media_features(docs).collect():
+        data = texts[r["doc_id"]].encode()
+        payload = data + bytes((64 - len(data) % 64) % 64 if data else 64)
+        stored = plain_png(payload)
+        assert (r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        assert (r["media_bytes"], r["media_sha256"]) == (len(stored), hashlib.sha256(stored).hexdigest())
+        assert [float(x) for x in r["feature"].split("|")] == pytest.approx(plain_feature(payload), abs=6e-5)
+
+
 def test_small_ranges_and_archives_lose_nothing(spark, tmp_path):
     docs = documents(spark)
     docs.sparkSession.dataSource.register(media.MediaArchive)

@@ -46,3 +46,10 @@ def test_a_wrong_payload_is_not_read():
     assert warc.parse_record(good)[0] == 1
     with pytest.raises(ValueError):
         warc.parse_record(good.replace(b"\r\npayload", b"\r\npaYload"))
+
+
+def test_a_payload_that_a_third_of_all_pages_share(spark):
+    rows = [(k, f"http://h/{k}", "<p>same</p>" * 200 if k % 3 == 0 else f"<p>{k}</p>" * 150) for k in range(900)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(6)
+    got = sorted((tuple(r) for r in warc.roundtrip(pages).collect()), key=repr)
+    assert got == brute(rows) and sum(r[3] == "revisit" for r in got) == 299
