@@ -69,7 +69,7 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _ROLES = frozenset("navigation banner contentinfo complementary form dialog alert menu menubar".split())
 #: Names of menus, headers, footers, sidebars, notices, adverts and comments in class and id.
 _NOTED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|comments?|disqus|replies|sidebar|side-bar|"
+    r"(?:^|[\s_-])(?:ads?|ads?-?(?:box|slot|unit|banner|bygoogle)|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|comments?|disqus|replies|sidebar|side-bar|"
     r"menus?|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|newsletter|subscribe|signup|popup|modal)(?:$|[\s_-])",
     re.I,
 )
@@ -80,10 +80,13 @@ _SPACE = re.compile(r"\s+")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "parts", "skip", "at")
+    __slots__ = ("tag", "parent", "parts", "skip", "at", "inside", "header")
 
     def __init__(self, tag: str, parent: _Node | None, skip: bool, at: int):
         self.tag, self.parent, self.skip, self.at, self.parts = tag, parent, skip, at, []
+        # whether it is or lies in an article, and the outermost header within that
+        self.inside = tag == "article" or parent is not None and parent.inside
+        self.header = None if tag == "article" or parent is None else parent.header or (self if tag == "header" else None)
 
 
 def _is_noise(tag: str, attributes: str) -> bool:
@@ -155,21 +158,11 @@ def parse(page: str) -> tuple[_Node, list[_Node]]:
     if at < len(page):
         here.parts.append(page[at:])
     for node in nodes:
-        if node.tag in _HEADINGS:
-            _own_header(node)
+        if node.tag in _HEADINGS and node.inside and node.header is not None:
+            node.header.skip = False  # the article's own header
     return root, nodes
 
 
-def _own_header(heading: _Node) -> None:
-    """A header that holds a heading and lies in an article is the article's own."""
-    header, up = None, heading.parent
-    while up is not None and up.tag != "article":
-        header = up if up.tag == "header" else header
-        up = up.parent
-    if header is not None and up is not None:
-        header.skip = False
-
-
 def main_elements(nodes: list[_Node]) -> list[_Node]:
     """The page's outermost article elements outside noise, or else its main elements."""
     for tag in ("article", "main"):
