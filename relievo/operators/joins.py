@@ -103,10 +103,9 @@ def substituted(tiles: DataFrame, beds: DataFrame, key: str = "tile_id") -> Data
 
 def unique_lookup(rows: DataFrame, scheme: DataFrame, key: str) -> DataFrame:
     """Attributes of a tile scheme; keys without exactly one entry raise when evaluated."""
-    columns = [c for c in scheme.columns if c != key]
-    one = scheme.groupBy(key).agg(F.count("*").alias("n"), F.min(F.struct(*columns)).alias("s"))
-    ok = F.when(F.col("n") == 1, F.col("s")).otherwise(F.raise_error(F.lit("the tile scheme has no single entry for a tile")).cast(one.schema["s"].dataType))
-    return rows.join(one, key, "left").withColumn("s", ok).select(*rows.columns, "s.*")
+    one = scheme.groupBy(key).agg(F.count("*").alias("__n"), F.min(F.struct(*(c for c in scheme.columns if c != key))).alias("__s"))
+    bad = F.raise_error(F.lit("the tile scheme has no single entry for a tile")).cast(one.schema["__s"].dataType)
+    return rows.join(one, key, "left").withColumn("__s", F.when(F.col("__n") == 1, F.col("__s")).otherwise(bad)).select(*rows.columns, "__s.*")
 
 
 def exceptions(cells: DataFrame, rules: DataFrame) -> DataFrame:
