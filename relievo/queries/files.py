@@ -23,7 +23,19 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     path = new_folder(t.spark, "tiles")
     writers.write_photon_tiles(t.photons, path, 1.0, block=10)
-    return readers.read_photon_tiles(t.spark, path, 43, 4).select("photon_id", "l_partkey", "l_suppkey")
+    found = readers.read_photon_tiles(t.spark, path, 43, 4)
+    return (t.photons.limit(0) if found is None else found).select("photon_id", "l_partkey", "l_suppkey")
+
+
+@query("src4_tiles_or_none", "SELECT granule_id1, granule_id2, longitude, latitude, dist_x FROM fx_photons WHERE floor(latitude) = 43 AND floor(longitude) IN (4, 5)")
+def _(t: Tables) -> DataFrame:
+    path = new_folder(t.spark, "tiles")
+    writers.write_photon_tiles(t.photons, path, 1.0, block=10)
+    out = readers.empty_photons(t.spark)
+    for lat, lon in ((43, 4), (-60, 4), (43, 5)):  # one of them is not there
+        found = readers.read_photon_tiles(t.spark, path, lat, lon)
+        out = out if found is None else out.unionByName(found, allowMissingColumns=True)
+    return out.select("granule_id1", "granule_id2", "longitude", "latitude", "dist_x")
 
 
 @query("src5_reliable_results", "SELECT tile_id, i, j, value AS diff_mean FROM fx_cells WHERE size > 3 AND value <> 120")
