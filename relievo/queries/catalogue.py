@@ -345,19 +345,19 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "src13_registry_update",
-    "SELECT r.dset_name, r.id_number, coalesce(u.ranking_score, r.ranking_score) AS ranking_score, r.region, r.is_active FROM fx_registry r LEFT JOIN (SELECT n_name AS dset_name, CAST(n_nationkey + 50 AS BIGINT) AS ranking_score FROM nation WHERE n_regionkey = 1) u ON u.dset_name = r.dset_name",
+    "SELECT r.dset_name, r.id_number, coalesce(u.ranking_score, r.ranking_score) AS ranking_score, r.region, r.is_active FROM fx_source_registry r LEFT JOIN (SELECT s_name AS dset_name, s_suppkey + 50 AS ranking_score FROM supplier WHERE s_nationkey % 5 = 1) u ON u.dset_name = r.dset_name",
 )
 def _(t: Tables) -> DataFrame:
-    new = t.nation.where("n_regionkey = 1").select(F.col("n_name").alias("dset_name"), (F.col("n_nationkey") + 50).cast("bigint").alias("ranking_score"))
+    new = t.supplier.where("s_nationkey % 5 = 1").select(F.col("s_name").alias("dset_name"), (F.col("s_suppkey") + 50).alias("ranking_score"))
     path = new_folder(t.spark, "registry")
-    t.registry.write.parquet(path)
+    t.source_registry.write.parquet(path)
     writers.replace_table(readers.updated_registry(t.spark.read.parquet(path), new), path)
     return t.spark.read.parquet(path)
 
 
-@query("src14_active_sources", "SELECT id_number, dset_name, ranking_score, region, is_active FROM fx_registry WHERE is_active")
+@query("src14_active_sources", "SELECT id_number, dset_name, ranking_score, region, is_active FROM fx_source_registry WHERE is_active")
 def _(t: Tables) -> DataFrame:
-    return readers.active_summary(t.registry)
+    return readers.active_summary(t.source_registry)
 
 
 @query(
@@ -409,10 +409,10 @@ def _(t: Tables) -> DataFrame:
     return readers.beam_values(flat, [0, 2, 4], ["h_geoid"])
 
 
-@query("src8_accumulated", "SELECT 'g' || granule_id1 AS granule, beam, photon_id AS pos, h_geoid FROM fx_photons WHERE granule_id1 IN (SELECT DISTINCT granule_id1 FROM fx_photons ORDER BY 1 LIMIT 3)")
+@query("src8_accumulated", "SELECT 'g' || granule_id1 AS granule, beam, photon_id AS pos, h_geoid FROM fx_photons")
 def _(t: Tables) -> DataFrame:
     flat = t.photons.select(F.concat(F.lit("g"), F.col("granule_id1").cast("string")).alias("granule"), "beam", F.col("photon_id").alias("pos"), "h_geoid")
-    return readers.accumulate(flat, "h_geoid", 3)
+    return readers.accumulate(flat, "h_geoid")
 
 
 @query(
@@ -557,9 +557,9 @@ def _(t: Tables) -> DataFrame:
     return filters.quality_segments(rows, "passed", "surf", True).select("segment_id")
 
 
-@query("geo8_inside_outline", f"SELECT DISTINCT s.source_key FROM fx_sources s JOIN fx_tiles t ON {_MEETS} WHERE t.tile_id % 3 = 0")
+@query("geo8_inside_outline", f"SELECT DISTINCT s.source_key FROM fx_sources s JOIN fx_tiles t ON {_MEETS} WHERE t.xmin >= 15 AND t.ymax <= 60")
 def _(t: Tables) -> DataFrame:
-    return overlap_join(t.sources, t.tiles.where("tile_id % 3 = 0"), 15).select("l.source_key").distinct()
+    return overlap_join(t.sources, t.tiles.where("xmin >= 15 and ymax <= 60"), 15).select("l.source_key").distinct()
 
 
 @query("geo7_border_actions", "SELECT c.tile_id, c.i, c.j FROM fx_cells c WHERE c.tile_id % 5 <> 1 AND (c.tile_id % 5 <> 2 OR (c.i + 5e-1 >= 4 AND c.i + 5e-1 < 15 AND c.j + 5e-1 >= 3 AND c.j + 5e-1 < 12))")
@@ -573,9 +573,9 @@ def _(t: Tables) -> DataFrame:
     return rows.where((F.coalesce("action", F.lit("")) != "mask") | inside).select("tile_id", "i", "j")
 
 
-@query("x1_registry_weights", "SELECT dset_name, CASE WHEN region = 1 THEN ranking_score + 5e-1 ELSE CAST(ranking_score AS DOUBLE) END AS weight FROM fx_registry WHERE is_active AND dset_name NOT LIKE '%2'")
+@query("x1_registry_weights", "SELECT dset_name, CASE WHEN region = 1 THEN ranking_score + 5e-1 ELSE CAST(ranking_score AS DOUBLE) END AS weight FROM fx_source_registry WHERE is_active AND dset_name NOT LIKE '%2'")
 def _(t: Tables) -> DataFrame:
-    rows = t.registry.where(~F.col("dset_name").like("%2")).withColumn("region", F.col("region").cast("string"))
+    rows = t.source_registry.where(~F.col("dset_name").like("%2")).withColumn("region", F.col("region").cast("string"))
     return collections.source_weights(rows, {"1": lambda w: w + 0.5}, "region").select("dset_name", "weight")
 
 

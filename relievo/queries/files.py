@@ -78,12 +78,12 @@ def _(t: Tables) -> DataFrame:
     return cells.withColumn("tile_id", number).select("tile_id", "i", "j", "value")
 
 
-@query("src12_registry_files", "SELECT dset_name, CAST(ranking_score AS DOUBLE) AS ranking_score, id_number, is_active FROM fx_registry")
+@query("src12_registry_files", "SELECT dset_name, CAST(ranking_score AS DOUBLE) AS ranking_score, id_number, is_active FROM fx_source_registry")
 def _(t: Tables) -> DataFrame:
     path = new_folder(t.spark, "ini")
     line = lambda k, c: F.concat(F.lit(f"{k} = "), F.col(c).cast("string"), F.lit("\n"))
-    text = F.concat(line("dataset_name", "dset_name"), line("default_ranking_score", "ranking_score"), line("dataset_id_number", "id_number"), line("is_active", "is_active"))
-    t.registry.select(F.col("id_number").alias("file"), text.alias("value")).repartition("file").write.partitionBy("file").text(path)
+    text = F.concat(F.lit('dataset_name = "'), F.col("dset_name"), F.lit('"  # a name\n'), line("default_ranking_score", "ranking_score"), line("dataset_id_number", "id_number"), line("is_active", "is_active"))
+    t.source_registry.select(F.col("id_number").alias("file"), text.alias("value")).repartition("file").write.partitionBy("file").text(path)
     return readers.registry(t.spark, f"{path}/*/*.txt").select("dset_name", "ranking_score", "id_number", "is_active")
 
 
@@ -99,11 +99,11 @@ def _(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).groupBy("tile_id").agg(F.count("*").alias("n"), r6(F.sum("value")).alias("total"))
 
 
-@query("x2_active_variants", "SELECT id_number, dset_name FROM fx_registry WHERE is_active AND NOT (region = 2 AND id_number % 2 = 0)")
+@query("x2_active_variants", "SELECT id_number, dset_name FROM fx_source_registry WHERE is_active AND NOT (region = 2 AND id_number % 2 = 0)")
 def _(t: Tables) -> DataFrame:
     # the surface variants step back while beds are asked for
     surface = (F.col("region") == 2) & (F.col("id_number") % 2 == 0)
-    return collections.active_variants(t.registry, True, surface, F.lit(False)).select("id_number", "dset_name")
+    return collections.active_variants(t.source_registry, True, surface, F.lit(False)).select("id_number", "dset_name")
 
 
 @query("x4_projected_photons", "SELECT photon_id, l_partkey, l_suppkey FROM fx_photons WHERE longitude * 2 + 1 >= 5 AND longitude * 2 + 1 < 15 AND latitude - 40 >= 1 AND latitude - 40 < 6")

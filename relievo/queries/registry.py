@@ -44,6 +44,10 @@ FROM {supplier}""",
 SELECT CAST(n_nationkey % 13 + 1 AS BIGINT) AS id_number, min(n_name) AS dset_name, CAST(min(n_nationkey) * 7 % 13 AS BIGINT) AS ranking_score,
   CAST(max(n_regionkey) AS BIGINT) AS region, CASE WHEN min(n_nationkey) % 4 = 3 THEN false ELSE true END AS is_active
 FROM {nation} GROUP BY n_nationkey % 13 + 1""",
+    "fx_source_registry": """
+SELECT s_suppkey AS id_number, s_name AS dset_name, s_suppkey * 7 % 1000 AS ranking_score, CAST(s_nationkey % 5 AS BIGINT) AS region,
+  CASE WHEN s_suppkey % 4 = 3 THEN false ELSE true END AS is_active
+FROM {supplier}""",
     "fx_source_cells": """
 SELECT l_orderkey % 200 AS i, l_partkey % 200 AS j, l_suppkey % 13 + 1 AS weight, CAST(l_linenumber AS STRING) AS filename,
   floor(l_extendedprice) / 8e0 AS elev

@@ -131,9 +131,10 @@ REGISTRY_KEYS = {
 
 
 def registry(spark: SparkSession, path: str) -> DataFrame:
-    """SRC12: the source registry from its configuration files; values are literals and never evaluated."""
+    """SRC12: the source registry from its configuration files; values are literals, quoted or up to a comment, and never evaluated."""
     rows = spark.read.text(path, wholetext=True)
-    value = lambda k: F.nullif(F.trim(F.regexp_extract("value", rf"(?m)^[ \t]*{k}[ \t]*=[ \t]*[\"']?([^\"'#\r\n]*)", 1)), F.lit(""))
+    part = lambda k, n: F.regexp_extract("value", rf"(?m)^[ \t]*{k}[ \t]*=[ \t]*(?:\"([^\"\r\n]*)\"|'([^'\r\n]*)'|([^#\r\n]*))", n)
+    value = lambda k: F.nullif(F.trim(F.concat(part(k, 1), part(k, 2), part(k, 3))), F.lit(""))
     out = rows.select(*(value(k).alias(n) for n, k in REGISTRY_KEYS.items()), F.col("_metadata.file_name").alias("configfile"))
     return out.withColumns({"ranking_score": F.expr("try_cast(ranking_score as double)"), "id_number": F.expr("try_cast(id_number as int)"), "vdatum_epsg": F.expr("try_cast(vdatum_epsg as int)"), "is_active": F.lower("is_active") == "true"})
 
