@@ -24,7 +24,7 @@ def _rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the classifier accepts."""
     trusted = quality.trusted_documents(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    trusted = docs.join(trusted, "doc_id", "left_semi").select(row_key().alias("doc_id")).distinct()
+    trusted = docs.select("doc_id", row_key().alias("__row")).join(trusted, "doc_id", "left_semi").select(F.col("__row").alias("doc_id")).distinct()
     kept = quality.classify(_by_row(docs), trusted).where("keep").select(F.col("doc_id").alias("__row")).distinct()
     return _rows(docs, kept).select(*docs.columns)
 
