@@ -50,13 +50,13 @@ _NEEDS = {
 _LONG_RUN = r"(?<![A-Za-z0-9/+])[A-Za-z0-9/+]{32}"
 
 
-def _possible(kind: str) -> Column:
+def _possible(kind: str, low: Column, long_run: Column) -> Column:
     """A cheap test that no text with a match fails, before its pattern is tried."""
     if kind in ("hex", "weak_secret"):
-        return F.col("long_run")
+        return long_run
     found = F.lit(False)
     for part in _NEEDS[kind]:
-        found = found | F.contains(F.col("low"), F.lit(part))
+        found = found | F.contains(low, F.lit(part))
     return found
 
 
@@ -75,7 +75,7 @@ def _matches(text: Column, kind: str) -> Column:
             F.length(x["m"]).cast("long").alias("len"), counts.get(kind, lambda _: F.lit(True))(x).alias("ok"),
         ),
     )
-    return F.when(_possible(kind) & F.rlike(text, pattern), rows)
+    return F.when(_possible(kind, F.col("low"), F.col("long_run")) & F.rlike(text, pattern), rows)
 
 
 def _key() -> Column:
@@ -154,9 +154,13 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """The documents with every span replaced by ``mark``; columns and rows as they were.
 
     Overlapping spans are replaced as one. ``n_chars``, where there is one,
-    follows the new text; null texts stay null.
+    follows the new text; null texts stay null. Texts that cannot hold a match
+    are told by a cheap test and do not take part in the join.
     """
-    keyed = docs.withColumn("__key", _key())
+    low, long_run, possible = F.lower(text_or_empty()), F.rlike(text_or_empty(), F.lit(_LONG_RUN)), F.lit(False)
+    for kind in KINDS:
+        possible = possible | _possible(kind, low, long_run)
+    keyed = docs.where(possible).withColumn("__key", _key())
     # what stays before each span that begins where all before it have ended
     before = Window.partitionBy("key").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
     rows = spans(docs.select("doc_id", "text")).withColumn("from", F.coalesce(F.max("stop").over(before), F.lit(0)))
@@ -169,4 +173,4 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     out = joined.withColumn("text", F.when(clean, F.col("text")).otherwise(F.concat(F.array_join(F.transform("__gaps", piece), mark), F.lit(mark), rest)))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(clean, F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return out.select(*docs.columns)
+    return out.select(*docs.columns).unionByName(docs.where(~possible))
