@@ -44,6 +44,34 @@ SELECT conv_id, CAST(len(turns) AS BIGINT) AS n_turns, n_copies,
 FROM g WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.head = g.turns)
 """
 
+#: The checksum of a number's decimal digits, bit by bit, as SQL has no function for it.
+_CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1),
+    lambda i: CAST(ascii(substr(CAST(conv_id AS VARCHAR), i, 1)) AS BIGINT))),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
+
+_OP11 = f"""
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k,
+    coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), o AS (
+  SELECT conv_id, list({{'r': role, 'x': text}} ORDER BY k) AS turns, {_CRC} % 9 AS h FROM t GROUP BY conv_id
+), c AS (
+  SELECT o.conv_id, list_concat(coalesce(b.turns[1:o.h], o.turns[1:0]), o.turns[o.h + 1:]) AS turns
+  FROM o LEFT JOIN o b ON b.conv_id = o.conv_id - o.conv_id % 5
+), p AS (SELECT conv_id, d, turns[1:d] AS node, len(turns) = d AS ends FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM c)),
+g AS (
+  SELECT node, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ends FROM p GROUP BY node
+), k AS (SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM g WHERE depth > 0 GROUP BY 1),
+n AS (SELECT g.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * coalesce(strlen(g.node[depth].x), 0) AS saved FROM g LEFT JOIN k ON k.node = g.node),
+s AS (
+  SELECT node[1:d] AS node, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM n) GROUP BY 1
+)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM n JOIN s ON s.node = n.node LEFT JOIN n u ON n.depth > 0 AND u.node = n.node[1:n.depth - 1]
+"""
+
 
 def _op9() -> str:
     from relievo.llm.secrets import BASE, COMPLETES, KINDS, LEAST_ASSIGNED, PATTERNS, SCOPE
@@ -83,4 +111,4 @@ FROM d LEFT JOIN o USING (doc_id)
 """
 
 
-ORACLES = {"op3_ngram_jaccard_join": _OP3, "op6_warc": _OP6, "op8_chat_formatting": _OP8, "op9_secret_scans": _op9()}
+ORACLES = {"op3_ngram_jaccard_join": _OP3, "op6_warc": _OP6, "op8_chat_formatting": _OP8, "op9_secret_scans": _op9(), "op11_prefix_trie": _OP11}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from relievo.llm import chat, decontaminate, html_text, media, neardup, packing, quality, secrets, tokens, warc
+from relievo.llm import chat, decontaminate, html_text, media, neardup, packing, periodic, prefixes, quality, secrets, token_files, tokens, warc
 from relievo.llm.oracles import ORACLES
 
 
@@ -55,11 +55,23 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.prefix_trie(_read(spark, sf_dir, "conversations"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(_read(spark, sf_dir, "documents"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.roundtrip(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_media_columns, op2_quality_classifier, op3_ngram_jaccard_join, op4_html_extraction, op5_token_counts,
-        op6_warc, op7_packing, op8_chat_formatting, op9_secret_scans, op10_decontamination,
+        op6_warc, op7_packing, op8_chat_formatting, op9_secret_scans, op10_decontamination, op11_prefix_trie, op12_periodic_runs, op13_token_files,
     )
 }
 
