@@ -42,7 +42,40 @@ def in_converted_box(rows: DataFrame, x: str, y: str, box: Sequence[float], conv
     return in_box(rows.withColumns({"__x": px, "__y": py}), "__x", "__y", box, edges).drop("__x", "__y")
 
 
-def data_links(entries: DataFrame, key: str, links: str = "links") -> DataFrame:
-    """The first link of each key that is data and not inherited; a link has href, inherited and rel."""
-    rows = entries.select(key, F.explode(links).alias("l")).where("not l.inherited and l.rel = 'data'")
-    return rows.groupBy(key).agg(F.min("l.href").alias("href"))
+def data_links(entries: DataFrame, order: str, links: str = "links", by: Sequence[str] = ()) -> DataFrame:
+    """The data links of catalogue entries: ``(*by, order, place, href)``, all that pass, each file once.
+
+    A link is a struct of href and, if known, rel, inherited and title. It goes if it has no
+    href, is inherited, has a relation without ``data#`` in it or a title that names
+    OPeNDAP; what a link does not say does not exclude it. Of links to one file name within
+    a search result (``by``), the first stays, by the entry's ``order`` and the link's place.
+    """
+    rows = entries.select(*by, order, F.posexplode(links).alias("place", "l"))
+    said = {f.name for f in rows.schema["l"].dataType.fields}
+    keep = F.col("l.href").isNotNull()
+    if "inherited" in said:
+        keep &= ~F.coalesce("l.inherited", F.lit(False))
+    if "rel" in said:
+        keep &= F.coalesce(F.col("l.rel").contains("data#"), F.lit(True))
+    if "title" in said:
+        keep &= ~F.coalesce(F.lower("l.title").contains("opendap"), F.lit(False))
+    at = F.struct(order, "place")
+    named = rows.where(keep).groupBy(*by, F.substring_index("l.href", "/", -1).alias("__file")).agg(F.min(at).alias("at"), F.min_by("l.href", at).alias("href"))
+    return named.select(*by, f"at.{order}", "at.place", "href")
+
+
+def entry_lists(tiles: DataFrame, sources: DataFrame, registry: DataFrame, size: float, hooks: Mapping[str, Callable[[DataFrame], DataFrame]], excluded: Column | None = None) -> DataFrame:
+    """J8's entries, where a source class may make its own.
+
+    A hook, by the name of its source, gets the class's entries ``(tile_id, filename, weight, dset_name)``
+    over all target tiles and returns what stands in their place, with the same
+    columns: other weights, fewer files or more. Sources without a hook keep J8's.
+    """
+    from relievo.operators.joins import datalist
+
+    entries = datalist(tiles, sources, registry, size, excluded).withColumn("weight", F.col("weight").cast("double"))
+    own = F.col("dset_name").isin(list(hooks)) if hooks else F.lit(False)
+    out = entries.where(~own)
+    for name, hook in hooks.items():
+        out = out.unionByName(hook(entries.where(F.col("dset_name") == name)).select(out.columns))
+    return out

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -136,6 +138,54 @@ def interpolate(cells: DataFrame, points: DataFrame, kind: str = "bilinear", val
     return joined.groupBy("id").agg(F.try_divide(F.sum(F.col("w") * F.col("v")), F.sum("w")).alias(value))
 
 
+def geographic_cells(rasters: DataFrame, step: float, edge_points: int = 16) -> DataFrame:
+    """GEO1: the cells of a geographic grid that projected rasters meet: row ``i`` from the north pole, column ``j`` from 180 W.
+
+    A raster is a row with ``tile_id``, ``epsg`` and its grid (``xleft``, ``ytop``,
+    ``xres``, ``yres``, ``xsize``, ``ysize``). Its outline, ``edge_points`` on each side, goes back to
+    degrees and gives a box, with a rim of cells for what bulges between the points; a raster over a
+    pole has all longitudes. Each cell comes with its centre as ``lon`` and ``lat``, and with the place
+    ``(y, x)`` of the centre in the raster, in units of raster cells; only centres
+    within the raster stay. Columns are counted around the globe once.
+    """
+    from relievo.functions import geometry
+
+    xr, yb = F.col("xleft") + F.col("xres") * F.col("xsize"), F.col("ytop") + F.col("yres") * F.col("ysize")
+    ring = geometry.densified(geometry.box_ring(F.least("xleft", xr), F.least("ytop", yb), F.greatest("xleft", xr), F.greatest("ytop", yb)), edge_points)
+    polar = F.col("epsg").isin(3413, 3031)
+    over_pole = polar & (F.least("xleft", xr) <= 0) & (F.greatest("xleft", xr) >= 0) & (F.least("ytop", yb) <= 0) & (F.greatest("ytop", yb) >= 0)
+    # the outline of a polar raster may cross the date line, where its longitudes jump
+    rows = rasters.withColumn("__ring", F.transform(ring, lambda p: geometry.unproject(p["x"], p["y"], F.col("epsg"))))
+    lon, lat = F.transform("__ring", lambda p: p["x"]), F.transform("__ring", lambda p: p["y"])
+    all_round = over_pole | (polar & (F.array_max(lon) - F.array_min(lon) > 180))
+    west, east = F.when(all_round, -180.0).otherwise(F.array_min(lon)), F.when(all_round, 180.0).otherwise(F.array_max(lon))
+    south = F.when(over_pole & (F.col("epsg") == 3031), -90.0).otherwise(F.array_min(lat))
+    north = F.when(over_pole & (F.col("epsg") == 3413), 90.0).otherwise(F.array_max(lat))
+    n_rows, n_columns = round(180 / step), round(360 / step)
+    i0, i1 = F.greatest(F.lit(0), F.floor((90 - north) / step) - 1), F.least(F.lit(n_rows - 1), F.floor((90 - south) / step) + 1)
+    j0 = F.floor((west + 180) / step) - 1
+    j1 = F.least(F.floor((east + 180) / step) + 1, j0 + n_columns - 1)
+    cells = rows.withColumn("i", F.explode(F.sequence(i0.cast("long"), i1.cast("long")))).withColumn("j", F.explode(F.sequence(j0.cast("long"), j1.cast("long"))))
+    cells = cells.withColumn("j", F.pmod("j", F.lit(n_columns).cast("long"))).withColumns({"lon": cell_centre(F.col("j"), -180.0, step), "lat": cell_centre(F.col("i"), 90.0, -step)})
+    at = geometry.with_projected(cells, "lon", "lat", "epsg", "__at")
+    place = F.struct(((F.col("__at.y") - F.col("ytop")) / F.col("yres")).alias("y"), ((F.col("__at.x") - F.col("xleft")) / F.col("xres")).alias("x"))
+    # as rows of a generator, so that the filter below is not pushed down with a copy of the formulas for each bound
+    at = at.select("tile_id", "i", "j", "lon", "lat", "xsize", "ysize", F.inline(F.array(place)))
+    return at.where("x >= 0 and x < xsize and y >= 0 and y < ysize").select("tile_id", "i", "j", "lon", "lat", "y", "x")
+
+
+def resampled(cells: DataFrame, rasters: DataFrame, step: float, kind: str = "bilinear", value: str = "value") -> DataFrame:
+    """GEO1 with G8 to G10: projected rasters on a geographic grid, driven by the target's cells.
+
+    ``kind`` is nearest, bilinear or cubic. Each raster's part is a tile of the
+    result; cells without any value nearby have no row.
+    """
+    targets = geographic_cells(rasters, step)
+    points = targets.select(F.struct("tile_id", "i", "j").alias("id"), "tile_id", "y", "x")
+    values = nearest_at(cells, points, value) if kind == "nearest" else interpolate(cells, points, kind, value)
+    return values.where(F.col(value).isNotNull()).select("id.*", value)
+
+
 def snapped_extent(cells: DataFrame, k: int, value: str = "value") -> DataFrame:
     """The extent of valid cells, moved outward to multiples of k."""
     ok = cells.where(F.col(value).isNotNull())
@@ -220,6 +270,77 @@ def fill(cells: DataFrame, holes: DataFrame, reach: int, value: str = "value") -
     return joined.groupBy("tile_id", F.col("hi").alias("i"), F.col("hj").alias("j")).agg((F.sum(F.col("w0") * F.col(value)) / F.sum("w0")).alias(value))
 
 
+def nearest_valid(cells: DataFrame, holes: DataFrame, reach: float | None = None, value: str = "value") -> DataFrame:
+    """G18 at any distance: for each hole the nearest valid cell of its tile, its distance in cells and its value.
+
+    Two passes, one along columns and one along rows, whatever the distance: each
+    hole's column carries the nearest valid cell above and below it, and in a row the
+    least of (column distance)^2 + (row distance)^2 follows from the lower envelope of
+    parabolas. Ties go to the value that is smaller. A group is a column or a row of a tile.
+    ``reach`` leaves out what is farther away; a tile without a valid cell has no rows.
+    """
+    ok = cells.where(F.col(value).isNotNull()).select("tile_id", "i", "j", F.col(value).cast("double").alias("v"))
+    spots = holes.select("tile_id", "i", "j").distinct()
+    # the columns of a tile that hold any valid cell, in each row that has holes
+    rows = spots.select("tile_id", "i").distinct().join(ok.select("tile_id", "j").distinct(), "tile_id")
+    line = ok.select("tile_id", "i", "j", "v", F.lit(True).alias("valid")).unionByName(rows.select("tile_id", "i", "j", F.lit(None).cast("double").alias("v"), F.lit(False).alias("valid")))
+    column = Window.partitionBy("tile_id", "j").orderBy("i")
+    seen = F.when(F.col("valid"), F.struct("i", "v"))
+    above = F.last(seen, True).over(column.rangeBetween(Window.unboundedPreceding, 0))
+    below = F.first(seen, True).over(column.rangeBetween(0, Window.unboundedFollowing))
+    near = line.withColumns({"a": above, "b": below}).where("not valid").select(
+        "tile_id", "i", "j", F.array_min(F.filter(F.array(
+            F.struct((F.col("i") - F.col("a.i")).alias("d"), F.col("a.v").alias("v")), F.struct((F.col("b.i") - F.col("i")).alias("d"), F.col("b.v").alias("v")),
+        ), lambda s: s["d"].isNotNull())).alias("n"),
+    )
+    both = near.select("tile_id", "i", "j", F.col("n.d").cast("double").alias("d"), F.col("n.v").alias("v")).unionByName(
+        spots.select("tile_id", "i", "j", F.lit(None).cast("double").alias("d"), F.lit(None).cast("double").alias("v"))
+    )
+    kinds = dict(both.dtypes)
+    found = both.groupBy("tile_id", "i").applyInArrow(_row_distances, f"tile_id {kinds['tile_id']}, i {kinds['i']}, j {kinds['j']}, distance double, `value` double")
+    found = found.withColumnRenamed("value", value)
+    return found if reach is None else found.where(F.col("distance") <= reach)
+
+
+def _row_distances(table: pa.Table) -> pa.Table:
+    """One row of a tile: columns with the distance and value of their nearest valid cell, and holes, which have none."""
+    j, d, v = (table.column(c).to_numpy(zero_copy_only=False) for c in ("j", "d", "v"))
+    site = ~np.isnan(d)
+    order = np.lexsort((v[site], j[site]))
+    sj, sd, sv = (x[site][order].astype(float) for x in (j, d, v))
+    # parabolas y = (x - sj)^2 + sd^2 in the order of their centres; ``from_x`` is where each begins to be the least
+    hull, from_x = [], []
+    for k in range(len(sj)):
+        x = -np.inf
+        while hull:
+            h = hull[-1]
+            x = ((sd[k] ** 2 + sj[k] ** 2) - (sd[h] ** 2 + sj[h] ** 2)) / (2 * (sj[k] - sj[h]))
+            if x >= from_x[-1]:
+                break
+            hull.pop()
+            from_x.pop()
+            x = -np.inf
+        hull.append(k)
+        from_x.append(x)
+    holes = np.flatnonzero(~site)
+    if not hull or not len(holes):
+        return pa.table({c: table.column(c).slice(0, 0) for c in ("tile_id", "i", "j")} | {"distance": pa.array([], pa.float64()), "value": pa.array([], pa.float64())})
+    at = j[holes].astype(float)
+    hull = np.array(hull)
+    k = np.searchsorted(from_x, at, "right") - 1
+    square = lambda p: (at - sj[p]) ** 2 + sd[p] ** 2
+    best, least = hull[k], square(hull[k])
+    # where parabolas meet distances are equal: of neighbours in the envelope the smaller value counts
+    step, tied = 1, np.ones(len(at), bool)
+    while tied.any():
+        left = hull[np.maximum(k - step, 0)]
+        tied &= (k >= step) & (square(left) == least)
+        best = np.where(tied & (sv[left] < sv[best]), left, best)
+        step += 1
+    out = table.select(["tile_id", "i", "j"]).take(pa.array(holes))
+    return out.append_column("distance", pa.array(np.sqrt(square(best)))).append_column("value", pa.array(sv[best]))
+
+
 def cut_and_fill(cells: DataFrame, inside: Column, reach: int, smooth: int = 0, value: str = "value") -> DataFrame:
     """Cells for which ``inside`` holds are cut out and filled from the others; ``smooth`` rounds of 3 by 3 means over what was filled.
 

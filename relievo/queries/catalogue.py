@@ -154,12 +154,12 @@ n AS (SELECT key, tag, y + 15 AS y, x, CASE size_class WHEN 0 THEN 15 WHEN 1 THE
   SELECT *, key % 4 AS size_class, CASE key % 5 WHEN 0 THEN '' WHEN 1 THEN '_bed' WHEN 2 THEN '_geoid' WHEN 3 THEN '_sid' ELSE '_w' END AS suffix, CASE key % 3 WHEN 0 THEN '.tif' WHEN 1 THEN '.nc' ELSE '.txt' END AS ext FROM s) q)
 SELECT key, CASE WHEN suffix <> '_w' AND ext <> '.txt' AND res <> 1 AND NOT (suffix = '_sid' AND res > 15) THEN
   CASE ext WHEN '.tif' THEN 'gtif' ELSE 'netcdf' END || '/' || res || 's/' || res || 's_' || CASE suffix WHEN '_geoid' THEN 'geoid' WHEN '_bed' THEN 'bed_elev' WHEN '_sid' THEN 'surface_sid' ELSE 'surface_elev' END || '_' || CASE ext WHEN '.tif' THEN 'gtif' ELSE 'netcdf' END
-  || '/ETOPO_v1_' || res || 's_' || CASE WHEN res = 15 THEN CASE WHEN y < 0 THEN 'S' ELSE 'N' END || printf('%02d', abs(y)) || CASE WHEN x < 0 THEN 'W' ELSE 'E' END || lpad(CAST(abs(x) AS STRING), 3, '0') ELSE 'N90W180' END
+  || '/relief_v1_' || res || 's_' || CASE WHEN res = 15 THEN CASE WHEN y < 0 THEN 'S' ELSE 'N' END || printf('%02d', abs(y)) || CASE WHEN x < 0 THEN 'W' ELSE 'E' END || lpad(CAST(abs(x) AS STRING), 3, '0') ELSE 'N90W180' END
   || CASE suffix WHEN '' THEN '_surface' WHEN '_sid' THEN '_surface_sid' ELSE suffix END || ext END AS path FROM n""",
 )
 def _(t: Tables) -> DataFrame:
     pick = lambda n, *v: F.get(F.array(*map(F.lit, v)), (F.col("key") % n).cast("int"))
-    name = F.concat(F.lit("ETOPO_v1_"), pick(4, "15", "30", "60", "1"), F.lit("s_"), F.col("tag"), F.lit("_2022.09.29"), pick(5, "", "_bed", "_geoid", "_sid", "_w"), pick(3, ".tif", ".nc", ".txt"))
+    name = F.concat(F.lit("relief_v1_"), pick(4, "15", "30", "60", "1"), F.lit("s_"), F.col("tag"), F.lit("_2022.09.29"), pick(5, "", "_bed", "_geoid", "_sid", "_w"), pick(3, ".tif", ".nc", ".txt"))
     return t.files.select("key", names.release_path(name).alias("path"))
 
 
@@ -200,16 +200,31 @@ def _(t: Tables) -> DataFrame:
     return t.photons.select("photon_id", "l_partkey", "l_suppkey", F.unix_micros(datums.epoch_time(F.col("dist_x") * 1e3)).alias("us"))
 
 
+#: The four links of an entry: href, relation, whether inherited, title.
+_LINKS = """SELECT user_id AS feed, event_id, 0 AS place, 'https://data.example/' || event_type || '/' || event_id % 40 || '.h5' AS href, 'https://data.example/rel/data#' AS rel, CASE WHEN event_id % 6 = 0 THEN true WHEN event_id % 6 < 3 THEN false END AS inherited, CASE WHEN event_type = 'error' THEN 'Use OPeNDAP here' WHEN event_type = 'click' THEN 'Download' END AS title FROM events
+UNION ALL SELECT user_id, event_id, 1, 'https://mirror.example/' || event_id % 40 || '.h5', CASE WHEN event_id % 3 = 0 THEN 'https://data.example/rel/metadata#' WHEN event_id % 3 = 1 THEN 'data' END, NULL, NULL FROM events
+UNION ALL SELECT user_id, event_id, 2, 'https://data.example/browse/' || event_id || '.jpg', 'https://data.example/rel/browse#', false, 'Browse' FROM events
+UNION ALL SELECT user_id, event_id, 3, NULL, 'https://data.example/rel/data#', false, NULL FROM events"""
+
+
 @query(
     "s17_catalogue_links",
-    "SELECT key, min(href) AS href FROM (SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS key, event_type || '/' || event_id || '.h5' AS href, event_type FROM events) s WHERE event_type <> 'click' AND event_type <> 'error' GROUP BY key",
+    f"""WITH l AS ({_LINKS}),
+k AS (SELECT *, regexp_extract(href, '[^/]*$', 0) AS file FROM l WHERE href IS NOT NULL AND inherited IS NOT TRUE AND (rel IS NULL OR contains(rel, 'data#')) AND (title IS NULL OR NOT contains(lower(title), 'opendap')))
+SELECT feed, event_id, place, href FROM (SELECT *, row_number() OVER (PARTITION BY feed, file ORDER BY event_id, place) AS o FROM k) s WHERE o = 1""",
 )
 def _(t: Tables) -> DataFrame:
-    entry = F.from_json(F.to_json(F.struct(F.array(F.struct(
-        F.concat_ws("/", "event_type", F.concat(F.col("event_id").cast("string"), F.lit(".h5"))).alias("href"), (F.col("event_type") == "click").alias("inherited"),
-        F.when(F.col("event_type") == "error", "opendap").otherwise("data").alias("rel"),
-    )).alias("links"))), "links array<struct<href string, inherited boolean, rel string>>")
-    return collections.data_links(t.events.select(F.from_json("props", "k bigint")["k"].alias("key"), entry["links"].alias("links")), "key")
+    e, site = F.col("event_id"), "https://data.example/"
+    file = F.concat((e % 40).cast("string"), F.lit(".h5"))
+    link = lambda href, rel, inherited, title: F.struct(href.alias("href"), rel.alias("rel"), inherited.cast("boolean").alias("inherited"), title.cast("string").alias("title"))
+    links = F.array(
+        link(F.concat(F.lit(site), "event_type", F.lit("/"), file), F.lit(f"{site}rel/data#"), F.when(e % 6 == 0, True).when(e % 6 < 3, False), F.when(F.col("event_type") == "error", "Use OPeNDAP here").when(F.col("event_type") == "click", "Download")),
+        link(F.concat(F.lit("https://mirror.example/"), file), F.when(e % 3 == 0, f"{site}rel/metadata#").when(e % 3 == 1, "data"), F.lit(None), F.lit(None)),
+        link(F.concat(F.lit(f"{site}browse/"), e.cast("string"), F.lit(".jpg")), F.lit(f"{site}rel/browse#"), F.lit(False), F.lit("Browse")),
+        link(F.lit(None).cast("string"), F.lit(f"{site}rel/data#"), F.lit(False), F.lit(None)),
+    )
+    entry = F.from_json(F.to_json(F.struct(links.alias("links"))), "links array<struct<href string, rel string, inherited boolean, title string>>")
+    return collections.data_links(t.events.select(F.col("user_id").alias("feed"), "event_id", entry["links"].alias("links")), "event_id", by=["feed"]).select("feed", "event_id", "place", "href")
 
 
 @query("s19_error_measures", f"SELECT l_suppkey, {q6('sqrt(avg(l_discount * l_discount))')} AS rmse, {q6('avg(l_discount)')} AS bias, {q6('avg(cos(radians(l_quantity)))')} AS weight FROM lineitem GROUP BY 1")
@@ -584,3 +599,16 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     from relievo.queries.photons import a4
 
     return a4(Tables(spark, sf_dir))
+
+
+@query(
+    "x1_entry_lists",
+    f"""SELECT tile_id, filename, dset_name, CASE WHEN dset_name IN (SELECT dset_name FROM fx_registry WHERE id_number = 1) THEN weight + CAST(right(filename, 1) AS BIGINT) / 8e0 ELSE CAST(weight AS DOUBLE) END AS weight
+FROM ({_DATALIST}) d WHERE NOT (dset_name IN (SELECT dset_name FROM fx_registry WHERE id_number = 2) AND right(filename, 1) = '3')""",
+)
+def _(t: Tables) -> DataFrame:
+    names_of = dict(tuple(r) for r in t.registry.where("id_number < 3").select("id_number", "dset_name").collect())
+    finer = lambda e: e.withColumn("weight", F.col("weight") + F.expr("cast(right(filename, 1) as bigint)") / 8.0)
+    fewer = lambda e: e.where("right(filename, 1) <> '3'")
+    excluded = (F.col("l.ymin") < 15) & F.col("id").isin([r["id_number"] for r in t.registry.where("region = 2").collect()])
+    return collections.entry_lists(t.tiles, t.sources, t.registry, 15, {names_of[1]: finer, names_of[2]: fewer}, excluded)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relievo.functions import datums, geometry
-from relievo.operators import filters, grid, joins, lakes, ranking, validation
+from relievo.operators import filters, grid, joins, lakes, outlines, ranking, validation
 from relievo.queries.registry import Tables, q6, query, r6
 from relievo.sources import writers
 
@@ -454,6 +456,103 @@ def _(t: Tables) -> DataFrame:
     return t.customer.select(c.alias("id"), *((F.floor(xy[k] * 1e3 + 0.5) / 1e3).alias(k) for k in ("x", "y")))
 
 
+@query(
+    "geo1_resampled",
+    f"""WITH ra AS (SELECT DISTINCT tile_id, tile_id % 60 + 1 AS zone, 400000 + tile_id % 7 * 1000 AS xleft, 5000000 + tile_id % 9 * 40000 AS ytop FROM fx_cells),
+tg AS (SELECT ra.*, i, j, 90 - (i + 5e-1) * 125e-3 AS lat, -180 + (j + 5e-1) * 125e-3 AS lon
+  FROM (SELECT *, unnest(range(CAST(floor((90 - ytop / 109e3) * 8) AS BIGINT), CAST(floor((90 - (ytop - 100000) / 113e3) * 8) AS BIGINT))) AS i FROM ra) ra,
+  (SELECT unnest(range(0, 2880)) AS j) b WHERE abs(-180 + (j + 5e-1) * 125e-3 - (zone * 6 - 183)) < 3),
+q AS (SELECT *, radians(lon - (zone * 6 - 183)) AS lam, sinh(atanh(sin(radians(lat))) - {_ROOT} * atanh({_ROOT} * sin(radians(lat)))) AS t FROM tg),
+u AS (SELECT *, atan2(t, cos(lam)) AS xi, atanh(sin(lam) / sqrt(1 + t * t)) AS eta FROM q),
+m AS (SELECT *, 500000 + {_SCALE} * (eta + {" + ".join(f"{a} * cos({2 * k} * xi) * sinh({2 * k} * eta)" for k, a in enumerate(_SERIES, 1))}) AS px,
+  {_SCALE} * (xi + {" + ".join(f"{a} * sin({2 * k} * xi) * cosh({2 * k} * eta)" for k, a in enumerate(_SERIES, 1))}) AS py FROM u),
+n AS (SELECT tile_id, i, j, (px - xleft) / 5e3 - 5e-1 AS fx, (ytop - py) / 5e3 - 5e-1 AS fy FROM m),
+w AS (SELECT n.tile_id, n.i, n.j, c.value, (1 - abs(fy - c.i)) * (1 - abs(fx - c.j)) AS w FROM n JOIN fx_cells c
+  ON c.tile_id = n.tile_id AND c.i BETWEEN floor(fy) AND floor(fy) + 1 AND c.j BETWEEN floor(fx) AND floor(fx) + 1 WHERE fx >= -5e-1 AND fx < 195e-1 AND fy >= -5e-1 AND fy < 195e-1)
+SELECT tile_id, i, j, {q6('sum(w * value) / sum(w)')} AS value FROM w WHERE w <> 0 GROUP BY 1, 2, 3""",
+)
+def _(t: Tables) -> DataFrame:
+    tile = F.col("tile_id")
+    rasters = t.cells.select("tile_id").distinct().select(
+        "tile_id", (32601 + tile % 60).alias("epsg"), (400000.0 + tile % 7 * 1000).alias("xleft"), (5000000.0 + tile % 9 * 40000).alias("ytop"),
+        F.lit(5000.0).alias("xres"), F.lit(-5000.0).alias("yres"), F.lit(20).alias("xsize"), F.lit(20).alias("ysize"),
+    )
+    return grid.resampled(t.cells, rasters, 0.125).select(*K, r6("value").alias("value"))
+
+
+_LATITUDE_TERMS = [f"{d:.17e}" for d in (
+    2 * _THIRD - 2 * _THIRD**2 / 3 - 2 * _THIRD**3 + 116 * _THIRD**4 / 45, 7 * _THIRD**2 / 3 - 8 * _THIRD**3 / 5 - 227 * _THIRD**4 / 45, 56 * _THIRD**3 / 15 - 136 * _THIRD**4 / 35, 4279 * _THIRD**4 / 630,
+)]
+#: Metres of the polar grid at its pole: the true scale is at 70 degrees.
+_E1 = (2 / 298.257223563 - 1 / 298.257223563**2) ** 0.5
+_S70 = math.sin(math.radians(70))
+_POLE = f"{6378137 * math.cos(math.radians(70)) / (1 - _E1**2 * _S70**2) ** 0.5 * ((1 - _E1 * _S70) / (1 + _E1 * _S70)) ** (_E1 / 2) / math.tan(math.radians(10)):.17e}"
+
+
+@query(
+    "geo1_polar_inverse",
+    f"""WITH p AS (SELECT c_custkey AS id, CAST(c_custkey % 401 - 200 AS DOUBLE) * 15000 AS x, CAST(c_custkey % 397 - 198 AS DOUBLE) * 15000 AS y FROM customer),
+c AS (SELECT id, x, y, pi() / 2 - 2 * atan(sqrt(x * x + y * y) / {_POLE}) AS chi FROM p WHERE x <> 0 OR y <> 0),
+g AS (SELECT id, degrees(atan2(x, -y)) - 45 AS lon, degrees(chi + {" + ".join(f"{d} * sin({2 * k} * chi)" for k, d in enumerate(_LATITUDE_TERMS, 1))}) AS lat FROM c)
+SELECT id, {q6('CASE WHEN lon < -180 THEN lon + 360 ELSE lon END')} AS lon, {q6('lat')} AS lat FROM g""",
+)
+def _(t: Tables) -> DataFrame:
+    c = F.col("c_custkey")
+    rows = t.customer.select(c.alias("id"), (c % 401 - 200).cast("double").alias("x"), (c % 397 - 198).cast("double").alias("y")).where("x <> 0 or y <> 0")
+    back = geometry.unproject(F.col("x") * 15000, F.col("y") * 15000, 3413)
+    return rows.select("id", r6(back["x"]).alias("lon"), r6(back["y"]).alias("lat"))
+
+
+@query(
+    "geo8_outline_rings",
+    # every border edge of a unit cell is followed to the next one until it comes back
+    """WITH RECURSIVE c AS (SELECT DISTINCT x, unnest(range(ymin, ymax)) AS y FROM (SELECT *, unnest(range(xmin, xmax)) AS x FROM fx_sources) s),
+s(dx0, dy0, dx1, dy1, nx, ny, dir) AS (VALUES (0, 0, 1, 0, 0, -1, 0), (1, 0, 1, 1, 1, 0, 1), (1, 1, 0, 1, 0, 1, 2), (0, 1, 0, 0, -1, 0, 3)),
+e AS (SELECT x + dx0 AS x0, y + dy0 AS y0, x + dx1 AS x1, y + dy1 AS y1, dir, (x + dx0) * 4000 + (y + dy0) * 4 + dir AS id FROM c, s
+  WHERE NOT EXISTS (SELECT 1 FROM c o WHERE o.x = c.x + nx AND o.y = c.y + ny)),
+n AS (SELECT a.id, a.dir, arg_max(b.id, (b.dir - a.dir + 6) % 4) AS nxt FROM e a JOIN e b ON b.x0 = a.x1 AND b.y0 = a.y1 GROUP BY 1, 2),
+r(id, reach) AS (SELECT id, nxt FROM n UNION SELECT r.id, n.nxt FROM r JOIN n ON n.id = r.reach),
+l AS (SELECT id, min(reach) AS ring FROM r GROUP BY 1)
+SELECT CAST(l.ring // 4000 AS DOUBLE) AS x, CAST(l.ring % 4000 // 4 AS DOUBLE) AS y, count(*) FILTER (WHERE e.dir <> f.dir) AS n_points,
+  sum(e.x0 * e.y1 - e.x1 * e.y0) / 2e0 AS area, sum(e.x0 * e.y1 - e.x1 * e.y0) < 0 AS is_hole
+FROM l JOIN e ON e.id = l.id JOIN n ON n.id = e.id JOIN e f ON f.id = n.nxt GROUP BY l.ring""",
+)
+def _(t: Tables) -> DataFrame:
+    return outlines.outline_rings(t.sources).drop("ring")
+
+
+#: A four-sided polygon around each source file, as its corners (x, y).
+_KITE = ("xmin + 25e-2, ymin", "xmax + 5e-1, ymin + 75e-2", "xmax, ymax + 15e-1", "xmin - 1e0, ymax")
+
+
+@query(
+    "f19_scan_lines",
+    f"""WITH v AS (SELECT source_key, [{", ".join(f"[{p}]" for p in (*_KITE, _KITE[0]))}] AS p FROM fx_sources),
+e AS (SELECT source_key, p[k][1] AS ax, p[k][2] AS ay, p[k + 1][1] AS zx, p[k + 1][2] AS zy FROM (SELECT *, unnest(range(1, 5)) AS k FROM v) q),
+c AS (SELECT tile_id, i, j, tile_id % 4 * 20 + j + 5e-1 AS x, CAST(floor(tile_id / 4e0) AS BIGINT) * 20 + i + 5e-1 AS y FROM fx_cells),
+h AS (SELECT DISTINCT tile_id, i, j FROM (SELECT tile_id, i, j, source_key FROM c JOIN e ON (ay <= y) <> (zy <= y) AND x < ax + (y - ay) * (zx - ax) / (zy - ay) GROUP BY 1, 2, 3, 4 HAVING count(*) % 2 = 1) o)
+SELECT c.tile_id, c.i, c.j, h.tile_id IS NOT NULL AS inside FROM c LEFT JOIN h ON h.tile_id = c.tile_id AND h.i = c.i AND h.j = c.j""",
+)
+def _(t: Tables) -> DataFrame:
+    point = lambda p: F.expr("struct(cast({} as double) as x, cast({} as double) as y)".format(*p.split(", ")))
+    rings = t.sources.select("source_key", F.array(*map(point, (*_KITE, _KITE[0]))).alias("ring"))
+    cells = t.cells.select("tile_id", F.col("i").alias("row"), (F.floor(F.col("tile_id") / 4.0) * 20 + F.col("i")).alias("i"), "j")
+    out = outlines.inside_rings(cells, rings, F.col("tile_id") % 4 * 20 + F.col("j") + 0.5, 0.0, 1.0, ring_id=["source_key"])
+    return out.select("tile_id", F.col("row").alias("i"), "j", "inside")
+
+
+@query(
+    "g18_nearest_valid",
+    f"""WITH v AS (SELECT * FROM fx_cells WHERE size % 17 = 0), h AS (SELECT * FROM fx_cells WHERE size % 17 <> 0),
+p AS (SELECT h.tile_id, h.i, h.j, (h.i - v.i) * (h.i - v.i) + (h.j - v.j) * (h.j - v.j) AS d, v.value FROM h JOIN v ON v.tile_id = h.tile_id),
+m AS (SELECT tile_id, i, j, min(d) AS d FROM p GROUP BY 1, 2, 3)
+SELECT m.tile_id, m.i, m.j, {q6('sqrt(m.d)')} AS distance, min(p.value) AS value FROM m JOIN p USING (tile_id, i, j, d) GROUP BY 1, 2, 3, m.d""",
+)
+def _(t: Tables) -> DataFrame:
+    out = grid.nearest_valid(t.cells.where("size % 17 = 0"), t.cells.where("size % 17 <> 0"))
+    return out.select(*K, r6("distance").alias("distance"), "value")
+
+
 @query("geo9_horizontal_codes", "SELECT c_custkey AS id, CAST(CASE c_custkey % 3 WHEN 0 THEN 32600 + c_custkey % 60 + 1 WHEN 1 THEN 4269 END AS BIGINT) AS epsg FROM customer")
 def _(t: Tables) -> DataFrame:
     c = F.col("c_custkey")
