@@ -30,6 +30,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from functools import cache
 from itertools import accumulate
 
 import numpy as np
@@ -48,7 +49,7 @@ BLOCK = 1 << 16
 #: A file is closed after so many ids or documents, and is read in ranges of so many ids.
 FILE_IDS, FILE_DOCS, RANGE_IDS = 1 << 26, 1 << 20, 1 << 22
 #: Distinct pre-tokens that a worker remembers before it forgets them all.
-MEMORY = 1 << 18
+MEMORY = 1 << 20
 _MAGIC = b"RTK1"
 _HEAD, _TAIL = struct.Struct("<4sII"), struct.Struct("<QQQQI4s")
 _LEAST = -(1 << 63)
@@ -171,8 +172,12 @@ class TokenReader:
             yield here[max(0, start - b * self.block) : stop - b * self.block]
 
 
+@cache
 def encoder(path: str) -> Callable[[str], bytes]:
-    """A function from a text to its ids as little-endian 32-bit bytes, as the library gives them."""
+    """A function from a text to its ids as little-endian 32-bit bytes, as the library gives them.
+
+    A worker keeps it, with the pre-tokens that it has met, from task to task.
+    """
     tok, special = tokenizer(path), specials(path)
     merge, known = tok.model.tokenize, {}
 
