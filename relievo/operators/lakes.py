@@ -2,32 +2,88 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from relievo.operators.validation import lake_statistics
 from relievo.plans.components import connected_components
+from relievo.plans.storage import materialize, scratch
 
 
-def label(cells: DataFrame, across_tiles: bool = False) -> DataFrame:
+#: Cells of a side of the blocks that are labelled alone.
+BLOCK = 1024
+
+
+def label(cells: DataFrame, across_tiles: bool = False, block: int = BLOCK) -> DataFrame:
     """Cells with the least cell key of their four-connected lake.
 
     Components of a tile by default; ``across_tiles`` expects global indices. A
     cell's key is its row times 2^20 plus its column within a tile, and its row
-    times 2^32 plus its column across tiles. The cells of a row that follow each
-    other are one node, so a component has about as many nodes as rows.
+    times 2^32 plus its column across tiles.
+
+    Two levels: blocks of ``block`` by ``block`` cells are labelled each by itself in a
+    task; then only cells beside a border between blocks meet their neighbours, and parts
+    that touch there are contracted. What moves after the first exchange is in
+    proportion to borders, and a lake of many blocks renames them part by part, so it is in no one task.
     """
+    shift = 32 if across_tiles else 20
+    spark = cells.sparkSession
     group = (F.lit(0) if across_tiles else F.col("tile_id")).cast("string")
-    key = F.col("i").cast("bigint") * (1 << (32 if across_tiles else 20))
-    row = Window.partitionBy("__g", "i").orderBy("j")
-    runs = cells.withColumn("__g", group).withColumn("__first", F.when(F.coalesce(F.col("j") - F.lag("j").over(row) > 1, F.lit(True)), F.col("j")))
-    runs = runs.withColumn("__node", F.struct(F.col("__g").alias("g"), (key + F.max("__first").over(row)).alias("k"))).drop("__first")
-    nodes = runs.select("__g", "i", "j", F.col("__node").alias("a"))
-    below = nodes.select("__g", (F.col("i") - 1).alias("i"), "j", F.col("a").alias("b"))
-    edges = nodes.join(below, ["__g", "i", "j"]).select("a", "b").unionByName(nodes.select("a", F.col("a").alias("b")))
-    found = connected_components(edges.distinct())
-    out = runs.drop("__g").join(found, F.col("__node") == F.col("node")).withColumn("lake", F.col("component.k"))
-    return out.drop("__node", "node", "component")
+    at = cells.withColumns({"__g": group, "__i": F.col("i").cast("long"), "__j": F.col("j").cast("long")})
+    at = at.withColumns({"__bi": F.floor(F.col("__i") / block), "__bj": F.floor(F.col("__j") / block)})
+    kinds = T.StructType([*at.schema.fields, T.StructField("__root", T.LongType())])
+    found = materialize(at.groupBy("__g", "__bi", "__bj").applyInArrow(_labelled(shift), kinds), "labels")
+    edge = found.where(f"__i % {block} in (0, {block - 1}) or __j % {block} in (0, {block - 1})").select("__g", "__i", "__j", F.struct("__g", "__root").alias("a"))
+    pairs = []
+    for di, dj in ((1, 0), (0, 1)):
+        last = edge.where(f"{'__i' if di else '__j'} % {block} = {block - 1}")
+        there = last.select("__g", (F.col("__i") + di).alias("__i"), (F.col("__j") + dj).alias("__j"), F.col("a").alias("b"))
+        pairs.append(edge.where(f"{'__i' if di else '__j'} % {block} = 0").join(there, ["__g", "__i", "__j"]).select("a", "b"))
+    with scratch(spark, "borders") as keep:
+        links = keep(pairs[0].unionByName(pairs[1]).distinct(), "links")
+        if links.isEmpty():
+            return found.withColumn("lake", F.col("__root")).select(*cells.columns, "lake")
+        parts = connected_components(links).select(F.col("node.__g").alias("__g"), F.col("node.__root").alias("__root"), F.col("component.__root").alias("lake"))
+    return found.join(parts, ["__g", "__root"], "left").withColumn("lake", F.coalesce("lake", "__root")).select(*cells.columns, "lake")
+
+
+def _labelled(shift: int):
+    def run(table: pa.Table) -> pa.Table:
+        """A block's cells with the least key of their component within it."""
+        i, j = (table.column(c).to_numpy() for c in ("__i", "__j"))
+        order = np.lexsort((j, i))
+        si, sj = i[order], j[order]
+        begins = np.ones(len(si), bool)
+        begins[1:] = (si[1:] != si[:-1]) | (sj[1:] - sj[:-1] > 1)
+        first = np.flatnonzero(begins)
+        row, low, high = si[first], sj[first], sj[np.append(first[1:], len(si)) - 1]
+        # runs of a row against runs of the next one, whose ends are ascending
+        wide = np.int64(1) << 40
+        from_, to = np.searchsorted(row * wide + high, (row + 1) * wide + low, "left"), np.searchsorted(row * wide + low, (row + 1) * wide + high, "right")
+        n = np.maximum(to - from_, 0)
+        above = np.repeat(np.arange(len(first)), n)
+        beneath = np.repeat(from_ - np.cumsum(n) + n, n) + np.arange(n.sum())
+        parent = list(range(len(first)))
+
+        def root(k: int) -> int:
+            while parent[k] != k:
+                parent[k] = parent[parent[k]]
+                k = parent[k]
+            return k
+
+        for x, y in zip(above.tolist(), beneath.tolist(), strict=True):
+            x, y = root(x), root(y)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+        least = np.array([root(k) for k in range(len(first))], np.int64)
+        keys = np.empty(len(si), np.int64)
+        keys[order] = ((row << shift) + low)[least][np.cumsum(begins) - 1]
+        return table.append_column("__root", pa.array(keys))
+
+    return run
 
 
 def choose_beds(cells: DataFrame, forced: DataFrame | None = None, share: float = 0.8) -> DataFrame:

@@ -7,6 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from relievo.plans.percentiles import percentiles
+from relievo.plans.storage import materialize, scratch
+
 KEYS = ("tile_id", "i", "j")
 GROUND, CANOPY = 1, 2
 
@@ -29,7 +32,8 @@ def _percentile(value: Column | str, shares: Column | float, accuracy: int | Non
 
 
 def cell_statistics(
-    photons: DataFrame, cells: DataFrame, height: str = "h_geoid", code: str = "class_code", keys: Sequence[str] = KEYS, value: str = "value", accuracy: int | None = None
+    photons: DataFrame, cells: DataFrame, height: str = "h_geoid", code: str = "class_code", keys: Sequence[str] = KEYS, value: str = "value", accuracy: int | None = None,
+    dense: bool = False,
 ) -> DataFrame:
     """A1: per-cell photon statistics.
 
@@ -53,22 +57,73 @@ def cell_statistics(
         *(F.first(c).alias(c) for c in ("n_all", "canopy", "n_ground", "span", "p10", "p90")),
         F.count("*").alias("n_trim"), F.avg("h").alias("mean"), (F.median("h") if accuracy is None else F.percentile_approx("h", 0.5, accuracy)).alias("median"), F.stddev_samp("h").alias("std"),
     )
-    out = second.join(cells.select(*keys, value), keys)
+    return _with_differences(second.join(cells.select(*keys, value), keys), value)
+
+
+def _with_differences(out: DataFrame, value: str) -> DataFrame:
     return out.withColumns({"decile_range": F.col("p90") - F.col("p10"), "diff_mean": F.col(value) - F.col("mean"), "diff_median": F.col(value) - F.col("median")})
 
 
+def _dense_cell_statistics(photons: DataFrame, cells: DataFrame, height: str, code: str, keys: list[str], value: str) -> DataFrame:
+    """:func:`cell_statistics` from sums that each task makes for itself, and selected percentiles; keys are not null."""
+    rows = photons.where(F.col(code) >= 1).select(*keys, F.col(height).alias("h"), F.col(code).alias("c"))
+    ground = F.when(F.col("c") == GROUND, F.col("h"))
+    first = rows.groupBy(*keys).agg(
+        F.count("*").alias("n_all"), F.avg((F.col("c") >= CANOPY).cast("double")).alias("canopy"), F.count(ground).alias("n_ground"), (F.max(ground) - F.min(ground)).alias("span"),
+    ).where("n_ground >= 3")
+    ground_rows = rows.where(F.col("c") == GROUND)
+    deciles = percentiles(ground_rows, "h", (0.1, 0.9), keys).select(*keys, F.get("percentiles", 0).alias("p10"), F.get("percentiles", 1).alias("p90"))
+    inner = ground_rows.join(deciles, keys).where("h between p10 and p90").select(*keys, "h")
+    medians = percentiles(inner, "h", (0.5,), keys).select(*keys, F.get("percentiles", 0).alias("median"))
+    sums = inner.groupBy(*keys).agg(F.count("*").alias("n_trim"), F.avg("h").alias("mean"), F.stddev_samp("h").alias("std"))
+    out = first.join(deciles, keys).join(sums, keys).join(medians, keys).join(cells.select(*keys, value), keys)
+    order = [*keys, "n_all", "canopy", "n_ground", "span", "p10", "p90", "n_trim", "mean", "median", "std", value]
+    return _with_differences(out.select(order), value)
+
+
 PERCENTS = (0, 1, 10, 20, 30, 40, 50, 60, 70, 80, 90, 99, 100)
 
 
+def _beside(sums: DataFrame, shares: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row of sums for each group with its percentiles, null where there are none."""
+    key = F.struct(F.lit(0).alias("_"), *by).alias("__g")  # equal for equal groups, null ones too
+    return sums.select("*", key).join(shares.select(key, "percentiles"), "__g", "left").drop("__g")
+
+
 def summary(results: DataFrame, by: Sequence[str] = (), accuracy: int | None = None) -> DataFrame:
-    """A4: the summary of cell errors: counts, bias, RMSE, percentiles (see :func:`_percentile`), canopy and roughness."""
+    """A4: the summary of cell errors: counts, bias, RMSE, percentiles, canopy and roughness.
+
+    Exact percentiles are selected bin by bin, so no task gathers a group; with
+    ``accuracy`` they have a fixed size and are off by at most ``1 / accuracy`` in rank.
+    """
     d = F.col("diff_mean")
-    return results.groupBy(*by).agg(
-        F.count("*").alias("n_cells"), F.sum("n_trim").alias("n_photons"), F.avg("n_trim").alias("mean_photons"), F.avg(d).alias("dem_minus_photon"),
-        F.sqrt(F.avg(d * d)).alias("rmse"), _percentile(d, F.array(*(F.lit(p / 100) for p in PERCENTS)), accuracy).alias("percentiles"),
+    order = [*by, "n_cells", "n_photons", "mean_photons", "dem_minus_photon", "rmse", "percentiles", "mean_canopy", "wooded", "wooded_canopy", "roughness"]
+    sums = [
+        F.count("*").alias("n_cells"), F.sum("n_trim").alias("n_photons"), F.avg("n_trim").alias("mean_photons"), F.avg(d).alias("dem_minus_photon"), F.sqrt(F.avg(d * d)).alias("rmse"),
         F.avg("canopy").alias("mean_canopy"), F.avg((F.col("canopy") > 0).cast("double")).alias("wooded"),
         F.avg(F.when(F.col("canopy") > 0, F.col("canopy"))).alias("wooded_canopy"), F.avg("std").alias("roughness"),
-    )
+    ]
+    shares = [p / 100 for p in PERCENTS]
+    if accuracy is not None:
+        return results.groupBy(*by).agg(*sums, _percentile(d, F.array(*map(F.lit, shares)), accuracy).alias("percentiles")).select(order)
+    with scratch(results.sparkSession, "summary") as keep:
+        rows = keep(results.select(*by, "n_trim", "diff_mean", "canopy", "std"), "errors")  # read twice
+        return materialize(_beside(rows.groupBy(*by).agg(*sums), percentiles(rows, d, shares, by), by).select(order), "summary-rows")
+
+
+def error_sketches(results: DataFrame, by: Sequence[str] = ("tile_id",), value: str = "diff_mean", k: int = 400) -> DataFrame:
+    """A4 by parts: a quantile sketch of each group's errors, of a fixed size, to be stored and rolled up later.
+
+    A group of at most ``k`` errors is held exactly; beyond, ranks are off by about ``1.7 / k``.
+    """
+    return results.where(F.col(value).isNotNull()).groupBy(*by).agg(F.count("*").alias("n"), F.kll_sketch_agg_double(value, k).alias("sketch"))
+
+
+def sketched_percentiles(sketches: DataFrame, by: Sequence[str] = (), percents: Sequence[int] = PERCENTS) -> DataFrame:
+    """A4 rolled up: percentiles of all groups' errors together, or of coarser groups, from stored sketches alone."""
+    merged = sketches.groupBy(*by).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("__all"))
+    ranks = F.array(*(F.kll_sketch_get_quantile_double("__all", F.lit(p / 100)) for p in percents))
+    return merged.select(*by, "n", ranks.alias("percentiles"))
 
 
 def long_percentiles(summed: DataFrame) -> DataFrame:
@@ -104,8 +159,11 @@ def by_category(photons: DataFrame, categories: Sequence[str], error: str = "err
 
 
 def clipped(rows: DataFrame, value: str, low: float, high: float, accuracy: int | None = None) -> DataFrame:
-    """Rows between two global percentiles; the limits are one row."""
-    p = rows.agg(_percentile(value, F.array(F.lit(low), F.lit(high)), accuracy).alias("p"))
+    """Rows between two global percentiles; the limits are one row, exact ones by selection (see :func:`summary`)."""
+    if accuracy is None:
+        p = percentiles(rows, value, (low, high)).withColumnRenamed("percentiles", "p")
+    else:
+        p = rows.agg(_percentile(value, F.array(F.lit(low), F.lit(high)), accuracy).alias("p"))
     return rows.crossJoin(F.broadcast(p)).where(F.col(value).between(F.get("p", 0), F.get("p", 1))).drop("p")
 
 
@@ -252,12 +310,14 @@ def histogram(rows: DataFrame, value: str, low: float, high: float, bins: int, b
 
 
 def error_marks(rows: DataFrame, value: str = "diff_mean", accuracy: int | None = None) -> DataFrame:
-    """The numbers beside the histogram."""
+    """The numbers beside the histogram; exact percentiles by selection (see :func:`summary`)."""
     d = F.col(value)
-    return rows.agg(
+    sums = rows.agg(
         F.count(d).alias("n"), F.avg(d).alias("mean"), F.stddev_pop(d).alias("std"), (F.avg(d) - F.stddev_pop(d)).alias("mean_minus"), (F.avg(d) + F.stddev_pop(d)).alias("mean_plus"),
-        _percentile(d, 0.01, accuracy).alias("p01"), _percentile(d, 0.99, accuracy).alias("p99"), F.sqrt(F.avg(d * d)).alias("rmse"),
+        F.sqrt(F.avg(d * d)).alias("rmse"), *([] if accuracy is None else [F.percentile_approx(d, [0.01, 0.99], accuracy).alias("percentiles")]),
     )
+    both = sums if accuracy is not None else _beside(sums, percentiles(rows, d, (0.01, 0.99)), ())
+    return both.select("n", "mean", "std", "mean_minus", "mean_plus", F.get("percentiles", 0).alias("p01"), F.get("percentiles", 1).alias("p99"), "rmse")
 
 
 def progress(rows: DataFrame, status: str = "status") -> DataFrame:

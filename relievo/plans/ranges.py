@@ -10,28 +10,53 @@ from pyspark.sql import functions as F
 BOX = ("xmin", "ymin", "xmax", "ymax")
 
 
-def _cells(low: Column, high: Column, size: float) -> Column:
+#: Levels of the grid: cells of 2^60 times the least size hold anything.
+_TOP = 60
+
+
+def _cells(low: Column, high: Column, size: Column) -> Column:
     """The grid cells that an interval open at both ends meets."""
     first = F.floor(low / size)
     return F.sequence(first, F.greatest(first, F.ceil(high / size) - 1))
 
 
+def _level(size: float) -> Column:
+    """The level whose cells are as large as a box, which then meets few of them."""
+    side = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
+    return F.when(side > size, F.least(F.lit(_TOP), F.ceil(F.log2(side / size)))).otherwise(0).cast("int")
+
+
 def overlap_join(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
     """Pairs of boxes that overlap and not merely touch, as structs ``l`` and ``r``.
 
-    Each box goes to the grid cells that it meets and boxes join by cell. A pair
-    that shares several cells is kept in the one that holds the lower corner of
-    its intersection, so there is no second shuffle for duplicates. ``size`` is
-    about the larger side of common boxes.
+    A grid of levels: cells of ``size`` at the lowest, twice as large at each next
+    one. A box is at home at the level of its own side, where it meets four cells or so,
+    and looks for larger ones at the levels above that the other side has boxes of;
+    pairs meet at the home level of the larger box. So a box over the whole map and one of a few metres
+    both make a bounded number of rows. A pair that shares several cells is kept in
+    the one that holds the lower corner of its intersection, so there is no second
+    shuffle for duplicates. ``size`` is about the larger side of the smallest common
+    boxes. The levels in use, sixty numbers at most, are asked for first.
     """
-    spread = lambda df, name: (
-        df.select(F.struct("*").alias(name)).withColumn("cx", F.explode(_cells(F.col(f"{name}.xmin"), F.col(f"{name}.xmax"), size)))
-        .withColumn("cy", F.explode(_cells(F.col(f"{name}.ymin"), F.col(f"{name}.ymax"), size)))
-    )
-    pairs = spread(left, "l").join(spread(right, "r"), ["cx", "cy"])
-    meets = F.expr("l.xmin < r.xmax and l.xmax > r.xmin and l.ymin < r.ymax and l.ymax > r.ymin")
-    home = (F.floor(F.greatest("l.xmin", "r.xmin") / size) == F.col("cx")) & (F.floor(F.greatest("l.ymin", "r.ymin") / size) == F.col("cy"))
-    return pairs.where(meets & home).select("l", "r")
+    sides = {"l": left, "r": right}
+    found = [df.select(F.lit(name).alias("side"), _level(size).alias("level")) for name, df in sides.items()]
+    rows = found[0].unionByName(found[1]).distinct().collect()
+    in_use = {name: sorted(r["level"] for r in rows if r["side"] == name and r["level"] is not None) for name in sides}
+
+    def spread(name: str, other: str) -> DataFrame:
+        bounds = [F.col(c).alias(f"{name}_{c}") for c in BOX]
+        at = sides[name].select(F.struct(*sides[name].columns).alias(name), *bounds, _level(size).alias(f"{name}_home"))
+        above = F.array(*map(F.lit, in_use[other])).cast("array<int>")
+        levels = F.array_union(F.array(f"{name}_home"), F.filter(above, lambda v: v > F.col(f"{name}_home")))
+        at = at.withColumn("level", F.explode(levels))
+        cell = size * F.pow(F.lit(2.0), F.col("level"))
+        return at.withColumn("cx", F.explode(_cells(F.col(f"{name}_xmin"), F.col(f"{name}_xmax"), cell))).withColumn("cy", F.explode(_cells(F.col(f"{name}_ymin"), F.col(f"{name}_ymax"), cell)))
+
+    pairs = spread("l", "r").join(spread("r", "l"), ["level", "cx", "cy"])
+    meets = F.expr("l_xmin < r_xmax and l_xmax > r_xmin and l_ymin < r_ymax and l_ymax > r_ymin and level = greatest(l_home, r_home)")
+    cell = size * F.pow(F.lit(2.0), F.col("level"))
+    corner = (F.floor(F.greatest("l_xmin", "r_xmin") / cell) == F.col("cx")) & (F.floor(F.greatest("l_ymin", "r_ymin") / cell) == F.col("cy"))
+    return pairs.where(meets & corner).select("l", "r")
 
 
 def pruned(df: DataFrame, x: str, y: str, box: Sequence[float], tile: float, tile_x: str = "tile_lon", tile_y: str = "tile_lat") -> DataFrame:
