@@ -11,7 +11,7 @@ from relievo.plans.ranges import overlap_join
 from relievo.plans.storage import new_folder
 from relievo.queries.photons import binned
 from relievo.queries.registry import Tables, q6, query, r6
-from relievo.sources import readers, writers
+from relievo.sources import clustered, readers, writers
 from relievo.streaming import jobs
 
 _MEETS = "t.xmin < s.xmax AND t.xmax > s.xmin AND t.ymin < s.ymax AND t.ymax > s.ymin"
@@ -409,13 +409,22 @@ def _(t: Tables) -> DataFrame:
     return grid.sub_raster(g, 2, 1).select("tile_id", "sub_xleft", "sub_ytop", F.col("sub_xsize").cast("bigint").alias("sub_xsize"), F.col("sub_ysize").cast("bigint").alias("sub_ysize"))
 
 
-@query("src3_photons_in_box", "SELECT photon_id, l_partkey, l_suppkey FROM fx_photons WHERE longitude >= 3 AND longitude < 55e-1 AND latitude >= 42 AND latitude < 4425e-2")
+_BOX = "SELECT photon_id, l_partkey, l_suppkey FROM fx_photons WHERE longitude >= 3 AND longitude < 55e-1 AND latitude >= 42 AND latitude < 4425e-2"
+
+
+@query("src3_photons_in_box", _BOX)
 def _(t: Tables) -> DataFrame:
-    quarter = lambda c: F.floor(F.col(c) / 0.25) * 0.25
-    tiles = t.photons.withColumns({"tile_lon": quarter("longitude"), "tile_lat": quarter("latitude")})
-    known = tiles.select(F.col("tile_lon").alias("xmin"), F.col("tile_lat").alias("ymin")).distinct()
-    known = known.withColumns({"xmax": F.col("xmin") + 0.25, "ymax": F.col("ymin") + 0.25, "is_populated": F.lit(True)})
-    return readers.photons_in_box(tiles, known, (3.0, 42.0, 5.5, 44.25)).select("photon_id", "l_partkey", "l_suppkey")
+    path = new_folder(t.spark, "tiles")
+    counts = writers.write_photon_tiles(t.photons, path, 1.0, block=5)
+    known = counts.select(F.col("tile_lon").alias("xmin"), F.col("tile_lat").alias("ymin")).withColumns({"xmax": F.col("xmin") + 1, "ymax": F.col("ymin") + 1, "is_populated": F.lit(True)})
+    return readers.photons_in_box(t.spark.read.parquet(path), known, (3.0, 42.0, 5.5, 44.25), 1.0, 5).select("photon_id", "l_partkey", "l_suppkey")
+
+
+@query("src3_clustered_box", _BOX)
+def _(t: Tables) -> DataFrame:
+    path = new_folder(t.spark, "clustered")
+    files = clustered.write_clustered(t.photons, path, files=32)
+    return clustered.read_box(t.spark, path, files, (3.0, 42.0, 5.5, 44.25)).select("photon_id", "l_partkey", "l_suppkey")
 
 
 @query("src7_beam_values", "SELECT 'g' || granule_id1 AS granule, beam, photon_id AS pos, h_geoid FROM fx_photons WHERE beam IN (0, 2, 4)")
@@ -466,6 +475,19 @@ def _(t: Tables) -> DataFrame:
     return t.spark.read.schema(pairs.schema).parquet(f"{out}/rows")
 
 
+@query(
+    "st1_once_only",
+    # every file arrives twice; a pair comes out once
+    "SELECT a.event_id AS event_id_a, b.event_id AS event_id_b, a.user_id AS key_a FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = 'click' AND b.event_type = 'purchase' AND b.ts >= a.ts - INTERVAL 1 HOUR AND b.ts <= a.ts + INTERVAL 1 HOUR",
+)
+def _(t: Tables) -> DataFrame:
+    twice = lambda kind: _stream(t, kind).unionByName(_stream(t, kind))
+    pairs = jobs.matched_stream(twice("click"), twice("purchase"), "user_id", once=["event_id"]).select("event_id_a", "event_id_b", "key_a")
+    out = new_folder(t.spark, "stream")
+    pairs.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.schema(pairs.schema).parquet(f"{out}/rows")
+
+
 @query(
     "st2_catalogue_upsert",
     "SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS o FROM events WHERE event_type = 'click') s WHERE o = 1",

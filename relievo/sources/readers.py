@@ -50,15 +50,19 @@ def read_feather(spark: SparkSession, path: str, schema: str = PHOTON) -> DataFr
     return spark.read.format("binaryFile").load(path).select("content").mapInPandas(frames, schema)
 
 
-def photons_in_box(tiles: DataFrame, catalogue: DataFrame, box: Sequence[float], tile: float = 0.25) -> DataFrame:
+def photons_in_box(tiles: DataFrame, catalogue: DataFrame, box: Sequence[float], tile: float = 0.25, block: int = 1) -> DataFrame:
     """SRC3: photons of a box from the tiles that the catalogue calls populated.
 
-    The tile bounds reach the scan as partition filters, the box itself is exact.
+    The tile bounds reach the scan as partition filters, with those of the folders where
+    a folder holds ``block`` by ``block`` tiles; the box itself is exact.
     """
     xmin, ymin, xmax, ymax = box
     hit = catalogue.where("is_populated").where((F.col("xmin") < xmax) & (F.col("xmax") > xmin) & (F.col("ymin") < ymax) & (F.col("ymax") > ymin))
     hit = hit.select(F.col("xmin").alias("tile_lon"), F.col("ymin").alias("tile_lat"))
-    return pruned(tiles, "longitude", "latitude", box, tile).join(hit, ["tile_lon", "tile_lat"], "left_semi")
+    rows = pruned(tiles, "longitude", "latitude", box, tile)
+    if block > 1:
+        rows = pruned(rows, "longitude", "latitude", box, tile * block, "block_lon", "block_lat")
+    return rows.join(hit, ["tile_lon", "tile_lat"], "left_semi")
 
 
 def empty_photons(spark: SparkSession) -> DataFrame:

@@ -11,12 +11,13 @@ from relievo.plans.storage import rename
 
 
 def write_photon_tiles(photons: DataFrame, path: str, tile: float = 0.25, block: int = 1) -> DataFrame:
-    """SNK1: photons by tile, sorted for skipping inside files; returns the counts of each tile.
+    """SNK1: photons by tile, sorted for skipping inside files; returns the counts of each tile as it lies at ``path`` then.
 
     A folder holds one tile, or, where tiles are small, ``block`` by ``block`` of
     them; the tile is then a sorted column, and row groups of other tiles are
-    skipped. A rewrite replaces whole folders. The counts come from the rows
-    themselves, so nothing that was written is read again.
+    skipped. A rewrite replaces whole folders. Rows are dealt by range of folder, tile and place, so
+    a dense tile is several tasks' files. The counts read what was
+    written, of two columns. For one table without folders see :mod:`relievo.sources.clustered`.
     """
     key = lambda c: F.floor(F.col(c) / tile) * tile
     rows = photons.withColumns({"tile_lat": key("latitude"), "tile_lon": key("longitude")})
@@ -24,9 +25,11 @@ def write_photon_tiles(photons: DataFrame, path: str, tile: float = 0.25, block:
     if block > 1:
         folder = ["block_lat", "block_lon"]
         rows = rows.withColumns({b: F.floor(F.col(t) / (tile * block)) * tile * block for b, t in zip(folder, ("tile_lat", "tile_lon"), strict=True)})
-    out = rows.repartition(*folder).sortWithinPartitions(*folder, "tile_lat", "tile_lon", "latitude", "longitude")
+    order = [*dict.fromkeys([*folder, "tile_lat", "tile_lon", "latitude", "longitude"])]
+    out = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     out.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic").partitionBy(*folder).parquet(path)
-    return tile_counts(rows.withColumn("tile_id", F.struct("tile_lat", "tile_lon"))).select("tile_id.*", "numphotons", "numphotons_canopy", "numphotons_ground")
+    written = photons.sparkSession.read.parquet(path).withColumn("tile_id", F.struct(*(F.col(c).cast("double").alias(c) for c in ("tile_lat", "tile_lon"))))
+    return tile_counts(written).select("tile_id.*", "numphotons", "numphotons_canopy", "numphotons_ground")
 
 
 def write_results(results: DataFrame, path: str, kind: str = "parquet") -> None:

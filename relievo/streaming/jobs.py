@@ -11,12 +11,23 @@ from pyspark.sql.streaming import StreamingQuery
 from relievo.plans.storage import delete, exists, folders, scratch
 
 
-def matched_stream(a: DataFrame, b: DataFrame, key: str, time: str = "ts", delay: str = "2 hours", gap: str = "1 hour") -> DataFrame:
-    """ST1: pairs of arrivals with one key at most ``gap`` apart; watermarks bound the state."""
-    left = a.select(F.col(key).alias("key_a"), F.col(time).alias("ts_a"), *(F.col(c).alias(f"{c}_a") for c in a.columns if c not in (key, time))).withWatermark("ts_a", delay)
-    right = b.select(F.col(key).alias("key_b"), F.col(time).alias("ts_b"), *(F.col(c).alias(f"{c}_b") for c in b.columns if c not in (key, time))).withWatermark("ts_b", delay)
+def matched_stream(a: DataFrame, b: DataFrame, key: str, time: str = "ts", delay: str = "2 hours", gap: str = "1 hour", once: Sequence[str] = ()) -> DataFrame:
+    """ST1: pairs of arrivals with one key at most ``gap`` apart; watermarks bound the state.
+
+    ``once`` names the columns that tell arrivals of a key apart. An arrival that comes
+    again, as a file that is delivered twice, then makes no pair anew: it is dropped
+    while its first copy is within the watermark, and after that it is late itself, if it carries the
+    time of its first copy. So a pair comes out once, and the state of both steps goes as the
+    watermark moves.
+    """
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        rest = (F.col(c).alias(f"{c}_{name}") for c in df.columns if c not in (key, time))
+        rows = df.select(F.col(key).alias(f"key_{name}"), F.col(time).alias(f"ts_{name}"), *rest).withWatermark(f"ts_{name}", delay)
+        return rows.dropDuplicatesWithinWatermark([f"key_{name}", *(f"{c}_{name}" for c in once)]) if once else rows
+
     on = F.expr(f"key_a = key_b and ts_b >= ts_a - interval {gap} and ts_b <= ts_a + interval {gap}")
-    return left.join(right, on)
+    return side(a, "a").join(side(b, "b"), on)
 
 
 def upsert(table: DataFrame, rows: DataFrame, key: Sequence[str], order: str) -> DataFrame:
@@ -105,14 +116,25 @@ def backfill(catalogue: DataFrame, counted: DataFrame, key: str = "tile_id") ->
     return counted.join(catalogue.where("is_populated").select(key), key, "left_anti")
 
 
-def running_statistics(stream: DataFrame, keys: Sequence[str], value: str, time: str = "ts", window: str = "1 day", delay: str = "1 day") -> DataFrame:
-    """ST6: count, mean and deviation of each cell in windows of a photon stream.
+def running_statistics(
+    stream: DataFrame, keys: Sequence[str], value: str, time: str = "ts", window: str = "1 day", delay: str = "1 day", shares: Sequence[float] = (), k: int = 400
+) -> DataFrame:
+    """ST6: count, mean and deviation of each cell in windows of a photon stream, and percentiles where ``shares`` are given.
 
     In append mode a window comes out once the watermark has passed its end, and
-    its state goes; rows that are later than that are left out.
+    its state goes; rows that are later than that are left out. The state of a
+    window's percentiles is a mergeable quantile sketch of a fixed size: up to ``k`` values it is
+    exact, beyond that ranks are off by about ``1.7 / k``. Nulls and NaN are not in it.
     """
     rows = stream.withWatermark(time, delay).groupBy(F.window(time, window), *keys)
-    return rows.agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"))
+    sums = [F.count("*").alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std")]
+    if not shares:
+        return rows.agg(*sums)
+    real = F.when(~F.isnan(F.col(value).cast("double")), F.col(value).cast("double"))
+    out = rows.agg(*sums, F.kll_sketch_agg_double(real, k).alias("__sketch"))
+    some = F.kll_sketch_get_n_double("__sketch") > 0
+    ranks = F.array(*(F.kll_sketch_get_quantile_double("__sketch", F.lit(float(p))) for p in shares))
+    return out.withColumn("percentiles", F.when(some, ranks)).drop("__sketch")
 
 
 def file_stream(spark: SparkSession, path: str, schema: str, kind: str = "parquet") -> DataFrame:
