@@ -18,8 +18,14 @@ that holds copies would be templates: a subtree's pages have to have as many
 different longest other lines, and different second longest ones, as VARIED times
 their number. What remains loses the elements that are never
 main text by their kind (menus, headers, footers, asides, forms, scripts and so on)
-or by their class, id or role where it names such a kind, an advert, a notice or
-comments. A header with a heading inside an article belongs to the article.
+or by their class, id or role where one of its names, taken whole, stands for such a kind, an
+advert, a notice or comments: ``no-sidebar`` and ``safety-notice`` do not. Parts of tables, headings
+and what stands in code are never noise by name. A header with a heading inside an article belongs to
+the article. Formulas and labels in running text are text; the content of noscript, which is
+shown in place of a script, is not.
+
+An article inside of what is noise by its class or id counts if the page has no other article and no
+main element, unless it stands among comments: a name never costs a page its article.
 
 Defined cases: null html is the empty page, whose text is empty; a null or
 malformed url shares the host ''; a null page_id is kept; repeated rows come back
@@ -53,10 +59,10 @@ INNER_PAGES, INNER_SHARE = 8, 0.5
 VARIED = 0.5
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg math".split())
+_RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg".split())
 _NEVER = frozenset(
-    "nav header footer aside form script style noscript template iframe svg math canvas video audio object "
-    "select button textarea input label fieldset dialog menu head title xmp noembed noframes".split()
+    "nav header footer aside form script style noscript template iframe svg canvas video audio object "
+    "select button textarea input fieldset dialog menu head title xmp noembed noframes".split()
 )
 _BLOCK = frozenset(
     "address article aside blockquote body br center dd details div dl dt fieldset figcaption figure footer form "
@@ -67,12 +73,21 @@ _ENDS_P = _BLOCK - {"br", "body", "html", "td", "th", "tr", "tbody", "thead", "t
 _SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _ROLES = frozenset("navigation banner contentinfo complementary form dialog alert menu menubar".split())
-#: Names of menus, headers, footers, sidebars, notices, adverts and comments in class and id.
-_NOTED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|ads?-?(?:box|slot|unit|banner|bygoogle)|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|comments?|disqus|replies|sidebar|side-bar|"
-    r"menus?|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|newsletter|subscribe|signup|popup|modal)(?:$|[\s_-])",
-    re.I,
+#: Whole names in class and id, with hyphens for underscores, of headers, of comments, and of all that is never main text.
+_HEADS = frozenset("header masthead site-header page-header main-header".split())
+_COMMENTS = frozenset(
+    "comment comments comment-list comments-list commentlist comment-section comments-section comment-area comments-area comment-form comments-form "
+    "reader-comments user-comments disqus disqus-thread replies reply-list reactions user-reactions".split()
+)
+_NOTED = _HEADS | _COMMENTS | frozenset(
+    "ad ads adbox ad-box ads-box adslot ad-slot adunit ad-unit ad-banner ads-banner ad-container ad-wrapper adsbygoogle advert adverts advertisement advertisements advertising "
+    "sponsor sponsors sponsored sponsored-content promo promos promotion promotions banner "
+    "cookie cookies cookie-notice cookie-banner cookie-bar cookie-consent cookie-popup consent consent-banner consent-popup gdpr gdpr-notice gdpr-banner "
+    "notice notices site-notice popup modal newsletter newsletter-signup newsletter-form subscribe signup sign-up "
+    "menu menus main-menu nav-menu nav navbar nav-bar main-nav site-nav top-nav side-nav sidenav navigation main-navigation site-navigation breadcrumb breadcrumbs "
+    "sidebar side-bar sidebars left-sidebar right-sidebar sidebar-left sidebar-right footer site-footer page-footer main-footer".split()
 )
+_TABLE = frozenset("table caption colgroup col thead tbody tfoot tr td th".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 #: A name and its value; quoted values are consumed whole, also where the page is cut off.
 _ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?")
@@ -80,33 +95,42 @@ _SPACE = re.compile(r"\s+")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "parts", "skip", "at", "inside", "header")
+    __slots__ = ("tag", "parent", "parts", "skip", "named", "at", "inside", "code", "header")
 
-    def __init__(self, tag: str, parent: _Node | None, skip: bool, at: int):
-        self.tag, self.parent, self.skip, self.at, self.parts = tag, parent, skip, at, []
-        # whether it is or lies in an article, and the outermost header within that
+    def __init__(self, tag: str, parent: _Node | None, attributes: str, at: int):
+        self.tag, self.parent, self.at, self.parts = tag, parent, at, []
+        # whether it is or lies in an article or in code
         self.inside = tag == "article" or parent is not None and parent.inside
-        self.header = None if tag == "article" or parent is None else parent.header or (self if tag == "header" else None)
-
-
-def _is_noise(tag: str, attributes: str) -> bool:
-    if tag in _NEVER:
-        return True
-    if not attributes or tag in ("html", "body", "main", "article") or tag in _HEADINGS:
-        return False
+        self.code = tag in ("pre", "code") or parent is not None and parent.code
+        names = _names(tag, attributes) if attributes and not self.code else frozenset()
+        #: noise by its name, with the names that say so; or by its kind, which an article inside cannot undo
+        self.named = names
+        self.skip = tag in _NEVER or bool(names)
+        # the outermost header within an article
+        head = tag == "header" or bool(names) and names <= _HEADS
+        self.header = None if tag == "article" or parent is None else parent.header or (self if head else None)
+
+
+def _names(tag: str, attributes: str) -> frozenset[str]:
+    """The names in class, id and role that stand for noise."""
+    if tag in ("html", "body", "main") or tag in _HEADINGS or tag in _TABLE:
+        return frozenset()
     lower = attributes.lower()
     if not ("class" in lower or "id" in lower or "role" in lower):
-        return False
+        return frozenset()
+    found = set()
     for name, *values in _ATTR.findall(attributes):
-        name, value = name.lower(), values[0] or values[1] or values[2]
-        if name == "role" and value.lower() in _ROLES or name in ("class", "id") and _NOTED.search(value):
-            return True
-    return False
+        name, value = name.lower(), (values[0] or values[1] or values[2]).lower()
+        if name == "role" and value in _ROLES:
+            found.add(value)
+        elif name in ("class", "id"):
+            found |= _NOTED.intersection(value.replace("_", "-").split())
+    return frozenset(found & _COMMENTS if tag == "article" else found)
 
 
 def parse(page: str) -> tuple[_Node, list[_Node]]:
     """The page's tree and its elements in page order."""
-    root = _Node("", None, False, -1)
+    root = _Node("", None, "", -1)
     nodes: list[_Node] = []
     here, at, seek = root, 0, 0
     while (seek := page.find("<", seek)) >= 0:
@@ -128,7 +152,7 @@ def parse(page: str) -> tuple[_Node, list[_Node]]:
             if up is not root:
                 here = up.parent
             elif tag == "p":
-                here.parts.append(_Node("p", here, False, -1))
+                here.parts.append(_Node("p", here, "", -1))
             continue
         if tag in _ENDS_P:
             up = here
@@ -144,10 +168,10 @@ def parse(page: str) -> tuple[_Node, list[_Node]]:
                     here = up.parent
                     break
                 up = up.parent
-        node = _Node(tag, here, _is_noise(tag, m[3]), len(nodes))
+        node = _Node(tag, here, m[3], len(nodes))
         here.parts.append(node)
         nodes.append(node)
-        if tag in _VOID or m[3].endswith("/") and tag in ("svg", "math"):
+        if tag in _VOID or m[3].endswith("/") and tag == "svg":
             continue
         if tag in _RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*/?>|\Z", re.I).search(page, at)
@@ -164,13 +188,13 @@ def parse(page: str) -> tuple[_Node, list[_Node]]:
 
 
 def main_elements(nodes: list[_Node]) -> list[_Node]:
-    """The page's outermost article elements outside noise, or else its main elements."""
-    for tag in ("article", "main"):
+    """The page's outermost article elements outside noise, or else its main elements, or else articles that only names would hide."""
+    for tag, hidden in (("article", False), ("main", False), ("article", True)):
         found = []
         for node in nodes:
             if node.tag == tag:
                 up = node
-                while up is not None and not up.skip and (up is node or up.tag != tag):
+                while up is not None and (up is node or up.tag != tag) and not (up.named & _COMMENTS or up.tag in _NEVER if hidden else up.skip):
                     up = up.parent
                 if up is None:
                     found.append(node)
@@ -304,11 +328,11 @@ def host(url: str = "url") -> Column:
     return F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1)), F.lit(""))
 
 
-_PARSED = "page_id bigint, url string, host string, text string, main string, page bigint, blocks array<struct<kind: int, hash: bigint, longest: bigint, second: bigint>>"
+_PARSED = "page_id bigint, url string, host string, text string, main string, page binary, blocks array<struct<kind: int, hash: bigint, longest: bigint, second: bigint>>"
 _BLOCKS_ARROW = pa.list_(pa.struct([("kind", pa.int32()), ("hash", pa.int64()), ("longest", pa.int64()), ("second", pa.int64())]))
 _PARSED_ARROW = pa.schema(
     [
-        ("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("text", pa.string()), ("main", pa.string()), ("page", pa.int64()),
+        ("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("text", pa.string()), ("main", pa.string()), ("page", pa.binary()),
         ("blocks", _BLOCKS_ARROW),
     ]
 )
@@ -336,9 +360,9 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _whole(pages: DataFrame) -> DataFrame:
-    """The pages with their hosts, and a hash of their html that stands for equal pages of a host."""
+    """The pages with their hosts, and a 128-bit digest of their html that stands for equal pages of a host."""
     page = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), host().alias("host"), text_or_empty("html").alias("html"))
-    return page.withColumn("page", F.xxhash64("html"))
+    return page.withColumn("page", F.unhex(F.md5(F.encode("html", "utf-8"))))
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
@@ -356,7 +380,7 @@ def templates(parsed: DataFrame) -> DataFrame:
     sizes = parsed.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("h"))
     blocks = parsed.select("host", "page", F.inline("blocks"))
     often = blocks.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_PAGES).select(*keys)
-    told = F.array(*(F.struct(F.lit(c).alias("what"), F.col(c).alias("value")) for c in ("page", "longest", "second")))
+    told = F.array(*(F.struct(F.lit(c).alias("what"), (F.col(c) if c == "page" else F.to_binary(F.col(c).cast("string"), F.lit("utf-8"))).alias("value")) for c in ("page", "longest", "second")))
     distinct = blocks.join(often, keys).select(*keys, F.inline(told)).where("value is not null").distinct()
     counts = distinct.groupBy(*keys).agg(*(F.count_if(F.col("what") == c).alias(n) for c, n in (("page", "n_pages"), ("longest", "n_longest"), ("second", "n_second"))))
     least = F.greatest(F.lit(float(LEAST_PAGES)), F.least(LEAST_SHARE * F.col("h"), F.greatest(F.lit(float(MANY_PAGES)), MANY_SHARE * F.col("h"))))
@@ -365,7 +389,7 @@ def templates(parsed: DataFrame) -> DataFrame:
     return counts.join(sizes, "host").where(many & (others >= VARIED * F.col("n_pages"))).select(*keys, "n_pages")
 
 
-_TEXTS = "host string, page bigint, cleaned string"
+_TEXTS = "host string, page binary, cleaned string"
 
 
 def _without_templates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

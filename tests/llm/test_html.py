@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from html.parser import HTMLParser
+
 from relievo.llm import html_text
 from tests.llm.fixtures import prose
 
@@ -31,6 +33,83 @@ def test_only_whole_attribute_names_count():
         assert html_text.main_text(f"<article><p>a</p><div {dropped}><p>text</p></div></article>") == "a", dropped
 
 
+#: Pages that keep what a name, or a part of one, must not cost them.
+KEPT = {
+    "<div class='layout no-sidebar'><article><h1>T</h1><p>text</p></article></div>": "T\ntext",
+    "<div id='page' class='has-comments'><article><p>text</p></article></div>": "text",
+    "<div class='site-header-main'><article><p>text</p></article></div>": "text",
+    "<div class='sidebar'><article><p>text</p></article></div>": "text",
+    "<div class='sidebar'><article><p>teaser</p></article></div><article><p>text</p></article>": "text",
+    "<div class='sidebar'><article><p>teaser</p></article></div><main><p>text</p></main>": "text",
+    "<article><div class='article-header'><h1>Title</h1><p>Lead</p></div><p>a</p></article>": "Title\nLead\na",
+    "<article><div class='header'><h1>Title</h1></div><p>a</p><div class='header'>menu</div></article>": "Title\na",
+    "<article><table><tr class='header'><th>Year</th></tr><tr><td>1</td></tr></table></article>": "Year\n1",
+    "<article><p class='safety-notice'>Mind the gap.</p><p class='notice'>We moved.</p></article>": "Mind the gap.",
+    "<article><p>Let <math>x = 2</math> hold.</p></article>": "Let x = 2 hold.",
+    "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold.</p></article>": "Let x=2 hold.",
+    "<article><p>The <label>big</label> one</p><form><label>Name</label></form></article>": "The big one",
+    "<article><p>a</p><div class='user-reactions'><p>first!</p></div><section id=Disqus_Thread>x</section></article>": "a",
+    "<article><p>a</p></article><div class=comments><article class=comment><p>first!</p></article></div>": "a",
+    "<article><p>a</p></article><article class=comment><p>first!</p></article>": "a",
+    "<div class=comments><article><p>first!</p></article></div><p>b</p>": "b",
+    "<article><pre><span class='comment'># note</span> x = 1</pre><h2 class='ad'>b</h2></article>": "# note x = 1\nb",
+    "<aside><article><p>teaser</p></article></aside><p>b</p>": "b",
+    "<article><noscript>Switch scripts on</noscript><p>a</p></article>": "a",
+}
+
+
+def test_names_are_taken_whole():
+    for page, text in KEPT.items():
+        assert html_text.main_text(page) == text, page
+
+
+class Plain(HTMLParser):
+    """The article's text by the library's parser, for pages whose elements are closed and whose noise is named by one word."""
+
+    LEFT_OUT = {"nav", "footer", "aside", "form", "script", "style", "head", "noscript"}
+    SINGLE = {"br", "meta", "img", "hr", "input"}
+    BREAKS = {"p", "li", "ul", "ol", "div", "h1", "h2", "h3", "br", "article", "section", "table", "tr", "td", "th", "body", "html", "nav", "footer"}
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.open, self.text, self.articles = [], [], 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag in self.BREAKS:
+            self.text.append("\n")
+        if tag not in self.SINGLE:
+            names = set((dict(attrs).get("class") or "").split())
+            self.open.append((tag, tag in self.LEFT_OUT or bool(names & {"ad", "comments", "sidebar"})))
+            self.articles += tag == "article"
+
+    def handle_endtag(self, tag):
+        if tag in self.BREAKS:
+            self.text.append("\n")
+        if any(t == tag for t, _ in self.open):
+            while self.open.pop()[0] != tag:
+                pass
+
+    def handle_data(self, data):
+        if any(t == "article" for t, _ in self.open) and not any(out for _, out in self.open):
+            self.text.append(data.replace("\n", " "))
+
+    @classmethod
+    def of(cls, page):
+        parser = cls()
+        parser.feed(page)
+        parser.close()
+        lines = (" ".join(x.split()) for x in "".join(parser.text).split("\n"))
+        return "\n".join(x for x in lines if x)
+
+
+def test_given_pages_against_the_library_parser(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    want = {r["page_id"]: Plain.of(r["html"] or "") for r in table.collect()}
+    got = {r["page_id"]: (r["text"], r["n_chars"]) for r in html_text.extract(table).collect()}
+    assert len(got) == 2500 and all(n == len(t) for t, n in got.values())
+    assert {k: t for k, (t, _) in got.items()} == want and min(map(len, want.values())) > 0
+
+
 def pages(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string, text string, hashes int, host string")
 
