@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from relievo.llm.tokens import slices
 from relievo.plans.components import connected_components
 from relievo.plans.storage import drop_shuffles, materialize, scratch
-from relievo.plans.text import text_or_empty
+from relievo.plans.text import id_kind, id_of, text_or_empty
 
 WORDS = 5
 NUMERATOR, DENOMINATOR = 80, 100
@@ -163,7 +163,7 @@ def _arrays(parts: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*parts, np.empty(0, np.uint64)]).view(np.int64)))
 
 
-_PROFILE = "doc_id bigint, n int, sig binary, central int, prefix array<bigint>, packed binary"
+_PROFILE = "n int, sig binary, central int, prefix array<bigint>, packed binary"
 
 
 def _profiles(classes: bytes):
@@ -295,11 +295,11 @@ def link_components(docs: DataFrame) -> DataFrame:
     links inside a component that were never needed are not among them.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    texts = docs.select(id_of(docs), text_or_empty().alias("text"))
     classes = token_classes(texts)
     with scratch(spark, "neardup") as keep:
         with scratch(spark, "profiles") as keep_profiles:
-            rows = texts.mapInArrow(_profiles(classes), _PROFILE).withColumn("row", F.monotonically_increasing_id())
+            rows = texts.mapInArrow(_profiles(classes), f"doc_id {id_kind(docs)}, {_PROFILE}").withColumn("row", F.monotonically_increasing_id())
             profiles = keep_profiles(rows, "profiles")  # a row's number is settled once written
             nodes = profiles.where("n > 0").groupBy("sig").agg(F.min("row").alias("node"), F.min("doc_id").alias("least_id"))
             nodes = keep(nodes, "nodes")

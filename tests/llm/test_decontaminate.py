@@ -2,10 +2,13 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from relievo.llm import decontaminate as dc
 from tests.llm.fixtures import WORDS, documents, prose
 
@@ -53,13 +56,16 @@ def test_planted_items_are_found_and_others_left(spark):
     assert {r["doc_id"] for r in dc.clean(docs, bench).collect()} == {k for k in range(60) if k % 3}
 
 
-def test_shards_find_the_same(spark, monkeypatch):
+def test_shards_find_the_same(spark):
     items = items_of(30)
     docs = documents(spark, [(k, f"intro {t} outro", "en", "s", 0, 0, "", "", "") for k, t in items])
     bench = spark.createDataFrame(items, "item_id long, text string")
     whole = sorted(map(tuple, dc.contamination(docs, bench).collect()))
-    monkeypatch.setattr(dc, "SHARD_ITEMS", 7)
-    assert sorted(map(tuple, dc.contamination(docs, bench).collect())) == whole and len(whole) >= 30
+    assert sorted(map(tuple, dc.contamination(docs, bench, shard_items=7).collect())) == whole and len(whole) >= 30
+    named = docs.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    assert sorted((int(r[0][1:]), *r[1:]) for r in dc.contamination(named, bench, shard_items=11).collect()) == whole
+    twice = dc.contamination(docs, bench.unionByName(bench.where("item_id < 5"))).collect()
+    assert Counter(r["item_id"] for r in twice if r["doc_id"] == r["item_id"])[3] == 2
 
 
 def test_empty_inputs(spark):
@@ -151,3 +157,51 @@ def test_an_item_is_found_whatever_else_is_indexed(spark):
     for others in ([], [(2, prose(35, 400))], [(2, "a b"), (3, prose(36, 900))]):
         bench = spark.createDataFrame([item, *others], "item_id long, text string")
         assert [r["item_id"] for r in dc.contamination(docs, bench).collect()] == [1]
+
+
+def test_portions_change_nothing(monkeypatch):
+    items = lengthy_items(36)
+    texts = [f"{prose(60 + k, k * 7)} {spoiled(t, k, 0.02 * (k % 6))} {prose(80 + k, 40)}" for k, (_, t) in enumerate(items)]
+    df = Counter(w for _, t in items for w in set(dc.words(t)))
+    indexes = dc.build_indexes(items, len(items), sum(len(dc.words(t)) for _, t in items) / len(items), df)
+    whole = dc.match(indexes, texts, dc.THRESHOLD, dc.OVERLAP)
+    for cells in (1, 50, 3000):
+        monkeypatch.setattr(dc, "PORTION", cells)
+        assert dc.match(indexes, texts, dc.THRESHOLD, dc.OVERLAP) == whole
+
+
+def zipf(seed, n, vocabulary):
+    r = np.random.default_rng(seed)
+    return [f"v{int(x)}" for x in np.minimum(r.zipf(1.3, n), vocabulary)]
+
+
+def test_many_short_items_that_share_their_words_take_bounded_memory():
+    words = zipf(1, 8 * 2000, 3000)
+    items = [(k, " ".join(words[8 * k : 8 * k + 8])) for k in range(2000)]
+    df = Counter(w for _, t in items for w in set(dc.words(t)))
+    indexes = dc.build_indexes(items, len(items), 8.0, df)
+    text = " ".join(zipf(2, 2_000, 3000))
+    tracemalloc.start()
+    hits = dc.match(indexes, [text], dc.THRESHOLD, dc.OVERLAP)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6 and all(score >= dc.THRESHOLD - 1e-6 for _, _, score, *_ in hits)
+
+
+def test_recall_under_edits():
+    """Shares of items of 8 to about 300 words that are found with some of their words replaced."""
+    items = [(k, t) for k, t in lengthy_items(100) if len(dc.words(t)) >= 8]
+    df = Counter(w for _, t in items for w in set(dc.words(t)))
+    indexes = dc.build_indexes(items, len(items), sum(len(dc.words(t)) for _, t in items) / len(items), df)
+    found = {}
+    for share in (0.0, 0.05, 0.1, 0.2):
+        texts = [f"{prose(60 + k, 50)} {spoiled_but_sentence(t, k, share)} {prose(80 + k, 40)}" for k, (_, t) in enumerate(items)]
+        hits = {(n, item) for n, item, *_ in dc.match(indexes, texts, dc.THRESHOLD, dc.OVERLAP)}
+        found[share] = sum((k, item) in hits for k, (item, _) in enumerate(items)) / len(items)
+    print("recall by share of edited words", found)
+    assert found[0.0] == 1 and found[0.05] > 0.75 and found[0.1] > 0.4
+
+
+def spoiled_but_sentence(text, seed, share):
+    r = random.Random(seed)
+    return " ".join(f"x{r.randrange(10**6)}" if r.random() < share else w for w in text.split())

@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from relievo.llm import quality
-from relievo.plans.text import row_key
+from relievo.plans.text import row_digest
 from tests.llm import test_decontaminate, test_neardup, test_quality, test_secrets
 from tests.llm.fixtures import documents, prose
 from tests.llm.test_decontaminate import items_of
@@ -60,7 +60,7 @@ def redacted(text):
 
 def survivors(spark, rows, trusted_ids, items):
     """``(doc_id, text)`` after four stages in plain Python; only the keys and their halves come from Spark."""
-    docs = frame(spark, rows).select("doc_id", "text", row_key().alias("key"))
+    docs = frame(spark, rows).select("doc_id", "text", row_digest().alias("key"))
     keyed = [(*r, half) for *r, half in docs.selectExpr("doc_id", "text", "key", "pmod(xxhash64(1, key), 2) = 0").collect()]
     trusted = {key: (text, half) for doc, text, key, half in keyed if doc in trusted_ids}
     whole, learnt = test_quality.Model([t for t, _ in trusted.values()]), test_quality.Model([t for t, half in trusted.values() if half])
