@@ -8,23 +8,23 @@ from pyspark.sql import functions as F
 
 from relievo.llm import decontaminate, neardup, packing, quality, secrets
 from relievo.plans.storage import materialize
-from relievo.plans.text import row_key
+from relievo.plans.text import row_digest
 
 
 def _by_row(docs: DataFrame) -> DataFrame:
     """What operators read of the documents, each row under the key of its id and text."""
-    return docs.select(row_key().alias("doc_id"), *(c for c in docs.columns if c != "doc_id"))
+    return docs.select(row_digest().alias("doc_id"), *(c for c in docs.columns if c != "doc_id"))
 
 
 def _rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """The documents whose keys are among the distinct ``__row``, with their key."""
-    return docs.withColumn("__row", row_key()).join(keys, "__row", "left_semi")
+    return docs.withColumn("__row", row_digest()).join(keys, "__row", "left_semi")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the classifier accepts."""
     trusted = quality.trusted_documents(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    trusted = docs.select("doc_id", row_key().alias("__row")).join(trusted, "doc_id", "left_semi").select(F.col("__row").alias("doc_id")).distinct()
+    trusted = docs.select("doc_id", row_digest().alias("__row")).join(trusted, "doc_id", "left_semi").select(F.col("__row").alias("doc_id")).distinct()
     kept = quality.classify(_by_row(docs), trusted).where("keep").select(F.col("doc_id").alias("__row")).distinct()
     return _rows(docs, kept).select(*docs.columns)
 
@@ -32,7 +32,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the least id of each group of near duplicates, once; null ids come last."""
     groups = neardup.link_components(_by_row(docs)).select(F.col("doc_id").alias("__row"), "component_id").distinct()
-    named = groups.join(docs.select(row_key().alias("__row"), "doc_id").distinct(), "__row")
+    named = groups.join(docs.select(row_digest().alias("__row"), "doc_id").distinct(), "__row")
     least = F.min(F.struct(F.isnull("doc_id").alias("absent"), "doc_id", "__row")).alias("least")
     first = named.groupBy("component_id").agg(least).select("least.__row")
     return _rows(docs, first).dropDuplicates(["__row"]).select(*docs.columns)  # rows already meet by key
