@@ -341,16 +341,20 @@ def _row_distances(table: pa.Table) -> pa.Table:
     return out.append_column("distance", pa.array(np.sqrt(square(best)))).append_column("value", pa.array(sv[best]))
 
 
-def cut_and_fill(cells: DataFrame, inside: Column, reach: int, smooth: int = 0, value: str = "value") -> DataFrame:
+def cut_and_fill(cells: DataFrame, inside: Column, reach: int, smooth: int = 0, value: str = "value", how: str = "mean") -> DataFrame:
     """Cells for which ``inside`` holds are cut out and filled from the others; ``smooth`` rounds of 3 by 3 means over what was filled.
 
+    ``how`` is mean, the inverse-distance mean of all valid cells within reach, whose work grows with
+    the square of the reach, or nearest, the value of the nearest one, whose work does not.
     Cells that nothing within reach can fill have no row.
     """
     keys = ["tile_id", "i", "j"]
     ok = cells.where(F.col(value).isNotNull())
     cut = F.coalesce(inside, F.lit(False))
     kept, holes = ok.where(~cut).select(*keys, value), cells.where(cut).select(*keys)
-    filled = fill(kept, holes, reach, value)
+    if how not in ("mean", "nearest"):
+        raise ValueError(f"no way to fill called {how}")
+    filled = fill(kept, holes, reach, value) if how == "mean" else nearest_valid(kept, holes, reach, value).select(*keys, value)
     block = [(di, dj) for di in (-1, 0, 1) for dj in (-1, 0, 1)]
     for _ in range(smooth):
         spread = _neighbours(kept.unionByName(filled), block).groupBy(*keys).agg(F.avg(value).alias("mean"))
