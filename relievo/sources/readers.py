@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,17 +37,20 @@ def read_photon_tiles(spark: SparkSession, path: str, lat: float | None = None,
 
 
 def read_feather(spark: SparkSession, path: str, schema: str = PHOTON) -> DataFrame:
-    """SRC2: Feather files; a task reads one file at a time."""
+    """SRC2: Feather files, by the names of their columns; a task reads one file at a time, as Arrow batches of a bounded number of rows."""
+    from pyspark.sql.pandas.types import to_arrow_schema
 
-    def frames(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import pyarrow as pa
+    kinds = to_arrow_schema(spark.createDataFrame([], schema).schema)
+
+    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import feather
 
         for batch in batches:
-            for content in batch["content"]:
-                yield feather.read_table(pa.BufferReader(content)).to_pandas()
+            for content in batch.column("content"):
+                table = feather.read_table(pa.BufferReader(content.as_buffer()), columns=kinds.names)
+                yield from table.select(kinds.names).cast(kinds).to_batches(max_chunksize=1 << 17)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(frames, schema)
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(tables, schema)
 
 
 def photons_in_box(tiles: DataFrame, catalogue: DataFrame, box: Sequence[float], tile: float = 0.25, block: int = 1) -> DataFrame:
