@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relievo.llm import decontaminate, neardup, packing, quality, secrets
-from relievo.plans.storage import materialize
+from relievo.plans.storage import delete, materialize, new_folder
 from relievo.plans.text import row_digest
 
 
@@ -66,10 +66,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table; each stage's result is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = materialize(docs, "stage")
-    return docs
+    """All stages over the documents table; each stage's result is written and read again, and deleted once the next one's is there."""
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for _, stage in STAGES[:-1]:
+        folder = new_folder(spark, "stage")
+        docs = materialize(stage(spark, docs, sf_dir), "rows", folder)
+        if last:
+            delete(spark, last)
+        last = folder
+    return STAGES[-1][1](spark, docs, sf_dir)
