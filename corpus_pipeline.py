@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relievo.llm import decontaminate, neardup, packing, quality, secrets
-from relievo.plans.storage import delete, materialize, new_folder
+from relievo.plans.storage import delete, drop_shuffles, materialize, new_folder
 from relievo.plans.text import row_digest
 
 
@@ -32,6 +32,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the least id of each group of near duplicates, once; null ids come last."""
     groups = neardup.link_components(_by_row(docs)).select(F.col("doc_id").alias("__row"), "component_id").distinct()
+    drop_shuffles(spark)  # of the join, before the texts move once more
     named = groups.join(docs.select(row_digest().alias("__row"), "doc_id").distinct(), "__row")
     least = F.min(F.struct(F.isnull("doc_id").alias("absent"), "doc_id", "__row")).alias("least")
     first = named.groupBy("component_id").agg(least).select("least.__row")
