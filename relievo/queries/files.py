@@ -83,8 +83,8 @@ def _(t: Tables) -> DataFrame:
     path = new_folder(t.spark, "ini")
     line = lambda k, c: F.concat(F.lit(f"{k} = "), F.col(c).cast("string"), F.lit("\n"))
     text = F.concat(F.lit('dataset_name = "'), F.col("dset_name"), F.lit('"  # a name\n'), line("default_ranking_score", "ranking_score"), line("dataset_id_number", "id_number"), line("is_active", "is_active"))
-    t.source_registry.select(F.col("id_number").alias("file"), text.alias("value")).repartition("file").write.partitionBy("file").text(path)
-    return readers.registry(t.spark, f"{path}/*/*.txt").select("dset_name", "ranking_score", "id_number", "is_active")
+    writers.write_registry(t.source_registry.select(text.alias("value")), path)
+    return readers.registry(t.spark, f"{path}/*.txt", writers.RECORD).select("dset_name", "ranking_score", "id_number", "is_active")
 
 
 @query("src17_bounds_and_steps", "SELECT count(*) AS n, min(CAST(xmin AS DOUBLE)) AS xmin, max(xmin + 4e0) AS xmax, 5e-1 AS xstep, 25e-2 AS ystep FROM fx_sources")

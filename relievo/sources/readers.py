@@ -137,9 +137,13 @@ REGISTRY_KEYS = {
 }
 
 
-def registry(spark: SparkSession, path: str) -> DataFrame:
-    """SRC12: the source registry from its configuration files; values are literals, quoted or up to a comment, and never evaluated."""
-    rows = spark.read.text(path, wholetext=True)
+def registry(spark: SparkSession, path: str, separator: str | None = None) -> DataFrame:
+    """SRC12: the source registry from its configuration files; values are literals, quoted or up to a comment, and never evaluated.
+
+    A file is one configuration, or, with ``separator``, many that each end with it
+    (:func:`relievo.sources.writers.write_registry`), so their number does not make the number of files.
+    """
+    rows = spark.read.text(path, wholetext=True) if separator is None else spark.read.text(path, lineSep=separator)
     part = lambda k, n: F.regexp_extract("value", rf"(?m)^[ \t]*{k}[ \t]*=[ \t]*(?:\"([^\"\r\n]*)\"|'([^'\r\n]*)'|([^#\r\n]*))", n)
     value = lambda k: F.nullif(F.trim(F.concat(part(k, 1), part(k, 2), part(k, 3))), F.lit(""))
     out = rows.select(*(value(k).alias(n) for n, k in REGISTRY_KEYS.items()), F.col("_metadata.file_name").alias("configfile"))

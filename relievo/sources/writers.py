@@ -61,6 +61,17 @@ def write_ascii(full: DataFrame, grids: DataFrame, path: str, empty: float = -99
     rows.repartition("tile").write.partitionBy("tile").text(path)
 
 
+#: ASCII's record separator, which ends a configuration in a file of many.
+RECORD = "\x1e"
+
+
+def write_registry(texts: DataFrame, path: str, text: str = "value", separator: str = RECORD) -> None:
+    """SRC12: configuration texts, many in a file, each ended by ``separator``; a text that holds it raises."""
+    bad = F.raise_error(F.lit("a configuration holds the separator")).cast("string")
+    whole = F.when(F.col(text).contains(separator), bad).otherwise(F.coalesce(text, F.lit("")))
+    texts.select(whole.alias("value")).write.option("lineSep", separator).text(path)
+
+
 def tracks(
     photons: DataFrame, order: Column, by: tuple[str, ...] = ("granule_id1", "beam"), x: str = "longitude", y: str = "latitude", box: tuple[float, ...] | None = None
 ) -> DataFrame:

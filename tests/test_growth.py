@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from relievo.operators import joins
+from relievo.sources import readers, writers
 
 
 def test_pairs_of_one_tag_come_from_several_tasks(spark):
@@ -14,3 +16,13 @@ def test_pairs_of_one_tag_come_from_several_tasks(spark):
     assert sorted(out.columns) == ["companion", "key", "key_b", "name", "tag"]
     assert sorted((r["key"], r["key_b"]) for r in out.collect()) == [(x, y) for x in range(60) for y in range(60)]
     assert out.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_many_configurations_in_a_file(spark, tmp_path):
+    texts = [f'dataset_name = "n{k}"\n\ndefault_ranking_score = {k}\ndataset_id_number = {k}\r\nis_active = {"True" if k % 2 else "false"}' for k in range(500)]
+    writers.write_registry(spark.createDataFrame([(x,) for x in texts], "value string").repartition(3), str(tmp_path / "r"))
+    assert len(list((tmp_path / "r").glob("*.txt"))) <= 3
+    out = readers.registry(spark, str(tmp_path / "r" / "*.txt"), writers.RECORD).select("dset_name", "id_number", "is_active")
+    assert sorted((r[1], r[0], r[2]) for r in out.collect()) == [(k, f"n{k}", k % 2 == 1) for k in range(500)]
+    with pytest.raises(Exception, match="separator"):
+        writers.write_registry(spark.createDataFrame([("a = 1\x1eb = 2",)], "value string"), str(tmp_path / "bad"))
