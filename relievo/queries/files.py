@@ -52,11 +52,11 @@ def _(t: Tables) -> DataFrame:
     path = new_folder(t.spark, "tiles")
     key = lambda c: F.floor(c).cast("double")
     writers.convert(t.photons.select("photon_id", key("latitude").alias("tile_lat"), key("longitude").alias("tile_lon")), f"{path}/flat")
-    rows = t.spark.read.parquet(f"{path}/flat").repartition("tile_lat", "tile_lon")
-    rows.write.partitionBy("tile_lat", "tile_lon").parquet(f"{path}/tiles")
+    rows = t.spark.read.parquet(f"{path}/flat").repartitionByRange("tile_lat", "tile_lon").sortWithinPartitions("tile_lat", "tile_lon")
+    rows.write.partitionBy("tile_lat").parquet(f"{path}/tiles")
     listed = readers.list_files(t.spark, f"{path}/tiles", r"\.parquet$")
-    at = lambda k: F.regexp_extract("path", rf"({k}=[^/]+)", 1)
-    return listed.groupBy(at("tile_lat").alias("folder")).agg(F.count_distinct(at("tile_lon")).alias("n_tiles"))
+    tiles = readers.listed_values(listed, t.spark.read.parquet(f"{path}/tiles"), ["tile_lon"], r"tile_lat=[^/]+/[^/]+$")
+    return tiles.groupBy(F.regexp_extract("path", r"(tile_lat=[^/]+)", 1).alias("folder")).agg(F.count_distinct("tile_lon").alias("n_tiles"))
 
 
 @query("src10_attribute_tables", "SELECT CAST(p_partkey AS BIGINT) AS value, CAST(p_size AS BIGINT) AS count, p_brand AS institution, CAST(p_size AS DOUBLE) / 4e0 AS resolution FROM part")

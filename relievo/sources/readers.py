@@ -81,6 +81,17 @@ def read_results(spark: SparkSession, paths: Sequence[str], with_filename: bool
     return reliable(rows)
 
 
+def listed_values(listed: DataFrame, table: DataFrame, columns: Sequence[str], below: str) -> DataFrame:
+    """SRC6: a listing with the distinct ``columns`` of each listed file of ``table``.
+
+    ``below`` is a pattern for the part of a path by which the two are matched (the forms of a path's
+    beginning differ). So a listing can tell what files hold without a folder for each value.
+    """
+    at = lambda c: F.regexp_extract(c, below, 0)
+    held = table.select(at(F.col("_metadata.file_path")).alias("__at"), *columns).distinct()
+    return listed.withColumn("__at", at(F.col("path"))).join(held, "__at").drop("__at")
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str | None = None, depth: int | None = None) -> DataFrame:
     """SRC6: paths, sizes and times below a folder, by name pattern and depth, ordered; contents are not read."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path", "length", "modificationTime")

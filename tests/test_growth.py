@@ -26,3 +26,13 @@ def test_many_configurations_in_a_file(spark, tmp_path):
     assert sorted((r[1], r[0], r[2]) for r in out.collect()) == [(k, f"n{k}", k % 2 == 1) for k in range(500)]
     with pytest.raises(Exception, match="separator"):
         writers.write_registry(spark.createDataFrame([("a = 1\x1eb = 2",)], "value string"), str(tmp_path / "bad"))
+
+
+def test_a_listing_tells_what_its_files_hold(spark, tmp_path):
+    rows = spark.range(300).select((F.col("id") % 3).cast("double").alias("tile_lat"), (F.col("id") % 50).alias("tile_lon"))
+    path = str(tmp_path / "a b" / "tiles")
+    rows.repartition(2).write.partitionBy("tile_lat").parquet(path)
+    listed = readers.list_files(spark, path, r"\.parquet$")
+    out = readers.listed_values(listed, spark.read.parquet(path), ["tile_lon"], r"tile_lat=[^/]+/[^/]+$")
+    assert out.select("path").distinct().count() == listed.count() == 6
+    assert {(r["path"].split("tile_lat=")[1][:3], r["tile_lon"]) for r in out.collect()} == {(f"{k % 3}.0", k % 50) for k in range(300)}
