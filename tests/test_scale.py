@@ -105,6 +105,16 @@ def test_dense_cells_have_the_same_statistics(spark):
     assert rounded(dense) == rounded(plain) and len(rounded(plain)) == 3
 
 
+def test_photons_equal_to_a_decile_stay(spark):
+    heights = [1710.375, 1710.375, 5987.5]  # 0.8 * h + 0.2 * h, fused, is one unit above h
+    low, high = np.percentile(heights, [10, 90])
+    photons = spark.createDataFrame([(0, 0, 0, h, 1) for h in heights], "tile_id int, i int, j int, h_geoid double, class_code int")
+    cells = spark.createDataFrame([(0, 0, 0, 100.0)], "tile_id int, i int, j int, value double")
+    for dense in (False, True):
+        r = validation.cell_statistics(photons, cells, dense=dense).first()
+        assert (r["n_ground"], r["n_trim"], r["mean"], r["p10"]) == (3, 2, heights[0], low) and r["p90"] == pytest.approx(high)
+
+
 @pytest.mark.parametrize("block", [3, 4, 7, 64])
 def test_lakes_across_blocks(spark, block):
     r = random.Random(block)
