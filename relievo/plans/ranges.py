@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -59,6 +60,26 @@ def overlap_join(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
     return pairs.where(meets & corner).select("l", "r")
 
 
+def around(x: Column, width: float) -> Column:
+    """The western edge of the block of ``width`` degrees that holds a longitude, counted around the globe: 360 / width blocks, whatever the longitudes."""
+    n = math.ceil(360 / width)
+    return (F.pmod(F.floor(x / width) + n // 2, F.lit(n)) - n // 2) * width
+
+
+def edge(v: float, width: float) -> float:
+    """The lower edge of the step of ``width`` that holds a number."""
+    return math.floor(v / width) * width if math.isfinite(v) else v
+
+
+def around_between(block: Column, low: float, high: float, width: float) -> Column:
+    """Whether a block of :func:`around` can hold a longitude from ``low`` to ``high``."""
+    n = math.ceil(360 / width)
+    if not high - low < (n - 1) * width:
+        return F.lit(True)
+    first, last = (((math.floor(v / width) + n // 2) % n - n // 2) * width for v in (low, high))
+    return block.between(first, last) if first <= last else (block >= first) | (block <= last)
+
+
 def pruned(df: DataFrame, x: str, y: str, box: Sequence[float], tile: float, tile_x: str = "tile_lon", tile_y: str = "tile_lat") -> DataFrame:
     """A box filter together with bounds on the partition columns that it implies."""
     xmin, ymin, xmax, ymax = box

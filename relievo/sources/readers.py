@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relievo.operators.filters import reliable
-from relievo.plans.ranges import pruned
+from relievo.plans.ranges import around_between, edge, pruned
 from relievo.plans.storage import exists
 from relievo.sources.schemas import ATTRIBUTES, PHOTON
 
@@ -64,7 +64,9 @@ def photons_in_box(tiles: DataFrame, catalogue: DataFrame, box: Sequence[float],
     hit = hit.select(F.col("xmin").alias("tile_lon"), F.col("ymin").alias("tile_lat"))
     rows = pruned(tiles, "longitude", "latitude", box, tile)
     if block > 1:
-        rows = pruned(rows, "longitude", "latitude", box, tile * block, "block_lon", "block_lat")
+        wide = tile * block
+        west, south, east, north = (edge(v, tile) for v in box)  # a block is that of a tile's edge
+        rows = rows.where(around_between(F.col("block_lon"), west, east, wide) & F.col("block_lat").between(edge(south, wide), edge(north, wide)))
     return rows.join(hit, ["tile_lon", "tile_lat"], "left_semi")
 
 

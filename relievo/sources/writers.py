@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from relievo.operators.filters import in_box
 from relievo.operators.validation import tile_counts
+from relievo.plans.ranges import around
 from relievo.plans.storage import rename
 
 
@@ -15,7 +16,8 @@ def write_photon_tiles(photons: DataFrame, path: str, tile: float = 0.25, block:
 
     A folder holds one tile, or, where tiles are small, ``block`` by ``block`` of
     them; the tile is then a sorted column, and row groups of other tiles are
-    skipped. A rewrite replaces whole folders. Rows are dealt by range of folder, tile and place, so
+    skipped. Blocks are counted around the globe, so their number is bounded; longitudes a whole
+    turn apart share a folder and keep their own tiles. A rewrite replaces whole folders. Rows are dealt by range of folder, tile and place, so
     a dense tile is several tasks' files. The counts read what was
     written, of two columns. For one table without folders see :mod:`relievo.sources.clustered`.
     """
@@ -24,7 +26,8 @@ def write_photon_tiles(photons: DataFrame, path: str, tile: float = 0.25, block:
     folder = ["tile_lat", "tile_lon"]
     if block > 1:
         folder = ["block_lat", "block_lon"]
-        rows = rows.withColumns({b: F.floor(F.col(t) / (tile * block)) * tile * block for b, t in zip(folder, ("tile_lat", "tile_lon"), strict=True)})
+        wide = tile * block
+        rows = rows.withColumns({"block_lat": F.floor(F.col("tile_lat") / wide) * wide, "block_lon": around(F.col("tile_lon"), wide)})
     order = [*dict.fromkeys([*folder, "tile_lat", "tile_lon", "latitude", "longitude"])]
     out = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     out.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic").partitionBy(*folder).parquet(path)

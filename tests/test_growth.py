@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from relievo.operators import joins
+from relievo.plans import ranges
 from relievo.sources import readers, writers
 
 
@@ -36,3 +37,30 @@ def test_a_listing_tells_what_its_files_hold(spark, tmp_path):
     out = readers.listed_values(listed, spark.read.parquet(path), ["tile_lon"], r"tile_lat=[^/]+/[^/]+$")
     assert out.select("path").distinct().count() == listed.count() == 6
     assert {(r["path"].split("tile_lat=")[1][:3], r["tile_lon"]) for r in out.collect()} == {(f"{k % 3}.0", k % 50) for k in range(300)}
+
+
+def test_tile_folders_are_bounded(spark, tmp_path):
+    # longitudes run on as in the fixtures; 120 turns of the globe
+    photons = spark.range(20000).select("id", ((F.col("id") * 7919 % 43200) - 200.25).alias("longitude"), (F.col("id") % 9 + 40.5).alias("latitude"), F.lit(1).alias("class_code"))
+    path = str(tmp_path / "tiles")
+    counts = writers.write_photon_tiles(photons, path, 1.0, block=5)
+    assert len(list((tmp_path / "tiles").glob("block_lat=*/block_lon=*"))) <= 2 * 72
+    assert counts.agg(F.sum("numphotons")).first()[0] == 20000
+    known = counts.select(F.col("tile_lon").alias("xmin"), F.col("tile_lat").alias("ymin")).withColumns({"xmax": F.col("xmin") + 1, "ymax": F.col("ymin") + 1, "is_populated": F.lit(True)})
+    places = photons.collect()
+    for box in ((3.0, 42.0, 55.5, 44.25), (170.5, 40.0, 199.0, 50.0), (-201.0, 41.0, -150.0, 47.5), (-1e3, 40.0, 1e5, 43.0), (30000.0, 40.0, 30100.0, 50.0), (175.0, 40.0, 531.0, 50.0)):
+        got = readers.photons_in_box(spark.read.parquet(path), known, box, 1.0, 5)
+        want = {r["id"] for r in places if box[0] <= r["longitude"] < box[2] and box[1] <= r["latitude"] < box[3]}
+        assert want and {r["id"] for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("tile, block", [(0.1, 3), (0.25, 7), (5.0, 4), (30.0, 20)])
+def test_blocks_of_a_box_hold_its_tiles(spark, tile, block):
+    wide = tile * block
+    xs = [k * 0.05 - 400 for k in range(16001)]
+    table = spark.createDataFrame([(x,) for x in xs], "x double").withColumn("b", ranges.around(F.floor(F.col("x") / tile) * tile, wide))
+    assert table.select("b").distinct().count() <= -(-360 // wide)
+    rows = table.collect()
+    for low, high in ((0.95, 1.0), (-180.0, -179.9), (179.9, 180.3), (170.0, 200.0), (-390.0, -200.0), (100.0, 399.0), (-400.0, 400.0)):
+        kept = {r["x"] for r in table.where(ranges.around_between(F.col("b"), ranges.edge(low, tile), ranges.edge(high, tile), wide)).collect()}
+        assert {r["x"] for r in rows if low <= r["x"] < high} <= kept
