@@ -32,7 +32,7 @@ told apart by their tokens' values; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, reduce
 from itertools import chain
 
@@ -40,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relievo.llm.tokens import slices
@@ -53,6 +53,8 @@ NUMERATOR, DENOMINATOR = 80, 100
 #: Cells of the count table: its size does not depend on the data.
 CELLS = 1 << 20
 _SLICES = 64
+#: Steps that move all prefixes, or all texts, do so in so many passes; a pass's shuffle files go before the next is made.
+PASSES = 4
 #: Seeds of the orders after the first.
 ORDER_SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Rounds in which a node meets one centre go on while a round links more than this share of the nodes, up to a number of rounds.
@@ -189,7 +191,18 @@ def _profiles(classes: bytes):
     return run
 
 
-_HELD = "node bigint, packed binary, prefixes array<array<bigint>>"
+_HELD = "node bigint, packed binary, prefixes array<array<int>>"
+
+
+def _halves(prefixes: list[np.ndarray]) -> pa.ListArray:
+    """The lower halves of the tokens of each prefix; null for a prefix in which two of these are equal.
+
+    Other prefixes share at least as many halves as tokens, so a count of halves loses no pair.
+    """
+    halves = [p.astype(np.uint32).view(np.int32) for p in prefixes]
+    lost = np.array([len(np.unique(h)) < len(h) for h in halves], bool)
+    ends = np.cumsum([0, *map(len, halves)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*halves, np.empty(0, np.int32)])), mask=pa.array(lost))
 
 
 def _held(classes: bytes):
@@ -202,7 +215,7 @@ def _held(classes: bytes):
             for texts in slices([unpress.decompress(b).decode() for b in batch.column("packed").to_pylist()]):
                 sets = shingle_sets(texts)
                 found += chain.from_iterable(zip(*(_prefixes(sets, table, seed) for seed in ORDER_SEEDS), strict=True))
-            both = pa.ListArray.from_arrays(pa.array(range(0, len(found) + 1, len(ORDER_SEEDS)), pa.int32()), _arrays(found))
+            both = pa.ListArray.from_arrays(pa.array(range(0, len(found) + 1, len(ORDER_SEEDS)), pa.int32()), _halves(found))
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("packed"), both], names=["node", "packed", "prefixes"])
 
     return run
@@ -273,7 +286,7 @@ def _links(pairs: DataFrame, held: DataFrame) -> DataFrame:
     sides = [held.select(F.col("node").alias(s), F.col("prefixes").alias(f"prefixes_{s}")) for s in ("a", "b")]
     met = pairs.join(sides[0], "a").join(sides[1], "b")
     for k in range(len(ORDER_SEEDS)):
-        met = met.where(_enough(f"size(array_intersect(prefixes_a[{k}], prefixes_b[{k}]))", "na", "nb"))
+        met = met.where(f"prefixes_a[{k}] is null or prefixes_b[{k}] is null or {_enough(f'size(array_intersect(prefixes_a[{k}], prefixes_b[{k}]))', 'na', 'nb')}")
     texts = [held.select(F.col("node").alias(s), F.col("packed").alias(f"packed_{s}")) for s in ("a", "b")]
     return met.select("a", "b").join(texts[0], "a").join(texts[1], "b").mapInArrow(_verify, "a bigint, b bigint, jaccard double")
 
@@ -288,6 +301,23 @@ def _useful(index: DataFrame) -> DataFrame:
     return index.join(lists.where("lo <> hi and early").select("token"), "token")
 
 
+def _in_passes(spark: SparkSession, rows: Callable[[Column], DataFrame], key: str, keep: Callable[[DataFrame, str], DataFrame], name: str) -> DataFrame:
+    """A table written in passes: ``rows`` of those whose ``key`` meets a condition, for each share of the keys."""
+    parts = []
+    for k in range(PASSES):
+        parts.append(keep(rows(F.pmod(key, F.lit(PASSES)) == k), name))
+        drop_shuffles(spark)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _index(of_nodes: DataFrame, share: Column) -> DataFrame:
+    """The posting lists of a share of the tokens: those with several nodes, one of which has the token early."""
+    tokens = of_nodes.select("node", "n", F.posexplode("prefix").alias("at", "token")).where(share)
+    lists = tokens.groupBy("token").agg(F.count("*").alias("df"), F.bool_or(F.expr(_EARLY)).alias("early"))
+    hits = tokens.drop("n").join(lists.where("df > 1 and early").select("token"), "token")
+    return hits.join(of_nodes.select("node", "n", "central"), "node").withColumn("label", F.col("node"))
+
+
 def link_components(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_shingles, component_id, n_verified)`` of every document.
 
@@ -304,17 +334,15 @@ def link_components(docs: DataFrame) -> DataFrame:
             nodes = profiles.where("n > 0").groupBy("sig").agg(F.min("row").alias("node"), F.min("doc_id").alias("least_id"))
             nodes = keep(nodes, "nodes")
             members = keep(profiles.select("doc_id", "n", "sig").join(nodes.select("sig", "node"), "sig", "left").drop("sig"), "members")
-            of_nodes = profiles.select(F.col("row").alias("node"), "n", "central", "prefix").join(nodes.select("node"), "node")
-            of_nodes = keep_profiles(of_nodes, "prefixes")
-            tokens = of_nodes.select("node", "n", F.posexplode("prefix").alias("at", "token"))
-            lists = tokens.groupBy("token").agg(F.count("*").alias("df"), F.bool_or(F.expr(_EARLY)).alias("early"))
-            hits = tokens.drop("n").join(lists.where("df > 1 and early").select("token"), "token")
-            sizes = of_nodes.select("node", "n", "central")
-            index = keep(hits.join(sizes, "node").withColumn("label", F.col("node")), "index")
-            drop_shuffles(spark)
-            named = profiles.select(F.col("row").alias("node"), "packed").join(index.select("node"), "node", "left_semi")
-            held = keep(named.mapInArrow(_held(classes), _HELD), "held")
-        drop_shuffles(spark)
+            with scratch(spark, "prefixes") as keep_prefixes:
+                of_nodes = profiles.select(F.col("row").alias("node"), "n", "central", "prefix").join(nodes.select("node"), "node")
+                of_nodes = keep_prefixes(of_nodes, "prefixes")
+                drop_shuffles(spark)
+                index = _in_passes(spark, lambda share: _index(of_nodes, share), "token", keep, "index")
+            listed = keep(index.select("node").distinct(), "listed")
+            packed = profiles.select(F.col("row").alias("node"), "packed")
+            named = lambda share: packed.where(share).join(listed.where(share), "node", "left_semi")
+            held = _in_passes(spark, lambda share: named(share).mapInArrow(_held(classes), _HELD), "node", keep, "held")
 
         links: list[DataFrame] = []
         tried: list[DataFrame] = []

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from relievo.llm import neardup
+from relievo.plans.storage import work_uri
 from tests.llm.fixtures import documents, edited, prose
 
 
@@ -103,3 +105,21 @@ def test_two_thousand_rows_without_an_id(spark):
     rows = [(None, t) for k in range(1000) for base in [prose(40_000 + k, 40)] for t in (base, f"{base} end")]
     out = neardup.link_components(documents(spark, [(i, t, "en", "s", 0, 0, "", "", "") for i, t in rows])).groupBy("component_id", "n_verified").count()
     assert [tuple(r) for r in out.collect()] == [(None, 1, 2000)]
+
+
+def test_prefixes_and_texts_move_in_passes(spark, monkeypatch):
+    root = Path(work_uri(spark).removeprefix("file://")) / "relievo"
+    seen, before = [], set(root.glob("*"))
+    tables = lambda: [p.name.rsplit("-", 1)[0] for d in set(root.glob("*")) - before for p in d.glob("*-*")]
+    monkeypatch.setattr(neardup, "drop_shuffles", lambda s: seen.append(tables()))
+    check(spark, [(r["doc_id"], r["text"]) for r in documents(spark).collect()])
+    # a pass's table is there, and its shuffle files go, before the next pass
+    for name in ("index", "held"):
+        assert {t.count(name) for t in seen} >= set(range(1, neardup.PASSES + 1))
+    # the prefixes are gone before texts move
+    assert not any("prefixes" in t and "held" in t for t in seen)
+
+
+def test_halves_count_no_less_than_tokens():
+    tokens = np.array([5, 5 + (1 << 32), 7], np.uint64)
+    assert neardup._halves([tokens[:1], tokens, tokens[:0], tokens[1:]]).to_pylist() == [[5], None, [], [5, 7]]
