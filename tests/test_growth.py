@@ -19,6 +19,26 @@ def test_pairs_of_one_tag_come_from_several_tasks(spark):
     assert out.select(F.spark_partition_id()).distinct().count() > 1
 
 
+def test_pairs_of_a_large_tag_take_few_bytes(spark, tmp_path):
+    a = spark.range(800).select(F.col("id").alias("key"), F.lit("x_n40w100").alias("name"))
+    b = spark.range(25000).select(F.col("id").alias("key_b"), F.lit("y_n40w100").alias("other"))
+    out = joins.by_tag(a, b, "name", "other", r"n\d{2}w\d{3}", ["key_b"]).select("key", "key_b", "tag")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where both sides are large
+    try:
+        out.write.parquet(str(tmp_path / "pairs"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    rows = spark.read.parquet(str(tmp_path / "pairs"))
+    assert rows.agg(F.count("*"), F.sum("key"), F.sum("key_b")).first() == (20_000_000, 25000 * 319600, 800 * 312487500)
+    assert sum(p.stat().st_size for p in (tmp_path / "pairs").glob("*.parquet")) < 20_000_000 / 2
+
+
+def test_repeated_files_of_a_tag_are_all_paired(spark):
+    files = spark.createDataFrame([(7, "x_n40w100")] * 1300 + [(8, "y_n40w100"), (9, None)], "key int, name string")
+    out = joins.by_tag(files, files.select(F.col("key").alias("key_b"), F.col("name").alias("other")), "name", "other", r"n\d{2}w\d{3}", ["key_b"])
+    assert {(r[0], r[1]): r[2] for r in out.groupBy("key", "key_b").count().collect()} == {(7, 7): 1300**2, (7, 8): 1300, (8, 7): 1300, (8, 8): 1}
+
+
 def test_many_configurations_in_a_file(spark, tmp_path):
     texts = [f'dataset_name = "n{k}"\n\ndefault_ranking_score = {k}\ndataset_id_number = {k}\r\nis_active = {"True" if k % 2 else "false"}' for k in range(500)]
     writers.write_registry(spark.createDataFrame([(x,) for x in texts], "value string").repartition(3), str(tmp_path / "r"))
